@@ -3,22 +3,83 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import media, packing
+from . import licenses, media, mixing, packing, token_counts, url_filter
 from .common import read
 
+#: The contract's rules: verdict, host, path.
+URL_RULES = [
+    ("allow", "com", "/"),
+    ("block", "example.com", "/en/"),
+    ("allow", "www.example.com", "/en/"),
+    ("block", "net", "/es/"),
+    ("block", "net", "/fr/"),
+]
+#: Sites whose pages, as far as the table has them, make up the list of blocked URLs.
+LISTED_SITES = ["adult-x", "casino-win", "cheap-pills", "spam-farm"]
+
+
+def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts.count_tokens(read(spark, sf_dir, "documents"), token_counts.public_scores())
+
+
+def op5_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan_licenses(read(spark, sf_dir, "documents"), licenses.known_digests(spark))
+
 
 def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.piece_digests(packing.pack(read(spark, sf_dir, "documents"), packing.public_encoder()))
 
 
+def op7_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = read(spark, sf_dir, "pages")
+    listed = pages.select("url").filter(F.arrays_overlap(F.split(url_filter.url_host(F.col("url")), r"\."), F.array(*map(F.lit, LISTED_SITES))))
+    return url_filter.filter_urls(pages, listed, URL_RULES).select("page_id", "host", "path", "rule", "verdict")
+
+
+def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(read(spark, sf_dir, "documents").select("doc_id", "source", "n_chars")).drop("n_chars")
+
+
 def op10_media(spark: SparkSession, sf_dir: str) -> DataFrame:
     return media.media_digests(media.document_media(read(spark, sf_dir, "documents")))
 
 
 QUERIES = {
+    "op2_token_counts": op2_token_counts,
+    "op5_licenses": op5_licenses,
     "op6_packing": op6_packing,
+    "op7_url_filter": op7_url_filter,
+    "op9_mixing": op9_mixing,
     "op10_media": op10_media,
 }
 
-ORACLE: dict[str, str] = {}
+_OP7 = f"""
+WITH u AS (
+  SELECT page_id, CASE WHEN instr(url, '://') > 0 THEN substr(url, instr(url, '://') + 3) ELSE '' END AS rest FROM pages
+), p AS (
+  SELECT page_id,
+    translate(regexp_extract(coalesce(rest, ''), '^([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+    regexp_extract(coalesce(rest, ''), '^[^/?#]*([^?#]*)', 1) AS path,
+    regexp_extract(coalesce(rest, ''), '^[^?#]*\\?([^#]*)', 1) AS query
+  FROM u
+), k AS (
+  SELECT *, regexp_replace(regexp_replace(query, '(^|&)utm_[^&]*', '', 'g'), '^&+', '') AS q FROM p
+), c AS (
+  SELECT *, regexp_replace(regexp_replace(host, '^www\\.', ''), ':(80|443)$', '') || regexp_replace(path, '/+$', '') || CASE WHEN q <> '' THEN '?' || q ELSE '' END AS canonical FROM k
+), listed AS (
+  SELECT DISTINCT canonical FROM c WHERE canonical <> '' AND len(list_intersect(string_split(host, '.'), {LISTED_SITES!r})) > 0
+), rules(verdict, rule_host, rule_path) AS (VALUES {", ".join(map(str, URL_RULES))}),
+f AS (
+  SELECT page_id, host, path, canonical, arg_max(rule_host || rule_path, length(rule_host || rule_path)) AS rule, arg_max(r.verdict, length(rule_host || rule_path)) AS verdict
+  FROM c LEFT JOIN rules r ON (host = rule_host OR ends_with(host, '.' || rule_host)) AND starts_with(path, rule_path)
+  GROUP BY page_id, host, path, canonical
+)
+SELECT page_id, host, path, rule, coalesce(verdict, CASE WHEN canonical IN (SELECT canonical FROM listed) THEN 'block' ELSE 'allow' END) AS verdict FROM f
+"""
+
+ORACLE: dict[str, str] = {
+    "op5_licenses": licenses.oracle(),
+    "op7_url_filter": _OP7,
+}
