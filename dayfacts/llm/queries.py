@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import licenses, media, mixing, packing, token_counts, url_filter
+from . import licenses, media, mixing, packing, quality, token_counts, toxicity, url_filter
 from .common import read
 
 #: The contract's rules: verdict, host, path.
@@ -20,10 +20,23 @@ URL_RULES = [
 LISTED_SITES = ["adult-x", "casino-win", "cheap-pills", "spam-farm"]
 
 
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    model = toxicity.label_chain(docs, read(spark, sf_dir, "labels"))
+    toxic = F.col("p_toxic") >= model.thresholds[1]
+    return toxicity.score(docs, model, keep_text=False).withColumns({"toxic": toxic, "kept": ~toxic})
+
+
 def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(read(spark, sf_dir, "documents"), token_counts.public_scores())
 
 
+def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    judged = quality.judge(docs, quality.fit(docs, read(spark, sf_dir, "labels")))
+    return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", F.round("p_quality", 6).alias("p_quality"))
+
+
 def op5_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan_licenses(read(spark, sf_dir, "documents"), licenses.known_digests(spark))
 
@@ -47,7 +60,9 @@ def op10_media(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_toxicity": op1_toxicity,
     "op2_token_counts": op2_token_counts,
+    "op4_quality": op4_quality,
     "op5_licenses": op5_licenses,
     "op6_packing": op6_packing,
     "op7_url_filter": op7_url_filter,
