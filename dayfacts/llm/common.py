@@ -42,3 +42,13 @@ def cut(df: DataFrame) -> DataFrame:
 def ascii_lower(col):
     """Lower-case A-Z and nothing else."""
     return F.translate(col, UPPER, UPPER.lower())
+
+
+#: Rows of two or three numbers that may be broadcast: some tens of megabytes.
+SMALL_ROWS = 1 << 20
+
+
+def join_sized(df: DataFrame, small: DataFrame, on, how: str, limit: int = SMALL_ROWS) -> DataFrame:
+    """Join a checkpointed table of few, narrow columns: broadcast if its counted rows are within
+    the limit, else shuffled."""
+    return df.join(F.broadcast(small) if small.limit(limit + 1).count() <= limit else small, on, how)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import licenses, media, mixing, packing, quality, token_counts, toxicity, url_filter
+from . import licenses, line_dedup, media, minhash, mixing, packing, quality, token_counts, toxicity, url_filter
 from .common import read
 
 #: The contract's rules: verdict, host, path.
@@ -31,6 +31,10 @@ def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(read(spark, sf_dir, "documents"), token_counts.public_scores())
 
 
+def op3_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_duplicates(read(spark, sf_dir, "documents"), size=2)
+
+
 def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents").select("doc_id", "text")
     judged = quality.judge(docs, quality.fit(docs, read(spark, sf_dir, "labels")))
@@ -51,6 +55,12 @@ def op7_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.filter_urls(pages, listed, URL_RULES).select("page_id", "host", "path", "rule", "verdict")
 
 
+def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    gone = line_dedup.repeated_lines(docs)
+    return docs.select("doc_id").join(gone, "doc_id", "left").select("doc_id", F.coalesce(F.size("removed"), F.lit(0)).cast("long").alias("n_removed"), F.array_join(F.coalesce("removed", F.array().cast("array<int>")), ",").alias("removed_lines"))
+
+
 def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(read(spark, sf_dir, "documents").select("doc_id", "source", "n_chars")).drop("n_chars")
 
@@ -62,10 +72,12 @@ def op10_media(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_toxicity": op1_toxicity,
     "op2_token_counts": op2_token_counts,
+    "op3_minhash": op3_minhash,
     "op4_quality": op4_quality,
     "op5_licenses": op5_licenses,
     "op6_packing": op6_packing,
     "op7_url_filter": op7_url_filter,
+    "op8_line_dedup": op8_line_dedup,
     "op9_mixing": op9_mixing,
     "op10_media": op10_media,
 }
