@@ -1,0 +1,2 @@
+"""Empty by intent: late and revised data are batch work here, by a look-back window, a padded
+recompute (``operators.windows``) and keyed merges (``operators.revisions``)."""
