@@ -83,14 +83,16 @@ def publish(tables: dict[str, tuple[DataFrame, list[str]]], write, order: list[s
 
 def jdbc_upsert(url: str, keys: dict[str, list[str]], options: dict[str, str] | None = None):
     """A ``write`` for ``publish``: rows go to a staging table over JDBC from the executors, then
-    one statement on the server replaces and inserts by key."""
+    one transaction on the server replaces and inserts by key. ``options`` are the JDBC writer's,
+    such as createTableColumnTypes where a database cannot compare its default text type."""
 
     def write(name: str, df: DataFrame) -> None:
         staged = f"{name}_staged"
         df.write.jdbc(url, staged, mode="overwrite", properties=options or {})
         session = df.sparkSession
-        match = " and ".join(f"s.{k} = t.{k}" for k in keys[name])
-        columns = ", ".join(df.columns)
+        quote = '"{}"'.format  # as the JDBC writer names columns
+        match = " and ".join(f"s.{quote(k)} = t.{quote(k)}" for k in keys[name])
+        columns = ", ".join(map(quote, df.columns))
         connection = session._jvm.java.sql.DriverManager.getConnection(url)
         try:
             connection.setAutoCommit(False)
