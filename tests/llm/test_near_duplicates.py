@@ -1,0 +1,201 @@
+import random
+import re
+from collections import defaultdict
+
+import numpy as np
+import pytest
+
+from dayfacts.llm import components as C
+from dayfacts.llm import line_dedup as L
+from dayfacts.llm import minhash as M
+from dayfacts.llm import shingles as S
+
+LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+
+
+class Union:
+    def __init__(self):
+        self.up = {}
+
+    def top(self, x):
+        self.up.setdefault(x, x)
+        while self.up[x] != x:
+            self.up[x] = self.up[self.up[x]]
+            x = self.up[x]
+        return x
+
+    def join(self, a, b):
+        a, b = self.top(a), self.top(b)
+        self.up[max(a, b)] = min(a, b)
+
+
+def shingle_set(text, size):
+    words = re.findall("[^\x20\x09-\x0d]+", (text or "").translate(LOWER))
+    if not words:
+        return frozenset()
+    return frozenset(tuple(words[i : i + size]) for i in range(max(1, len(words) - size + 1)))
+
+
+def brute(docs, size):
+    sets = {d: shingle_set(t, size) for d, t in docs}
+    union, ids = Union(), sorted(sets)
+    for i, a in enumerate(ids):
+        for b in ids[:i]:
+            x, y = sets[a], sets[b]
+            if x and y and 100 * len(x & y) >= 80 * len(x | y):
+                union.join(a, b)
+    return {d: (len(sets[d]), union.top(d)) for d in sets}
+
+
+def run(spark, docs, size):
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    return {r.doc_id: (r.n_shingles, r.component_id) for r in M.near_duplicates(df, size=size).collect()}
+
+
+@pytest.mark.parametrize("size", [2, 5])
+def test_given_documents(spark, small, size):
+    docs = [(r.doc_id, r.text) for r in small["documents"].collect()]
+    assert run(spark, docs, size) == brute(docs, size)
+
+
+def edited(base, rng, edits):
+    words = base.split()
+    for _ in range(edits):
+        words[rng.randrange(len(words))] = f"new{rng.randrange(10**9)}"
+    return " ".join(words)
+
+
+def test_a_dense_group_and_a_chain(spark):
+    """Copies around the threshold of one text, with ids that make outliers the hubs; and a chain
+    in which only neighbours are similar."""
+    rng = random.Random(2)
+    base = " ".join(f"w{rng.randrange(5000)}" for _ in range(120))
+    docs = [(i, edited(base, rng, rng.choice([16, 14, 2, 5, 8, 11]) if i else 18)) for i in range(160)]
+    text = " ".join(f"c{rng.randrange(5000)}" for _ in range(100))
+    for i in range(30):
+        docs.append((1000 + i * 7 % 31, text))
+        text = edited(text, rng, 3)
+    want = brute(docs, 2)
+    assert run(spark, docs, 2) == want
+    assert len({c for _, c in want.values()}) > 2
+
+
+def test_case_spacing_and_short_texts(spark):
+    docs = [(5, "A b C d"), (3, "a\tB  c\nD"), (9, "É b"), (8, "é b"), (1, "solo"), (2, "Solo"), (4, ""), (6, None), (7, " \n"), (10, "x y"), (11, "x y x y")]
+    got = run(spark, docs, 2)
+    assert got == brute(docs, 2) and got[5][1] == 3 and got[2][1] == 1 and got[8][1] == 8 and got[6] == (0, 6)
+
+
+def test_awkward_documents(spark, awkward):
+    rows = M.near_duplicates(awkward, size=2).collect()
+    assert len(rows) == awkward.count()
+    assert {(r.component_id, r.kept) for r in rows if r.doc_id is None} == {(None, True)}
+    assert {(r.component_id, r.kept) for r in rows if r.doc_id == 1} == {(1, True)}
+    assert M.near_duplicates(awkward.limit(0)).count() == 0
+
+
+def test_exact_links_from_differences(spark):
+    rng = np.random.default_rng(3)
+    hub = np.unique(rng.integers(0, 1 << 60, 100, dtype=np.uint64))
+    sets = {0: hub}
+    for i in range(1, 40):
+        kept = hub[rng.random(len(hub)) > rng.choice([0.05, 0.12, 0.2])]
+        sets[i] = np.unique(np.concatenate([kept, rng.integers(0, 1 << 60, rng.integers(0, 15), dtype=np.uint64)]))
+    table = spark.createDataFrame([(i, bytearray(s.tobytes())) for i, s in sets.items()], "id long, items binary")
+    pairs = spark.createDataFrame([(0, i) for i in range(1, 40)], "hub long, id long")
+    rows = M.differences(pairs, table, M.as_set).selectExpr("*", "id as component", "0 as cx", "0 as cy")
+    both = rows.selectExpr("*", "'x' as side").unionByName(rows.selectExpr("*", "'y' as side"))
+    got = {tuple(r) for r in M.links_across(both, 80).collect()}
+    want = {(a, b) for a in range(1, 40) for b in range(1, 40) if a != b and 100 * S.shared(sets[a], sets[b]) >= 80 * len(np.union1d(sets[a], sets[b]))}
+    assert got == want and want
+
+
+def test_estimate_is_corrected_for_chance(spark):
+    rng = np.random.default_rng(7)
+    pool = rng.integers(0, 1 << 63, 60_000, dtype=np.uint64)
+    sets, truth = [], []
+    for i in range(60):
+        share, n = rng.random(), 500
+        same = int(n * share)
+        a = pool[i * 1000 : i * 1000 + n]
+        b = np.concatenate([a[:same], pool[i * 1000 + n : i * 1000 + 2 * n - same]])
+        sets += [np.unique(a), np.unique(b)]
+        truth.append(same / (2 * n - same))
+    packed = S.low_bits(S.minima(sets, M.BANDS * M.ROWS), M.BITS).tolist()
+    df = spark.createDataFrame([(packed[2 * i], packed[2 * i + 1], t) for i, t in enumerate(truth)], "a array<long>, b array<long>, t double")
+    off = np.array([r[0] - r[1] for r in df.select(M.estimate(df.a, df.b), "t").collect()])
+    assert abs(off.mean()) < 0.02 and abs(off).max() < 0.18
+
+
+def test_components_of_random_graphs(spark):
+    rng = random.Random(1)
+    for n, m in ((1, 0), (60, 40), (60, 90), (200, 150)):
+        links = [(rng.randrange(n), rng.randrange(n)) for _ in range(m)] + [(n + i, n + i + 1) for i in range(40)] + [(5, None), (7, 7)]
+        union = Union()
+        for a, b in links:
+            if b is not None and a != b:
+                union.join(a, b)
+        got = dict(map(tuple, C.components(spark.createDataFrame(links, "a long, b long")).collect()))
+        assert got == {x: union.top(x) for x in union.up}
+    assert C.components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+def brute_lines(docs, least=16):
+    where = defaultdict(list)
+    for d, t in docs:
+        for k, line in enumerate((t or "").split("\n")):
+            if len(line) >= least and re.search("[^\x20\x09-\x0d]", line):
+                where[line].append((d, k))
+    sets = {x: frozenset(x[i : i + 8] for i in range(len(x) - 7)) for x in where}
+    union, lines = Union(), sorted(where)
+    for i, a in enumerate(lines):
+        union.top(a)
+        for b in lines[:i]:
+            if 0.8 * len(sets[b]) <= len(sets[a]) <= 1.25 * len(sets[b]) and 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b]):
+                union.join(a, b)
+    groups, out = defaultdict(list), defaultdict(list)
+    for line, at in where.items():
+        groups[union.top(line)] += at
+    for at in groups.values():
+        for d, k in sorted(at)[1:]:
+            out[d].append(k)
+    return {d: sorted(k) for d, k in out.items()}
+
+
+def test_given_lines(spark, small):
+    docs = [(r.doc_id, r.text) for r in small["documents"].collect()]
+    got = {r.doc_id: r.removed for r in L.repeated_lines(small["documents"]).collect()}
+    assert got == brute_lines(docs)
+
+
+def test_line_variants(spark):
+    rng = random.Random(4)
+    base = " ".join(f"w{rng.randrange(999)}" for _ in range(30))
+    docs = [(i, "\n".join([edited(base, rng, rng.choice([0, 1, 2, 3])), f"only here {i} " + str(rng.random()) * 2, "short", ""])) for i in range(40)]
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    got = {r.doc_id: r.removed for r in L.repeated_lines(df).collect()}
+    assert got == brute_lines(docs)
+    kept = {r.doc_id: r.text for r in L.without_lines(df, L.repeated_lines(df)).collect()}
+    for d, t in docs:
+        assert kept[d] == "\n".join(x for k, x in enumerate(t.split("\n")) if k not in got.get(d, []))
+
+
+def test_line_ids_are_sparks_hashes(spark):
+    import xxhash
+
+    from pyspark.sql import functions as F
+
+    for text in ("a", "Größe 日本語 " * 20, "x" * 5000):
+        (row,) = spark.createDataFrame([(text,)], "t string").select(F.xxhash64("t")).collect()
+        assert row[0] % (1 << 64) == xxhash.xxh64_intdigest(text.encode(), L.SEED)
+
+
+def test_awkward_lines(spark, awkward):
+    removed = L.repeated_lines(awkward)
+    rows = {r.doc_id: r.removed for r in removed.collect()}
+    assert rows == {1: [0]}  # the first of its equal lines is that of the row without id
+    out = L.without_lines(awkward, removed)
+    assert out.columns == awkward.columns and out.count() == awkward.count()
+    texts = {r.doc_id: (r.text, r.n_chars) for r in out.collect()}
+    assert texts[1] == ("", 0) and texts[2] == (None, None) and texts[5][1] == 200_000
+    assert L.repeated_lines(awkward.limit(0)).count() == 0
