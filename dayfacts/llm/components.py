@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from .common import cut
@@ -12,8 +13,8 @@ def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     """node, component (the smallest node reachable) for every node of an undirected link list.
 
     Large-star and small-star rounds (every node's larger neighbours, then its smaller ones, are
-    linked to the smallest) until the links are stars; each round is two aggregations and joins
-    over the links, cut by a checkpoint. Links with a null end, links of a node to itself and
+    linked to the smallest) until the links are stars; each round is three shuffles of pairs of
+    numbers, cut by a checkpoint. Links with a null end, links of a node to itself and
     repeated links change nothing. No links: no rows.
     """
     edges = links.select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v"))
@@ -22,14 +23,12 @@ def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     def state(df: DataFrame):
         return tuple(df.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first())
 
-    seen = state(edges)
+    seen, near = state(edges), W.partitionBy("u")
     while seen[0]:
-        both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
-        large = both.filter("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).filter("u != v").distinct()
-        least = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = large.join(least, "u").filter("v != m").select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(least.select("u", F.col("m").alias("v"))).distinct()
-        edges = cut(small)
+        both = edges.select(F.explode(F.array(F.struct("u", "v"), F.struct(F.col("v").alias("u"), F.col("u").alias("v")))).alias("e")).select("e.u", "e.v")
+        large = both.withColumn("m", F.least(F.min("v").over(near), F.col("u"))).filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
+        small = large.withColumn("m", F.min("v").over(near)).select(F.when(F.col("v") == F.col("m"), F.col("u")).otherwise(F.col("v")).alias("u"), F.col("m").alias("v"))
+        edges = cut(small.distinct())
         now = state(edges)
         if now == seen:
             break

@@ -16,16 +16,17 @@ import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .common import cut, join_sized, ship
-from .minhash import linked
+from .common import SPACE, cut, join_sized, ship
+from .minhash import linked, shared_buckets
 from .shingles import MIX, band_keys, low_bits, minima, scatter
 
 ship(__name__)
 
 BANDS, ROWS, SHINGLE = 14, 4, 8
+#: Minima whose low bits are packed for the estimates.
+PACKED = 96
 #: The seed of Spark's xxhash64.
 SEED = 42
 
@@ -55,7 +56,7 @@ def line_bands(texts: DataFrame, least_chars: int) -> DataFrame:
             held = 0
             for i, text in enumerate(batch.column(0)):
                 for line in (text.as_py() or "").split("\n"):
-                    if len(line) >= least_chars and len(line.encode("utf-8", "replace").split()):
+                    if len(line) >= least_chars and line.strip(SPACE):
                         key = xxhash.xxh64_intdigest(line.encode("utf-8", "replace"), SEED)
                         if key not in seen:
                             if len(seen) >= 200_000:
@@ -73,25 +74,34 @@ def line_bands(texts: DataFrame, least_chars: int) -> DataFrame:
     return texts.select("text").mapInArrow(run, "id long, bands array<long>")
 
 
+def crowded_lines(texts: DataFrame, least_chars: int) -> DataFrame:
+    """key, band, id, hub (the smallest id) for the band keys that several lines share."""
+    banded = line_bands(texts, least_chars).select("id", F.posexplode("bands").alias("band", "key"))
+    return cut(shared_buckets(banded).distinct())
+
+
 def line_signatures(lines: DataFrame) -> DataFrame:
-    """id, n, packed, bands and items of candidate lines (id, line)."""
+    """id, n, packed and bands of candidate lines (id, text)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for begin in range(0, batch.num_rows, 1024):
                 part = batch.slice(begin, 1024)
                 found = line_shingles(part.column(1).to_pylist(), SHINGLE)
-                m = minima(found, 160)
-                sets = [np.unique(x) for x in found]
+                m = minima(found, PACKED)
                 yield pa.RecordBatch.from_arrays(
-                    [part.column(0), pa.array(map(len, sets), pa.int64()), pa.array(low_bits(m, 2).tolist(), pa.list_(pa.int64())), pa.array(band_keys(m[:, : BANDS * ROWS], ROWS).tolist(), pa.list_(pa.int64())), pa.array([s.tobytes() for s in sets], pa.binary())],
-                    names=["id", "n", "packed", "bands", "items"],
+                    [part.column(0), pa.array([len(np.unique(x)) for x in found], pa.int64()), pa.array(low_bits(m, 2).tolist(), pa.list_(pa.int64())), pa.array(band_keys(m[:, : BANDS * ROWS], ROWS).tolist(), pa.list_(pa.int64()))],
+                    names=["id", "n", "packed", "bands"],
                 )
 
-    return lines.mapInArrow(run, "id long, n long, packed array<long>, bands array<long>, items binary")
+    return lines.mapInArrow(run, "id long, n long, packed array<long>, bands array<long>")
+
 
+def line_sets(lines: pa.Array) -> list[np.ndarray]:
+    return [np.unique(x) for x in line_shingles(lines.to_pylist(), SHINGLE)]
 
-def repeated_lines(docs: DataFrame, *, percent: int = 80, margin: float = 0.18, least_chars: int = 16, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+
+def repeated_lines(docs: DataFrame, *, percent: int = 80, margin: float = 0.2, least_chars: int = 16, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, removed (the sorted numbers, from 0, of lines that go), for the documents that
     lose lines.
 
@@ -106,21 +116,19 @@ def repeated_lines(docs: DataFrame, *, percent: int = 80, margin: float = 0.18,
     """
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     lines = texts.select("doc_id", F.posexplode(F.split("text", "\n")).alias("line_no", "line"))
-    lines = lines.filter((F.length("line") >= least_chars) & F.col("line").rlike(r"[^\x20\x09-\x0D]")).select("doc_id", "line_no", F.xxhash64("line").alias("id"), "line")
+    lines = lines.filter((F.length("line") >= least_chars) & (F.btrim("line", F.lit(SPACE)) != "")).select("doc_id", "line_no", F.xxhash64("line").alias("id"), "line")
 
-    banded = line_bands(texts, least_chars).select("id", F.posexplode("bands").alias("band", "key"))
-    hubbed = banded.withColumn("hub", F.min("id").over(W.partitionBy("key"))).withColumn("last", F.max("id").over(W.partitionBy("key")))
-    crowded = cut(hubbed.filter("hub != last").select("key", "band", "id", "hub").distinct())
-    ids = cut(crowded.select("id").distinct())
-    known = cut(line_signatures(join_sized(lines.select(F.col("id").alias("_id"), "line"), ids, F.col("_id") == F.col("id"), "left_semi").select(F.col("_id").alias("id"), "line").dropDuplicates(["id"])))
-    sets = lambda wanted: known.join(wanted, "id", "left_semi").select("id", "items")
-    found = linked(crowded, known.drop("items"), sets, percent=percent, margin=margin)
-
-    each = cut(lines.groupBy("id").agg(F.count(F.lit(1)).alias("times"), F.min(F.struct("doc_id", "line_no")).alias("first")))
+    crowded = crowded_lines(texts, least_chars)
+    known = cut(join_sized(lines.select(F.col("id").alias("_id"), "line"), cut(crowded.select("id").distinct()), F.col("_id") == F.col("id"), "left_semi").select(F.col("_id").alias("id"), F.col("line").alias("items")).dropDuplicates(["id"]))
+    sets = lambda wanted: known.join(wanted, "id", "left_semi")
+    found = linked(crowded, cut(line_signatures(known)), sets, percent=percent, margin=margin, packed=PACKED, read=line_sets)
+
+    places = cut(lines.select("doc_id", "line_no", "id"))
+    each = cut(places.groupBy("id").agg(F.count(F.lit(1)).alias("times"), F.min(F.struct("doc_id", "line_no")).alias("first")))
     placed = each.join(found.withColumnRenamed("node", "id"), "id", "left").withColumn("component", F.coalesce("component", "id"))
     first = placed.groupBy("component").agg(F.sum("times").alias("times"), F.min("first").alias("first")).filter("times > 1").select("component", "first")
     again = cut(placed.select("id", "component").join(first, "component").select("id", "first"))
-    gone = join_sized(lines.select("doc_id", "line_no", "id"), again, "id", "inner").filter(~F.struct("doc_id", "line_no").eqNullSafe(F.col("first")))
+    gone = join_sized(places, again, "id", "inner").filter(~F.struct("doc_id", "line_no").eqNullSafe(F.col("first")))
     return gone.groupBy("doc_id").agg(F.sort_array(F.collect_set("line_no")).alias("removed"))
 
 

@@ -6,9 +6,11 @@
    bucket's smallest, not with all others: the packed signatures estimate the similarity,
    corrected for chance agreement of the low bits, and what may reach the threshold is
    confirmed on the full sets.
-3. Confirmed links give components. Where a bucket still holds several, the members outside its
-   largest component are compared with the rest of the bucket the same way, so that no link is
-   lost that the smallest member did not show.
+3. Confirmed links give components. Where the items near a hub still belong to several, those
+   outside the largest are held against all of them in blocks of bounded size: the differences
+   to the hub are small, and give the exact similarity of any two. So no link is lost that the
+   hub did not show, and no pairs are written out but those that join components. The few
+   bucket members that are not near their hub are compared with their bucket.
 
 The only tables shuffled are narrow ones, and the sets of representatives that have candidates.
 """
@@ -21,6 +23,7 @@ import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from .common import cut, join_sized, ship
@@ -30,6 +33,9 @@ from .shingles import WordHashes, band_keys, low_bits, minima, shared, word_shin
 ship(__name__)
 
 BANDS, ROWS, BITS = 32, 5, 2
+#: Estimated similarity to a hub from which an item's difference to it is looked at, and the
+#: rows of either side of a block.
+NEAR, BLOCK = 0.45, 1000
 #: Minima in the packed signature: 32 to a 64-bit word.
 PACKED = BANDS * ROWS // 32 * 32
 SIGNATURES = "doc_id long, n_shingles long, digest binary, bands array<long>, packed array<long>"
@@ -64,20 +70,35 @@ def signatures(docs: DataFrame, size: int) -> DataFrame:
     return docs.mapInArrow(run, SIGNATURES)
 
 
-def estimate(a: Column, b: Column) -> Column:
-    """Similarity estimated from packed signatures: the share of agreeing codes, less the share
-    2**-BITS of the others that agrees by chance."""
+def estimate(a: Column, b: Column, packed: int) -> Column:
+    """Similarity estimated from packed signatures of so many minima: the share of agreeing codes,
+    less the share 2**-BITS of the others that agrees by chance."""
     low = 0x5555555555555555
     apart = F.lit(0)
-    for k in range(PACKED * BITS // 64):
+    for k in range(packed * BITS // 64):
         x = F.get(a, F.lit(k)).bitwiseXOR(F.get(b, F.lit(k)))
         apart = apart + F.bit_count(x.bitwiseOR(F.shiftrightunsigned(x, 1)).bitwiseAND(F.lit(low)))
-    agree = 1 - apart / PACKED
+    agree = 1 - apart / packed
     return (agree - 0.5**BITS) / (1 - 0.5**BITS)
 
 
-def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs (a, b) whose sets have 100 * intersection >= percent * union."""
+def as_sets(items: pa.Array) -> list[np.ndarray]:
+    return [np.frombuffer(x.as_buffer(), np.uint64) for x in items]
+
+
+Reader = Callable[[pa.Array], list[np.ndarray]]
+
+
+def opened(keys: pa.Array, items: pa.Array, read: Reader) -> list[np.ndarray]:
+    """The set of every row, each key's opened once."""
+    known, where = np.unique(keys.to_numpy(), return_index=True)
+    sets = dict(zip(known.tolist(), read(items.take(pa.array(where)))))
+    return [sets[k] for k in keys.to_pylist()]
+
+
+def confirmed(pairs: DataFrame, sets: DataFrame, percent: int, read: Reader) -> DataFrame:
+    """The pairs (a, b) whose sets have 100 * intersection >= percent * union. ``sets`` is id,
+    items; ``read`` makes sorted sets of hashes of a column of items."""
     left = sets.select(F.col("id").alias("a"), F.col("items").alias("x"))
     right = sets.select(F.col("id").alias("b"), F.col("items").alias("y"))
     both = pairs.select("a", "b").join(right, "b").join(left, "a").select("a", "b", "x", "y")
@@ -85,8 +106,7 @@ def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             keep = []
-            for x, y in zip(batch.column(2), batch.column(3)):
-                x, y = np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64)
+            for x, y in zip(opened(batch.column(0), batch.column(2), read), opened(batch.column(1), batch.column(3), read)):
                 n = shared(x, y)
                 keep.append(100 * n >= percent * (len(x) + len(y) - n))
             yield batch.select([0, 1]).filter(pa.array(keep, pa.bool_()))
@@ -108,38 +128,142 @@ def shingle_sets(docs: DataFrame, size: int) -> DataFrame:
     return docs.mapInArrow(run, "id long, items binary")
 
 
-def linked(crowded: DataFrame, light: DataFrame, sets: Callable[[DataFrame], DataFrame], *, percent: int, margin: float) -> DataFrame:
+def differences(pairs: DataFrame, sets: DataFrame, read: Reader) -> DataFrame:
+    """hub, id, n_hub, n, items: the sorted symmetric difference of the hub's set and the item's."""
+    left = sets.select(F.col("id").alias("hub"), F.col("items").alias("x"))
+    right = sets.select("id", F.col("items").alias("y"))
+    both = pairs.select("hub", "id").join(right, "id").join(left, "hub").select("hub", "id", "x", "y")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sizes, others, items = [], [], []
+            for x, y in zip(opened(batch.column(0), batch.column(2), read), opened(batch.column(1), batch.column(3), read)):
+                sizes.append(len(x))
+                others.append(len(y))
+                items.append(np.setxor1d(x, y, assume_unique=True).tobytes())
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(sizes, pa.int64()), pa.array(others, pa.int64()), pa.array(items, pa.binary())], names=["hub", "id", "n_hub", "n", "items"])
+
+    return both.mapInArrow(run, "hub long, id long, n_hub long, n long, items binary")
+
+
+def links_across(rows: DataFrame, percent: int) -> DataFrame:
+    """Exact links between components within blocks of a hub's group: a, b, one for each two
+    components that a block links.
+
+    ``rows`` is hub, cx, cy, side (x or y), id, component, n_hub, n, items. With D the difference
+    to the hub, |x & y| = (n_x + n_y - |D_x| - |D_y|) / 2 + |D_x & D_y|, so that small
+    differences stand in for whole sets.
+    """
+
+    def run(table: pa.Table) -> pa.Table:
+        side = np.array(table.column("side").to_pylist())
+        sets = [np.frombuffer(v.as_buffer(), np.uint64) for v in table.column("items")]
+        ids, parts, n = (table.column(c).to_numpy() for c in ("id", "component", "n"))
+        d = np.array([len(v) for v in sets], dtype=np.int64)
+        xs, ys = np.flatnonzero(side == "x"), np.flatnonzero(side == "y")
+        out: list[tuple[int, int]] = []
+        if len(xs) and len(ys):
+            element_x, of_x = np.concatenate([sets[i] for i in xs]), np.repeat(np.arange(len(xs)), d[xs])
+            element_y, of_y = np.concatenate([sets[i] for i in ys]), np.repeat(np.arange(len(ys)), d[ys])
+            order = np.argsort(element_y, kind="stable")
+            element_y, of_y = element_y[order], of_y[order]
+            begin, end = np.searchsorted(element_y, element_x, "left"), np.searchsorted(element_y, element_x, "right")
+            joint = np.zeros((len(xs), len(ys)), dtype=np.int32)
+            for i in range(len(xs)):
+                mine = slice(*np.searchsorted(of_x, [i, i + 1]))
+                at = [of_y[p:q] for p, q in zip(begin[mine], end[mine]) if q > p]
+                if at:
+                    joint[i] = np.bincount(np.concatenate(at), minlength=len(ys))
+            met = (n[xs][:, None] + n[ys][None, :] - d[xs][:, None] - d[ys][None, :]) // 2 + joint
+            hit = (100 * met >= percent * (n[xs][:, None] + n[ys][None, :] - met)) & (parts[xs][:, None] != parts[ys][None, :])
+            seen = set()
+            for i, j in zip(*np.nonzero(hit)):
+                two = (parts[xs[i]], parts[ys[j]])
+                if two not in seen:
+                    seen.add(two)
+                    out.append((int(ids[xs[i]]), int(ids[ys[j]])))
+        return pa.table({"a": pa.array([p for p, _ in out], pa.int64()), "b": pa.array([q for _, q in out], pa.int64())})
+
+    return rows.groupBy("hub", "cx", "cy").applyInArrow(run, "a long, b long")
+
+
+def shared_buckets(banded: DataFrame) -> DataFrame:
+    """key, band, id, hub (the smallest id) for the band keys that several ids share; one shuffle
+    of narrow rows."""
+    bucket = W.partitionBy("key")
+    hubbed = banded.withColumn("hub", F.min("id").over(bucket)).withColumn("last", F.max("id").over(bucket))
+    return hubbed.filter("hub != last").select("key", "band", "id", "hub")
+
+
+def linked(crowded: DataFrame, light: DataFrame, sets: Callable[[DataFrame], DataFrame], *, percent: int, margin: float, packed: int = PACKED, read: Reader = as_sets) -> DataFrame:
     """node, component over the confirmed links between items that share a bucket.
 
     ``crowded`` is key, band, id, hub for the buckets with several items, ``light`` is id, n (the
-    set's size), packed and bands, and ``sets(ids)`` gives id, items for a table of ids.
+    set's size), packed (low bits of ``packed`` minima) and bands, and ``sets(ids)`` gives id, items for a table of ids, from which
+    ``read`` makes sorted sets of hashes.
     """
+    low = percent / 100 - margin
+    near = star_pairs(crowded, light, percent, low, packed)
+    items = cut(sets(ends(near)))
+    found = components(cut(confirmed(near.filter("alike"), items, percent, read)))
+    named = found.withColumnRenamed("node", "id")
+    more = cut(group_links(near, named, items, percent, read).unionByName(far_links(crowded, light, near, named, sets, percent, low, packed, read)))
+    if more.isEmpty():
+        return found
+    return components(found.select(F.col("node").alias("a"), F.col("component").alias("b")).unionByName(more))
+
 
-    def alike() -> Column:
-        fits = 100 * F.least("n_a", "n_b") >= percent * F.greatest("n_a", "n_b")
-        return fits & (estimate(F.col("p_a"), F.col("p_b")) >= percent / 100 - margin)
+def ends(pairs: DataFrame) -> DataFrame:
+    return cut(pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct())
 
-    def links_of(pairs: DataFrame) -> DataFrame:
-        ids = cut(pairs.select(F.col("a").alias("id")).unionByName(pairs.select(F.col("b").alias("id"))).distinct())
-        return cut(confirmed(pairs, cut(sets(ids)), percent))
 
+def fits(percent: int) -> Column:
+    """Whether the sizes of two sets allow the similarity."""
+    return 100 * F.least("n_a", "n_b") >= percent * F.greatest("n_a", "n_b")
+
+
+def side(light: DataFrame, name: str, *more: str) -> DataFrame:
+    columns = {"id": name, "n": f"n_{name}", "packed": f"p_{name}", "bands": f"k_{name}"}
+    return light.select(*[F.col(c).alias(columns[c]) for c in ("id", "n", "packed", *more)])
+
+
+def star_pairs(crowded: DataFrame, light: DataFrame, percent: int, low: float, packed: int) -> DataFrame:
+    """a (a hub), b, alike: every item with the smallest of each of its buckets, where it is near;
+    alike if the estimate lets the pair reach the threshold."""
     stars = crowded.filter("id != hub").select(F.col("hub").alias("a"), F.col("id").alias("b")).distinct()
-    stars = stars.join(light.select(F.col("id").alias("b"), F.col("n").alias("n_b"), F.col("packed").alias("p_b")), "b")
-    stars = stars.join(light.select(F.col("id").alias("a"), F.col("n").alias("n_a"), F.col("packed").alias("p_a")), "a")
-    found = components(links_of(cut(stars.filter(alike()).select("a", "b"))))
-
-    # Buckets that still hold several components: what is outside the largest, against the rest.
-    placed = crowded.join(found.withColumnRenamed("node", "id"), "id", "left").select("key", "band", "id", F.coalesce("component", "id").alias("component"))
-    parts = placed.groupBy("key", "component").agg(F.count(F.lit(1)).alias("size"))
-    main = parts.groupBy("key").agg(F.max_by("component", F.struct("size", "component")).alias("main"), F.count(F.lit(1)).alias("parts")).filter("parts > 1").select("key", "main")
-    mixed = cut(placed.join(main, "key").join(light, "id"))
-    own = mixed.filter("component != main").select(F.col("key").alias("key_a"), "band", F.col("id").alias("a"), F.col("component").alias("c_a"), F.col("n").alias("n_a"), F.col("packed").alias("p_a"), F.col("bands").alias("k_a"))
-    rest = mixed.select("key", "main", F.col("id").alias("b"), F.col("component").alias("c_b"), F.col("n").alias("n_b"), F.col("packed").alias("p_b"), F.col("bands").alias("k_b"))
-    once = (F.col("c_b") == F.col("main")) | (F.col("a") < F.col("b"))  # both outside the largest: one of the two orders
+    stars = stars.join(side(light, "b"), "b").join(side(light, "a"), "a").withColumn("s", estimate(F.col("p_a"), F.col("p_b"), packed))
+    return cut(stars.filter(F.col("s") >= NEAR).select("a", "b", (fits(percent) & (F.col("s") >= low)).alias("alike")))
+
+
+def group_links(near: DataFrame, named: DataFrame, items: DataFrame, percent: int, read: Reader) -> DataFrame:
+    """Links within the groups of a hub that hold several components: what is outside the largest
+    against all, in blocks of bounded size, on differences to the hub."""
+    placed = near.select(F.col("a").alias("hub"), F.col("b").alias("id")).join(named, "id", "left").withColumn("component", F.coalesce("component", "id"))
+    parts = placed.groupBy("hub", "component").agg(F.count(F.lit(1)).alias("size"))
+    groups = parts.groupBy("hub").agg(F.max_by("component", F.struct("size", "component")).alias("main"), F.max("size").alias("most"), F.sum("size").alias("all"), F.count(F.lit(1)).alias("parts")).filter("parts > 1")
+    groups = groups.select("hub", "main", F.expr(f"cast(ceil((all - most) / {BLOCK}) as int)").alias("nx"), F.expr(f"cast(ceil(all / {BLOCK}) as int)").alias("ny"))
+    mixed = cut(placed.join(groups, "hub"))
+    rows = cut(differences(mixed, items, read).join(mixed, ["hub", "id"]))
+    place = lambda n, salt: F.pmod(F.xxhash64("id", F.lit(salt)), F.col(n)).cast("int")
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    x = rows.filter("component != main").withColumn("cx", place("nx", 1)).withColumn("cy", every("ny")).withColumn("side", F.lit("x"))
+    y = rows.withColumn("cy", place("ny", 2)).withColumn("cx", every("nx")).withColumn("side", F.lit("y"))
+    return links_across(x.unionByName(y).select("hub", "cx", "cy", "side", "id", "component", "n", "items"), percent)
+
+
+def far_links(crowded: DataFrame, light: DataFrame, near: DataFrame, named: DataFrame, sets: Callable[[DataFrame], DataFrame], percent: int, low: float, packed: int, read: Reader) -> DataFrame:
+    """Links of items that are not near a bucket's hub with other components in the bucket, each
+    pair in the first band that it shares."""
+    component = lambda name: named.select(F.col("id").alias(name), F.col("component").alias(f"c_{name}"))
+    far = crowded.filter("id != hub").join(near.select(F.col("a").alias("hub"), F.col("b").alias("id")), ["hub", "id"], "left_anti")
+    lone = cut(far.select("key", "band", F.col("id").alias("a")).join(component("a"), "a", "left").join(side(light, "a", "bands"), "a"))
+    rest = crowded.join(lone.select("key").distinct(), "key", "left_semi").select(F.col("key").alias("key_b"), F.col("id").alias("b"))
+    rest = cut(rest.join(component("b"), "b", "left").join(side(light, "b", "bands"), "b"))
     earliest = F.array_position(F.zip_with("k_a", "k_b", lambda p, q: p == q), True) == F.col("band") + 1
-    crossed = own.join(rest, (F.col("key_a") == F.col("key")) & (F.col("c_a") != F.col("c_b")) & once & alike() & earliest)
-    more = links_of(cut(crossed.select("a", "b").distinct()))
-    return components(found.select(F.col("node").alias("a"), F.col("component").alias("b")).unionByName(more))
+    apart = F.coalesce("c_a", "a") != F.coalesce("c_b", "b")
+    crossed = lone.join(rest, (F.col("key") == F.col("key_b")) & apart & fits(percent) & (estimate(F.col("p_a"), F.col("p_b"), packed) >= low) & earliest)
+    crossed = cut(crossed.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
+    return confirmed(crossed, cut(sets(ends(crossed))), percent, read)
 
 
 def near_duplicates(docs: DataFrame, *, size: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text", margin: float = 0.18) -> DataFrame:
@@ -161,12 +285,10 @@ def near_duplicates(docs: DataFrame, *, size: int = 5, percent: int = 80, id_col
     some = signed.filter("n_shingles > 0 and doc_id is not null")
     first = cut(some.groupBy("digest").agg(F.min(F.struct("doc_id", "n_shingles", "bands", "packed")).alias("f")).select("digest", "f.*"))
 
-    banded = first.select("doc_id", F.posexplode("bands").alias("band", "key"))
-    met = banded.groupBy("key").agg(F.min("doc_id").alias("hub"), F.count(F.lit(1)).alias("n")).filter("n > 1").select("key", "hub")
-    crowded = cut(banded.join(met, "key").select("key", "band", "doc_id", "hub"))
+    crowded = cut(shared_buckets(first.select(F.col("doc_id").alias("id"), F.posexplode("bands").alias("band", "key"))))
     sets = lambda ids: shingle_sets(join_sized(texts, ids, F.col("doc_id") == F.col("id"), "left_semi"), size).dropDuplicates(["id"])
     light = first.select(F.col("doc_id").alias("id"), F.col("n_shingles").alias("n"), "packed", "bands")
-    joined = linked(crowded.withColumnRenamed("doc_id", "id"), light, sets, percent=percent, margin=margin)
+    joined = linked(crowded, light, sets, percent=percent, margin=margin)
 
     named = first.select("digest", F.col("doc_id").alias("node")).join(joined, "node", "left").select("digest", F.coalesce("component", "node").alias("component_id"))
     several = cut(named)

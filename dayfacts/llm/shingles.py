@@ -63,10 +63,8 @@ def char_shingles(line: bytes, size: int) -> np.ndarray:
 def minima(sets: list[np.ndarray], count: int, block: int = 1 << 16) -> np.ndarray:
     """(len(sets), count) uint32 minima of non-empty shingle arrays under ``count`` fixed
     permutations, about ``block`` shingles at a time so that they stay in cache."""
-    rng = np.random.default_rng(20240229)
-    factors = rng.integers(0, 1 << 31, count, dtype=np.uint32) * np.uint32(2) + np.uint32(1)
-    shifts = rng.integers(0, 1 << 32, count, dtype=np.uint32)
-    out = np.empty((len(sets), count), dtype=np.uint32)
+    factors = np.random.default_rng(20240229).integers(0, 1 << 31, count, dtype=np.uint32) * np.uint32(2) + np.uint32(1)
+    out = np.empty((count, len(sets)), dtype=np.uint32)
     begin = 0
     while begin < len(sets):
         end, held = begin, 0
@@ -75,11 +73,12 @@ def minima(sets: list[np.ndarray], count: int, block: int = 1 << 16) -> np.ndarr
             end += 1
         x = np.concatenate(sets[begin:end])
         x = (x ^ (x >> np.uint64(32))).astype(np.uint32)
-        starts = np.cumsum([0, *map(len, sets[begin : end - 1])])
+        starts, product = np.cumsum([0, *map(len, sets[begin : end - 1])]), np.empty_like(x)
         for k in range(count):
-            out[begin:end, k] = np.minimum.reduceat((x ^ shifts[k]) * factors[k], starts)
+            np.multiply(x, factors[k], out=product)
+            np.minimum.reduceat(product, starts, out=out[k, begin:end])
         begin = end
-    return out
+    return np.ascontiguousarray(out.T)
 
 
 def band_keys(m: np.ndarray, rows: int) -> np.ndarray:
@@ -97,7 +96,7 @@ def low_bits(m: np.ndarray, bits: int) -> np.ndarray:
     """(sets, words) int64: the low ``bits`` of the minima, scattered first, 64 // bits a word."""
     per = 64 // bits
     x = m.astype(np.uint64) * MIX >> np.uint64(64 - bits)
-    words = x[:, : x.shape[1] // per * per].reshape(len(m), -1, per)
+    words = x[:, : x.shape[1] // per * per].reshape(len(m), x.shape[1] // per, per)
     places = np.arange(per, dtype=np.uint64) * np.uint64(bits)
     return np.bitwise_or.reduce(words << places, axis=2).view(np.int64)
 

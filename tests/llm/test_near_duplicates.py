@@ -103,7 +103,7 @@ def test_exact_links_from_differences(spark):
         sets[i] = np.unique(np.concatenate([kept, rng.integers(0, 1 << 60, rng.integers(0, 15), dtype=np.uint64)]))
     table = spark.createDataFrame([(i, bytearray(s.tobytes())) for i, s in sets.items()], "id long, items binary")
     pairs = spark.createDataFrame([(0, i) for i in range(1, 40)], "hub long, id long")
-    rows = M.differences(pairs, table, M.as_set).selectExpr("*", "id as component", "0 as cx", "0 as cy")
+    rows = M.differences(pairs, table, M.as_sets).selectExpr("*", "id as component", "0 as cx", "0 as cy")
     both = rows.selectExpr("*", "'x' as side").unionByName(rows.selectExpr("*", "'y' as side"))
     got = {tuple(r) for r in M.links_across(both, 80).collect()}
     want = {(a, b) for a in range(1, 40) for b in range(1, 40) if a != b and 100 * S.shared(sets[a], sets[b]) >= 80 * len(np.union1d(sets[a], sets[b]))}
@@ -123,7 +123,7 @@ def test_estimate_is_corrected_for_chance(spark):
         truth.append(same / (2 * n - same))
     packed = S.low_bits(S.minima(sets, M.BANDS * M.ROWS), M.BITS).tolist()
     df = spark.createDataFrame([(packed[2 * i], packed[2 * i + 1], t) for i, t in enumerate(truth)], "a array<long>, b array<long>, t double")
-    off = np.array([r[0] - r[1] for r in df.select(M.estimate(df.a, df.b), "t").collect()])
+    off = np.array([r[0] - r[1] for r in df.select(M.estimate(df.a, df.b, M.PACKED), "t").collect()])
     assert abs(off.mean()) < 0.02 and abs(off).max() < 0.18
 
 
