@@ -23,7 +23,7 @@ def reject_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One line of each component of similar lines stays; no document goes, even if it is left
     without lines, and n_chars follows the text."""
-    return line_dedup.without_lines(docs, line_dedup.repeated_lines(docs))
+    return line_dedup.without_lines(docs, line_dedup.repeated_lines(docs, least_chars=1))
 
 
 def keep_one_of_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

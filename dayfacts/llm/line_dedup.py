@@ -75,8 +75,9 @@ def line_bands(texts: DataFrame, least_chars: int) -> DataFrame:
 
 
 def crowded_lines(texts: DataFrame, least_chars: int) -> DataFrame:
-    """key, band, id, hub (the smallest id) for the band keys that several lines share."""
-    banded = line_bands(texts, least_chars).select("id", F.posexplode("bands").alias("band", "key"))
+    """key, band, id, hub (the smallest id) for the band keys that several lines share. A line
+    shorter than a shingle is one shingle, its own, so it can only equal lines of its own id."""
+    banded = line_bands(texts, max(least_chars, SHINGLE)).select("id", F.posexplode("bands").alias("band", "key"))
     return cut(shared_buckets(banded).distinct())
 
 
@@ -106,8 +107,9 @@ def repeated_lines(docs: DataFrame, *, percent: int = 80, margin: float = 0.2, l
     lose lines.
 
     Two lines are linked if their sets of 8-character shingles have 100 * intersection >=
-    ``percent`` * union. Lines are split at ``\\n``; those without a word or shorter than
-    ``least_chars`` are left alone. At a similarity of 0.8 a pair of lines shares no band with a
+    ``percent`` * union; a line shorter than a shingle is one shingle. Lines are split at ``\\n``;
+    those without a word or shorter than ``least_chars`` are left alone (1: no line is too
+    short). At a similarity of 0.8 a pair of lines shares no band with a
     chance of 6 in ten thousand, at 0.9 of 3 in ten million.
 
     Null and empty texts: no lines. Ties: the first line of the smallest document id stays (null

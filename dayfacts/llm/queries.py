@@ -57,7 +57,7 @@ def op7_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents").select("doc_id", "text")
-    gone = line_dedup.repeated_lines(docs)
+    gone = line_dedup.repeated_lines(docs, least_chars=1)
     return docs.select("doc_id").join(gone, "doc_id", "left").select("doc_id", F.coalesce(F.size("removed"), F.lit(0)).cast("long").alias("n_removed"), F.array_join(F.coalesce("removed", F.array().cast("array<int>")), ",").alias("removed_lines"))
 
 
