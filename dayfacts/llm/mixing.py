@@ -3,19 +3,32 @@
 Every source's documents form a stream cut into blocks of equal size. With whole weights a_s
 that sum to D, block k of source s is released at slot floor(k*D/a_s) and due at
 ceil((k+1)*D/a_s); the earliest deadline first fills each slot. A source is then never a whole
-block away from its share. The schedule repeats every D slots, so a template of D slots places
-any number of blocks with arithmetic on the executors. When a source runs out, the others go on
-with a template of their own.
+block away from its share. When a source runs out, the others go on with windows of their own.
+
+Up to one period of rounded weights, a template of D slots places the blocks. Beyond, rounding
+would add up, so the weights stay exact and the slots are cut into periods: the driver finds
+which blocks each period takes, from the exact windows (nobody is a whole block off where a
+period ends), and the executors order the blocks of each period.
 """
 
 from __future__ import annotations
 
 import heapq
+from collections.abc import Iterator
+from math import isqrt
 
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from .common import cut, join_sized, ship
+
+ship(__name__)
+
+#: Parts of exact weights: over 2^29 blocks, rounding to them moves a target by less than 2^-11 of a block.
+PARTS = 1 << 40
+
 
 def edf_template(weights: dict[int, int]) -> list[int]:
     """The source of each of the D slots, D being the sum of the weights."""
@@ -64,14 +77,89 @@ def phases(blocks: dict[int, int], weights: dict[int, int]) -> list[tuple[int, i
     return out
 
 
+def taken_by(end: int, weights: list[int], done: list[int]) -> list[int]:
+    """How many blocks of each source are placed before slot ``end``, given those placed before
+    the period: all that are due, then of those released the first due. What a feasible schedule
+    does later instead can be exchanged, so that the slots after ``end`` stay feasible."""
+    total = sum(weights)
+    out = [max(n, end * a // total) for n, a in zip(done, weights)]
+    begun = sorted((-(-(n + 1) * total // a), i) for i, (n, a) in enumerate(zip(out, weights)) if n * total < end * a)
+    rest = end - sum(out)
+    if not 0 <= rest <= len(begun):
+        raise AssertionError("a period does not hold what is due")
+    for _, i in begun[:rest]:
+        out[i] += 1
+    return out
+
+
+def period_order(first: int, weights: list[int], done: list[int], upto: list[int]) -> list[int]:
+    """The source of each slot from ``first``: earliest deadline first; where nothing of the
+    period is released, what is released next."""
+    total = sum(weights)
+    waiting = sorted((k * total // a, i, k) for i, a in enumerate(weights) for k in range(done[i], upto[i]))
+    ready: list[tuple[int, int]] = []
+    order, at = [], 0
+    for slot in range(first, first + len(waiting)):
+        while at < len(waiting) and (waiting[at][0] <= slot or not ready):
+            _, i, k = waiting[at]
+            heapq.heappush(ready, (-(-(k + 1) * total // weights[i]), i))
+            at += 1
+        order.append(heapq.heappop(ready)[1])
+    return order
+
+
+def periods(blocks: dict[int, int], weights: dict[int, int], length: int) -> Iterator[tuple[int, int, int, list[int], list[int], list[int], list[int], list[int]]]:
+    """(slot, first slot in its phase, slots, sources, weights, blocks placed in earlier phases,
+    blocks placed in the phase before and up to its end) for periods of at most ``length`` slots;
+    a phase ends when a source has no block left."""
+    left, before, slot = {s: n for s, n in blocks.items() if n}, dict.fromkeys(blocks, 0), 0
+    while left:
+        names = list(left)
+        parts, earlier, done, first = [weights[s] for s in names], [before[s] for s in names], [0] * len(names), 0
+        ended = False
+        while not ended:
+            upto = taken_by(first + length, parts, done)
+            size, after = length, upto
+            if any(n >= left[s] for s, n in zip(names, upto)):
+                ended, size, after = True, 0, list(done)
+                for i in period_order(first, parts, done, upto):
+                    after[i] += 1
+                    size += 1
+                    if after[i] == left[names[i]]:
+                        break
+            yield slot, first, size, names, parts, earlier, done, upto
+            slot, first, done = slot + size, first + length, after
+        for s, n in zip(names, done):
+            before[s] += n
+            left[s] -= n
+        left = {s: n for s, n in left.items() if n}
+
+
+def ordered(table: DataFrame) -> DataFrame:
+    """_place, _block, _slot of every block of the periods."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for r in batch.to_pylist():
+                at, places, numbers = list(r["done"]), [], []
+                for i in period_order(r["first"], r["parts"], r["done"], r["upto"])[: r["size"]]:
+                    places.append(r["names"][i])
+                    numbers.append(r["earlier"][i] + at[i])
+                    at[i] += 1
+                slots = range(r["slot"], r["slot"] + r["size"])
+                yield pa.RecordBatch.from_arrays([pa.array(places, pa.int64()), pa.array(numbers, pa.int64()), pa.array(slots, pa.int64())], names=["_place", "_block", "_slot"])
+
+    return table.mapInArrow(run, "_place long, _block long, _slot long")
+
+
 def mix(docs: DataFrame, *, weights: dict[str | None, float] | None = None, id_col: str = "doc_id", source_col: str = "source", size_col: str | None = "n_chars", block_size: int = 65_536, grid: int = 1000, power: float = 0.5, max_sources: int = 256, group_rows: int = 2000) -> DataFrame:
     """All rows and columns of ``docs``, with mix_block, mix_slot and mix_rank added: the block of
     the document in its source, that block's place in the mixture, and the document's place in
     its source. Sort by (mix_slot, mix_rank) for the mixture.
 
     ``weights`` gives target shares by source (needed for every source); by default a source's
-    share follows its total size to the given power. Shares are rounded to ``grid`` parts, one at
-    least. Sizes come from ``size_col`` (null or less than 1: 1; no column: 1 each); a document
+    share follows its total size to the given power. Up to ``grid`` blocks, shares are rounded to
+    ``grid`` parts, one at least; beyond, they are exact. Sizes come from ``size_col`` (null or less than 1: 1; no column: 1 each); a document
     belongs to the block in which it starts. Blocks within a source hold documents in an order
     drawn by hash, so that a hot source is dealt over many groups.
 
@@ -80,7 +168,7 @@ def mix(docs: DataFrame, *, weights: dict[str | None, float] | None = None, id_c
     Columns of the input whose names clash with the added ones are replaced.
     """
     added = ["mix_block", "mix_slot", "mix_rank"]
-    own = ["_salt", "_size", "_before", "_n", "_group_size", "_group_rows", "_size_before", "_rows_before", "_key", "_source", "_first", "_end", "_start", "_weight", "_period", "_slots"]
+    own = ["_salt", "_size", "_before", "_n", "_group_size", "_group_rows", "_size_before", "_rows_before", "_key", "_source", "_first", "_end", "_start", "_weight", "_period", "_slots", "_place", "_block", "_slot"]
     docs = docs.drop(*added, *own)
     size = F.greatest(F.coalesce(F.col(size_col).cast("long"), F.lit(1)), F.lit(1)) if size_col else F.lit(1)
     sized = docs.withColumn("_size", size.cast("long"))
@@ -90,11 +178,8 @@ def mix(docs: DataFrame, *, weights: dict[str | None, float] | None = None, id_c
         raise ValueError(f"more than {max_sources} sources; group them first")
     found.sort(key=lambda r: (r["source"] is not None, r["source"] or ""))
     share = {i: (weights[r["source"]] if weights else r["size"] ** power) for i, r in enumerate(found)}
-    whole = {i: max(1, round(grid * w / sum(share.values()))) for i, w in share.items()}
-    plan = phases({i: -(-r["size"] // block_size) for i, r in enumerate(found)}, whole)
-    rows = [(found[s]["source"], *rest) for s, *rest in plan]
+    blocks = {i: -(-r["size"] // block_size) for i, r in enumerate(found)}
     spark = docs.sparkSession
-    table = spark.createDataFrame(rows, "_source string, _first long, _end long, _start long, _weight long, _period long, _slots array<long>")
 
     salts = min(1 << 16, max(1, -(-sum(r["rows"] for r in found) // group_rows)))
     key = F.coalesce(F.concat(F.lit("="), F.col(source_col).cast("string")), F.lit(""))
@@ -107,6 +192,17 @@ def mix(docs: DataFrame, *, weights: dict[str | None, float] | None = None, id_c
     ranked = salted.withColumn("_n", F.row_number().over(within)).withColumn("_before", F.sum("_size").over(within.rowsBetween(W.unboundedPreceding, 0)) - F.col("_size"))
     placed = ranked.join(offsets, ["_key", "_salt"])
     placed = placed.withColumn("mix_block", F.expr(f"(_size_before + _before) div {int(block_size)}")).withColumn("mix_rank", F.col("_rows_before") + F.col("_n") - 1)
+    if sum(blocks.values()) > grid:
+        exact = {i: max(1, round(PARTS * w / sum(share.values()))) for i, w in share.items()}
+        length = max(grid, isqrt(sum(blocks.values())))
+        plan = spark.createDataFrame(list(periods(blocks, exact, length)), "slot long, first long, size long, names array<long>, parts array<long>, earlier array<long>, done array<long>, upto array<long>")
+        names = spark.createDataFrame([(i, r["source"]) for i, r in enumerate(found)], "_place long, _source string")
+        slots = cut(ordered(plan).join(F.broadcast(names), "_place").select("_source", "_block", "_slot"))
+        on = F.col(source_col).cast("string").eqNullSafe(F.col("_source")) & (F.col("mix_block") == F.col("_block"))
+        return join_sized(placed, slots, on, "inner").withColumn("mix_slot", F.col("_slot")).select(*docs.columns, *added)
+    whole = {i: max(1, round(grid * w / sum(share.values()))) for i, w in share.items()}
+    rows = [(found[s]["source"], *rest) for s, *rest in phases(blocks, whole)]
+    table = spark.createDataFrame(rows, "_source string, _first long, _end long, _start long, _weight long, _period long, _slots array<long>")
     on = F.col(source_col).cast("string").eqNullSafe(F.col("_source")) & (F.col("mix_block") >= F.col("_first")) & (F.col("mix_block") < F.col("_end"))
     slotted = placed.join(F.broadcast(table), on)  # at most max_sources phases of each source
     turn = F.expr("_start + ((mix_block - _first) div _weight) * _period + element_at(_slots, cast((mix_block - _first) % _weight as int) + 1)")
