@@ -39,8 +39,11 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def pack_windows(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of all documents in sequences of at most 1024 ids."""
-    return packing.piece_digests(packing.pack(docs, packing.public_encoder()))
+    """Pieces of all documents in sequences of at most 1024 ids, packed in the order of the
+    mixture. A table that is read again has lost the order of its rows, so it comes from the
+    documents themselves."""
+    mixed = mixing.mix(docs).repartitionByRange("mix_slot", "mix_rank").sortWithinPartitions("mix_slot", "mix_rank")
+    return packing.piece_digests(packing.pack(mixed, packing.public_encoder()))
 
 
 STAGES = [
