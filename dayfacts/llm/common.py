@@ -3,10 +3,9 @@
 from __future__ import annotations
 
 import sys
-import tempfile
 
 from pyspark import cloudpickle
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: White space between words, and a word, as the query contracts define them.
@@ -28,27 +27,58 @@ def ship(module: str) -> None:
 def cut(df: DataFrame) -> DataFrame:
     """Cut lineage with a reliable checkpoint in the folder the cluster names.
 
-    The folder comes from ``spark.checkpoint.dir``; a folder of our own is set only where
-    that is unset, as in local tests.
+    The folder comes from ``spark.checkpoint.dir``; where that is unset, as in local tests, it is
+    a new one beside the tables of the session's warehouse, which all executors share.
     """
     spark = df.sparkSession
     context = spark.sparkContext
     if context._jsc.sc().getCheckpointDir().isEmpty():
         named = context.getConf().get("spark.checkpoint.dir")
-        context.setCheckpointDir(named or tempfile.mkdtemp(prefix="spark-checkpoint-", dir="/tmp"))
+        context.setCheckpointDir(named or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_checkpoints")
     return df.checkpoint(eager=True)
 
 
+def text_key(text: Column) -> Column:
+    """The 64-bit hash of a text (null: empty) that tells apart rows which share an id."""
+    return F.xxhash64(F.coalesce(text.cast("string"), F.lit("")))
+
+
+def at_end(run):
+    """The task function ``run``, giving memory back to the machine when a task ends: workers are
+    used again, and what a task's caches took would stay with them."""
+
+    def task(batches):
+        try:
+            yield from run(batches)
+        finally:
+            import ctypes
+            import gc
+
+            import pyarrow
+
+            gc.collect()
+            pyarrow.default_memory_pool().release_unused()
+            try:
+                ctypes.CDLL(None).malloc_trim(0)
+            except (AttributeError, OSError):  # another C library
+                pass
+
+    return task
+
+
 def ascii_lower(col):
     """Lower-case A-Z and nothing else."""
     return F.translate(col, UPPER, UPPER.lower())
 
 
-#: Rows of two or three numbers that may be broadcast: some tens of megabytes.
-SMALL_ROWS = 1 << 20
+#: Rows of a few numbers that may be broadcast: some tens of megabytes.
+SMALL_ROWS = 1 << 18
 
 
 def join_sized(df: DataFrame, small: DataFrame, on, how: str, limit: int = SMALL_ROWS) -> DataFrame:
     """Join a checkpointed table of few, narrow columns: broadcast if its counted rows are within
     the limit, else shuffled."""
     return df.join(F.broadcast(small) if small.limit(limit + 1).count() <= limit else small, on, how)
+
+
+ship(__name__)

@@ -1,9 +1,10 @@
 """Fuzzy line dedup: one line stays of every component of similar lines in the whole corpus.
 
-1. Lines get MinHash signatures of their character shingles, and band keys; only (key, line id)
-   is shuffled. A line's id is the 64-bit hash of its text, so equal lines are one line here.
-2. Lines that share a band key are confirmed by the exact Jaccard similarity of their shingle
-   sets, and confirmed links give components by the distributed union-find.
+1. One pass over the texts numbers every line by the 64-bit hash of its text, so that equal lines
+   are one line here, and gives each line that a task meets for the first time the MinHash band
+   keys of its character shingles.
+2. Lines that share a band key are compared by the exact Jaccard similarity of their shingle
+   sets, and links give components by the distributed union-find.
 3. Occurrences are counted by component. The first, by document and line number, stays; each
    document gets the numbers of its lines that go.
 """
@@ -18,130 +19,121 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import SPACE, cut, join_sized, ship
-from .minhash import linked, shared_buckets
-from .shingles import MIX, band_keys, low_bits, minima, scatter
+from .common import SMALL_ROWS, WORD, at_end, cut, join_sized, ship, text_key
+from .linking import linked, parts, shared_buckets
+from .shingles import band_keys, line_shingles, minima
 
 ship(__name__)
 
 BANDS, ROWS, SHINGLE = 14, 4, 8
-#: Minima whose low bits are packed for the estimates.
-PACKED = 96
 #: The seed of Spark's xxhash64.
 SEED = 42
+FRESH = pa.list_(pa.struct([("id", pa.int64()), ("bands", pa.list_(pa.int64()))]))
 
 
-def line_shingles(lines: list[str], size: int) -> list[np.ndarray]:
-    """Hashes of the ``size``-character shingles of each line, in order; a shorter line has none."""
-    lengths = np.array([len(x) for x in lines], dtype=np.int64)
-    x = np.frombuffer("".join(lines).encode("utf-32-le", "surrogatepass"), dtype="<u4").astype(np.uint64)
-    n = max(0, len(x) - size + 1)
-    key = np.full(n, size, dtype=np.uint64)
-    for i in range(size):
-        key = (key ^ (key >> np.uint64(31))) * MIX + x[i : i + n]
-    key = scatter(key)
-    starts = np.cumsum(lengths) - lengths
-    return [key[s : s + max(0, m - size + 1)] for s, m in zip(starts.tolist(), lengths.tolist())]
-
-
-def line_bands(texts: DataFrame, least_chars: int) -> DataFrame:
-    """id, bands of the lines of ``least_chars`` characters or more, about once for each task
-    that meets the line."""
+def numbered_lines(texts: DataFrame) -> DataFrame:
+    """doc_id, text_key, lines (the ids of a text's lines in order, null for lines without a word)
+    and fresh (id, bands of the lines of a shingle or more that the task has not met lately) for
+    doc_id, text_key, text. Null text: no lines."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
+        digest = xxhash.xxh64_intdigest
         for batch in batches:
-            ids: list[int] = []
-            lines: list[str] = []
-            held = 0
-            for i, text in enumerate(batch.column(0)):
-                for line in (text.as_py() or "").split("\n"):
-                    if len(line) >= least_chars and line.strip(SPACE):
-                        key = xxhash.xxh64_intdigest(line.encode("utf-8", "replace"), SEED)
-                        if key not in seen:
-                            if len(seen) >= 200_000:
-                                seen.clear()
-                            seen.add(key)
-                            ids.append(key - (1 << 64) if key >> 63 else key)
-                            lines.append(line)
-                            held += len(line)
-                if held >= 1 << 20 or (i == batch.num_rows - 1 and lines):
-                    bands = band_keys(minima(line_shingles(lines, SHINGLE), BANDS * ROWS), ROWS)
-                    flat = pa.ListArray.from_arrays(pa.array(np.arange(len(ids) + 1, dtype=np.int32) * BANDS), pa.array(bands.reshape(-1)))
-                    yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), flat], names=["id", "bands"])
-                    ids, lines, held = [], [], 0
-
-    return texts.select("text").mapInArrow(run, "id long, bands array<long>")
-
-
-def crowded_lines(texts: DataFrame, least_chars: int) -> DataFrame:
-    """key, band, id, hub (the smallest id) for the band keys that several lines share. A line
-    shorter than a shingle is one shingle, its own, so it can only equal lines of its own id."""
-    banded = line_bands(texts, max(least_chars, SHINGLE)).select("id", F.posexplode("bands").alias("band", "key"))
-    return cut(shared_buckets(banded).distinct())
-
-
-def line_signatures(lines: DataFrame) -> DataFrame:
-    """id, n, packed and bands of candidate lines (id, text)."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for begin in range(0, batch.num_rows, 1024):
-                part = batch.slice(begin, 1024)
-                found = line_shingles(part.column(1).to_pylist(), SHINGLE)
-                m = minima(found, PACKED)
-                yield pa.RecordBatch.from_arrays(
-                    [part.column(0), pa.array([len(np.unique(x)) for x in found], pa.int64()), pa.array(low_bits(m, 2).tolist(), pa.list_(pa.int64())), pa.array(band_keys(m[:, : BANDS * ROWS], ROWS).tolist(), pa.list_(pa.int64()))],
-                    names=["id", "n", "packed", "bands"],
-                )
-
-    return lines.mapInArrow(run, "id long, n long, packed array<long>, bands array<long>")
+            for part in parts(batch, 2):
+                all_ids: list[list[int | None] | None] = []
+                ids: list[int] = []
+                new: list[bytes] = []
+                ends = [0]
+                for text in part.column(2).cast(pa.binary()).to_pylist():
+                    here: list[int | None] = []
+                    for line in text.split(b"\n") if text is not None else ():
+                        if line.strip():  # for bytes: 0x20 and 0x09-0x0D
+                            key = digest(line, SEED)
+                            if key >> 63:
+                                key -= 1 << 64
+                            here.append(key)
+                            if key not in seen:
+                                if len(seen) >= 200_000:
+                                    seen.clear()
+                                seen.add(key)
+                                if len(line) >= SHINGLE:
+                                    ids.append(key)
+                                    new.append(line)
+                        else:
+                            here.append(None)
+                    all_ids.append(here)
+                    ends.append(len(ids))
+                sets = line_shingles(new, SHINGLE, np.uint32)
+                full = [i for i, s in enumerate(sets) if len(s)]
+                bands = band_keys(minima([sets[i] for i in full], BANDS * ROWS), ROWS)
+                stops = np.zeros(len(new) + 1, dtype=np.int32)
+                stops[np.array(full, dtype=np.int64) + 1] = BANDS
+                flat = pa.ListArray.from_arrays(pa.array(np.cumsum(stops, dtype=np.int32)), pa.array(bands.reshape(-1)))
+                fresh = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.StructArray.from_arrays([pa.array(ids, pa.int64()), flat], fields=list(FRESH.value_type)))
+                yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(all_ids, pa.list_(pa.int64())), fresh.cast(FRESH)], names=["doc_id", "text_key", "lines", "fresh"])
+
+    return texts.mapInArrow(at_end(run), "doc_id long, text_key long, lines array<long>, fresh array<struct<id: long, bands: array<long>>>")
 
 
 def line_sets(lines: pa.Array) -> list[np.ndarray]:
-    return [np.unique(x) for x in line_shingles(lines.to_pylist(), SHINGLE)]
+    return [np.unique(x) for x in line_shingles(lines.cast(pa.binary()).to_pylist(), SHINGLE)]
 
 
-def repeated_lines(docs: DataFrame, *, percent: int = 80, margin: float = 0.2, least_chars: int = 16, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, removed (the sorted numbers, from 0, of lines that go), for the documents that
-    lose lines.
+def repeated_lines(docs: DataFrame, *, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """doc_id, text_key (``common.text_key``), removed (the sorted numbers, from 0, of lines that
+    go), for the documents that lose lines.
 
     Two lines are linked if their sets of 8-character shingles have 100 * intersection >=
-    ``percent`` * union; a line shorter than a shingle is one shingle. Lines are split at ``\\n``;
-    those without a word or shorter than ``least_chars`` are left alone (1: no line is too
-    short). At a similarity of 0.8 a pair of lines shares no band with a
-    chance of 6 in ten thousand, at 0.9 of 3 in ten million.
+    ``percent`` * union; a line shorter than a shingle is one shingle, so that only equal ones
+    meet. Lines are split at ``\\n``; those without a word are left alone. At a similarity of 0.8
+    a pair of lines shares no band with a chance of 6 in ten thousand, at 0.9 of 3 in ten million.
 
     Null and empty texts: no lines. Ties: the first line of the smallest document id stays (null
-    ids come first). Rows that repeat an id share their line numbers, so equal rows lose equal
-    lines. Empty table: no rows. Other columns are not read.
+    ids come first, then the smaller text_key). Rows that repeat an id with other texts, and rows
+    without an id, are documents of their own; rows that repeat id and text are one document and
+    lose the same lines. Empty table: no rows. Other columns are not read.
     """
-    texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    lines = texts.select("doc_id", F.posexplode(F.split("text", "\n")).alias("line_no", "line"))
-    lines = lines.filter((F.length("line") >= least_chars) & (F.btrim("line", F.lit(SPACE)) != "")).select("doc_id", "line_no", F.xxhash64("line").alias("id"), "line")
-
-    crowded = crowded_lines(texts, least_chars)
-    known = cut(join_sized(lines.select(F.col("id").alias("_id"), "line"), cut(crowded.select("id").distinct()), F.col("_id") == F.col("id"), "left_semi").select(F.col("_id").alias("id"), F.col("line").alias("items")).dropDuplicates(["id"]))
-    sets = lambda wanted: known.join(wanted, "id", "left_semi")
-    found = linked(crowded, cut(line_signatures(known)), sets, percent=percent, margin=margin, packed=PACKED, read=line_sets)
-
-    places = cut(lines.select("doc_id", "line_no", "id"))
-    each = cut(places.groupBy("id").agg(F.count(F.lit(1)).alias("times"), F.min(F.struct("doc_id", "line_no")).alias("first")))
-    placed = each.join(found.withColumnRenamed("node", "id"), "id", "left").withColumn("component", F.coalesce("component", "id"))
-    first = placed.groupBy("component").agg(F.sum("times").alias("times"), F.min("first").alias("first")).filter("times > 1").select("component", "first")
-    again = cut(placed.select("id", "component").join(first, "component").select("id", "first"))
-    gone = join_sized(places, again, "id", "inner").filter(~F.struct("doc_id", "line_no").eqNullSafe(F.col("first")))
-    return gone.groupBy("doc_id").agg(F.sort_array(F.collect_set("line_no")).alias("removed"))
-
-
-def without_lines(docs: DataFrame, removed: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", count_col: str | None = "n_chars") -> DataFrame:
+    texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), text_key(F.col(text_col)).alias("text_key"), F.col(text_col).cast("string").alias("text"))
+    numbered = cut(numbered_lines(texts))
+    banded = numbered.select(F.explode("fresh").alias("f")).select("f.id", "f.bands")
+    crowded = cut(shared_buckets(banded))
+    lines = texts.select(F.explode(F.split("text", "\n")).alias("items")).select(F.xxhash64("items").alias("id"), "items")
+    known = cut(join_sized(lines, cut(crowded.select(F.explode(F.array("hub", "id")).alias("id")).distinct()), "id", "left_semi").dropDuplicates(["id"]))
+    found = cut(linked(crowded, lambda ids: known.join(ids, "id", "left_semi"), percent=percent, read=line_sets).withColumnRenamed("node", "id"))
+
+    places = numbered.select("doc_id", "text_key", F.posexplode("lines").alias("line_no", "id")).filter("id is not null")
+    each = places.groupBy("id").agg(F.count(F.lit(1)).alias("times"), F.min(F.struct("doc_id", "text_key", "line_no")).alias("first"))
+    placed = cut(join_sized(each, found, "id", "left").filter("times > 1 or component is not null").withColumn("component", F.coalesce("component", "id")))
+    first = cut(placed.groupBy("component").agg(F.sum("times").alias("times"), F.min("first").alias("first")).filter("times > 1").select("component", "first"))
+    again = cut(join_sized(placed.select("id", "component"), first, "component", "inner").select("id", "first"))
+    gone = join_sized(places, again, "id", "inner").filter(~F.struct("doc_id", "text_key", "line_no").eqNullSafe(F.col("first")))
+    return gone.groupBy("doc_id", "text_key").agg(F.sort_array(F.collect_set("line_no")).alias("removed"))
+
+
+def beside_removed(rows: DataFrame, removed: DataFrame) -> DataFrame:
+    """``rows``, with doc_id and text_key among its columns, and _gone: the numbers of the lines
+    that go, or null. The list is broadcast if it is counted to take some tens of megabytes."""
+    gone = cut(removed.select(F.col("doc_id").alias("_gone_id"), F.col("text_key").alias("_gone_key"), F.col("removed").alias("_gone")))
+    size = gone.agg(F.sum(4 * F.size("_gone") + 100)).first()[0] or 0
+    on = F.col("doc_id").eqNullSafe(F.col("_gone_id")) & (F.col("text_key") == F.col("_gone_key"))
+    return rows.join(F.broadcast(gone) if size <= 100 * SMALL_ROWS else gone, on, "left").drop("_gone_id", "_gone_key")
+
+
+def without_lines(docs: DataFrame, removed: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", count_col: str | None = "n_chars", keep_empty: bool = True) -> DataFrame:
     """``docs``, every row and column, with the removed lines taken out of the text and the
-    length in ``count_col``, if there is such a column, brought up to date."""
-    gone = cut(removed.select(F.col("doc_id").alias("_gone_id"), F.col("removed").alias("_gone")))
-    out = join_sized(docs.drop("_gone_id", "_gone"), gone, F.col(id_col).eqNullSafe(F.col("_gone_id")), "left")
-    kept = F.array_join(F.filter(F.split(text_col, "\n"), lambda x, i: ~F.array_contains("_gone", i)), "\n")
-    text = F.when(F.col("_gone").isNull(), F.col(text_col)).otherwise(kept)
-    out = out.withColumn(text_col, text)
+    length in ``count_col``, if there is such a column, brought up to date. Unless ``keep_empty``,
+    rows that lost lines and have no word left go; rows that had none before stay. Nulls and
+    empty tables: as they are, whatever the names of other columns."""
+    keyed = docs.select(F.struct(*docs.columns).alias("_row"), F.col(id_col).cast("long").alias("doc_id"), text_key(F.col(text_col)).alias("text_key"))
+    out = beside_removed(keyed, removed)
+    text = F.col("_row")[text_col].cast("string")
+    kept = F.array_join(F.filter(F.split(text, "\n"), lambda x, i: ~F.array_contains("_gone", i)), "\n")
+    out = out.withColumn("_text", F.when(F.col("_gone").isNull(), text).otherwise(kept))
+    if not keep_empty:
+        out = out.filter(F.col("_gone").isNull() | F.col("_text").rlike(WORD))
+    new = {text_col: F.col("_text")}
     if count_col in docs.columns:
-        out = out.withColumn(count_col, F.when(F.col("_gone").isNull(), F.col(count_col)).otherwise(F.length(text_col).cast(docs.schema[count_col].dataType)))
-    return out.select(*docs.columns)
+        count = F.col("_row")[count_col]
+        new[count_col] = F.when(F.col("_gone").isNull(), count).otherwise(F.length("_text").cast(docs.schema[count_col].dataType))
+    return out.select(*[new.get(c, F.col("_row")[c]).alias(c) for c in docs.columns])

@@ -1,73 +1,63 @@
 """Near-duplicate documents by b-bit MinHash.
 
 1. Each text's word-shingle set gives its size, a digest, band keys and a packed signature of
-   the low bits of its minima. Texts with equal sets form a class; its smallest id stands for it.
-2. Representatives that share a band key meet in a bucket. Every one is compared with the
-   bucket's smallest, not with all others: the packed signatures estimate the similarity,
-   corrected for chance agreement of the low bits, and what may reach the threshold is
-   confirmed on the full sets.
-3. Confirmed links give components. Where the items near a hub still belong to several, those
-   outside the largest are held against all of them in blocks of bounded size: the differences
-   to the hub are small, and give the exact similarity of any two. So no link is lost that the
-   hub did not show, and no pairs are written out but those that join components. The few
-   bucket members that are not near their hub are compared with their bucket.
+   the low bits of its minima. Texts with equal sets form a class, a node of the link graph.
+2. Nodes that share a band key are candidates with their bucket's hub. The packed signatures
+   estimate the similarity by bit counts, corrected for chance agreement of the low bits.
+3. What the estimate lets pass is compared exactly, on whole sets, and linked (``linking``).
 
-The only tables shuffled are narrow ones, and the sets of representatives that have candidates.
+The only tables shuffled are narrow ones, and the sets of nodes that have candidates.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .common import cut, join_sized, ship
-from .components import components
-from .shingles import WordHashes, band_keys, low_bits, minima, shared, word_shingles
+from .common import at_end, cut, join_sized, ship, text_key
+from .linking import linked, parts, salted, shared_buckets
+from .shingles import WordHashes, band_keys, low_bits, minima, word_shingles
 
 ship(__name__)
 
 BANDS, ROWS, BITS = 32, 5, 2
-#: Estimated similarity to a hub from which an item's difference to it is looked at, and the
-#: rows of either side of a block.
-NEAR, BLOCK = 0.45, 1000
+#: Estimated similarity to a hub from which a pair is compared exactly.
+LEAST = 0.45
 #: Minima in the packed signature: 32 to a 64-bit word.
 PACKED = BANDS * ROWS // 32 * 32
-SIGNATURES = "doc_id long, n_shingles long, digest binary, bands array<long>, packed array<long>"
+SIGNATURES = "doc_id long, text_key long, n_shingles long, digest binary, node long, bands array<long>, packed array<long>"
 
 
-def signatures(docs: DataFrame, size: int) -> DataFrame:
-    """doc_id, n_shingles, digest of the set, bands and packed low bits; texts without words have
-    no digest, bands or bits."""
+def digest_node(items: np.ndarray) -> tuple[bytes, int]:
+    """The 128-bit digest of a set, and the signed number of its node: the first half."""
+    digest = xxhash.xxh3_128_digest(items.tobytes())
+    return digest, int.from_bytes(digest[:8], "little", signed=True)
+
+
+def signatures(texts: DataFrame, size: int) -> DataFrame:
+    """doc_id, text_key, n_shingles, digest of the set, node, bands and packed low bits for
+    doc_id, text_key, text; texts without words have no digest, node, bands or bits."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = WordHashes()
         for batch in batches:
-            begin = 0
-            while begin < batch.num_rows:  # about 4 MB of text at a time
-                end, held, sets = begin, 0, []
-                while end < batch.num_rows and held < 1 << 22:
-                    text = batch.column(1)[end].as_py()
-                    sets.append(word_shingles(text, size, known))
-                    held += len(text or "")
-                    end += 1
+            for part in parts(batch, 2, 1 << 20):
+                sets = [word_shingles(text.as_py(), size, known) for text in part.column(2)]
                 full = [i for i, s in enumerate(sets) if len(s)]
                 m = minima([sets[i] for i in full], BANDS * ROWS)
-                digest, bands, packed = ([None] * len(sets) for _ in range(3))
+                digest, node, bands, packed = ([None] * len(sets) for _ in range(4))
                 for i, keys, bits in zip(full, band_keys(m, ROWS).tolist(), low_bits(m, BITS).tolist()):
-                    digest[i], bands[i], packed[i] = xxhash.xxh3_128_digest(sets[i].tobytes()), keys, bits
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(begin, end - begin), pa.array(map(len, sets), pa.int64()), pa.array(digest, pa.binary()), pa.array(bands, pa.list_(pa.int64())), pa.array(packed, pa.list_(pa.int64()))],
-                    names=["doc_id", "n_shingles", "digest", "bands", "packed"],
-                )
-                begin = end
+                    (digest[i], node[i]), bands[i], packed[i] = digest_node(sets[i]), keys, bits
+                longs = pa.list_(pa.int64())
+                found = [pa.array(map(len, sets), pa.int64()), pa.array(digest, pa.binary()), pa.array(node, pa.int64()), pa.array(bands, longs), pa.array(packed, longs)]
+                yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), *found], names=["doc_id", "text_key", "n_shingles", "digest", "node", "bands", "packed"])
 
-    return docs.mapInArrow(run, SIGNATURES)
+    return texts.mapInArrow(at_end(run), SIGNATURES)
 
 
 def estimate(a: Column, b: Column, packed: int) -> Column:
@@ -82,215 +72,70 @@ def estimate(a: Column, b: Column, packed: int) -> Column:
     return (agree - 0.5**BITS) / (1 - 0.5**BITS)
 
 
-def as_sets(items: pa.Array) -> list[np.ndarray]:
-    return [np.frombuffer(x.as_buffer(), np.uint64) for x in items]
-
-
-Reader = Callable[[pa.Array], list[np.ndarray]]
-
-
-def opened(keys: pa.Array, items: pa.Array, read: Reader) -> list[np.ndarray]:
-    """The set of every row, each key's opened once."""
-    known, where = np.unique(keys.to_numpy(), return_index=True)
-    sets = dict(zip(known.tolist(), read(items.take(pa.array(where)))))
-    return [sets[k] for k in keys.to_pylist()]
-
-
-def confirmed(pairs: DataFrame, sets: DataFrame, percent: int, read: Reader) -> DataFrame:
-    """The pairs (a, b) whose sets have 100 * intersection >= percent * union. ``sets`` is id,
-    items; ``read`` makes sorted sets of hashes of a column of items."""
-    left = sets.select(F.col("id").alias("a"), F.col("items").alias("x"))
-    right = sets.select(F.col("id").alias("b"), F.col("items").alias("y"))
-    both = pairs.select("a", "b").join(right, "b").join(left, "a").select("a", "b", "x", "y")
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            keep = []
-            for x, y in zip(opened(batch.column(0), batch.column(2), read), opened(batch.column(1), batch.column(3), read)):
-                n = shared(x, y)
-                keep.append(100 * n >= percent * (len(x) + len(y) - n))
-            yield batch.select([0, 1]).filter(pa.array(keep, pa.bool_()))
-
-    return both.mapInArrow(run, "a long, b long")
+def likely_pairs(stars: DataFrame, light: DataFrame, packed: int = PACKED, least: float = LEAST) -> DataFrame:
+    """The (hub, id) whose packed signatures (``light``: id, packed) estimate a similarity of
+    ``least`` or more; a hub with many members meets them in parts."""
+    pairs, heads = salted(stars)
+    pairs = pairs.join(light.withColumnRenamed("packed", "p"), "id")
+    heads = heads.join(light.select(F.col("id").alias("hub"), F.col("packed").alias("q")), "hub")
+    return pairs.join(heads, ["hub", "salt"]).filter(estimate(F.col("p"), F.col("q"), packed) >= least).select("hub", "id")
 
 
-def shingle_sets(docs: DataFrame, size: int) -> DataFrame:
-    """id, items: the sets as sorted 64-bit hashes."""
+def shingle_sets(texts: DataFrame, size: int) -> DataFrame:
+    """id, items: the sets as sorted 64-bit hashes, for rows of id (a node), text whose set is the
+    node's; other rows give none."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = WordHashes()
         for batch in batches:
-            for begin in range(0, batch.num_rows, 256):
-                part = batch.slice(begin, 256)
-                found = [word_shingles(t.as_py(), size, known).tobytes() for t in part.column(1)]
-                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(found, pa.binary())], names=["id", "items"])
-
-    return docs.mapInArrow(run, "id long, items binary")
-
-
-def differences(pairs: DataFrame, sets: DataFrame, read: Reader) -> DataFrame:
-    """hub, id, n_hub, n, items: the sorted symmetric difference of the hub's set and the item's."""
-    left = sets.select(F.col("id").alias("hub"), F.col("items").alias("x"))
-    right = sets.select("id", F.col("items").alias("y"))
-    both = pairs.select("hub", "id").join(right, "id").join(left, "hub").select("hub", "id", "x", "y")
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            sizes, others, items = [], [], []
-            for x, y in zip(opened(batch.column(0), batch.column(2), read), opened(batch.column(1), batch.column(3), read)):
-                sizes.append(len(x))
-                others.append(len(y))
-                items.append(np.setxor1d(x, y, assume_unique=True).tobytes())
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(sizes, pa.int64()), pa.array(others, pa.int64()), pa.array(items, pa.binary())], names=["hub", "id", "n_hub", "n", "items"])
-
-    return both.mapInArrow(run, "hub long, id long, n_hub long, n long, items binary")
-
-
-def links_across(rows: DataFrame, percent: int) -> DataFrame:
-    """Exact links between components within blocks of a hub's group: a, b, one for each two
-    components that a block links.
-
-    ``rows`` is hub, cx, cy, side (x or y), id, component, n_hub, n, items. With D the difference
-    to the hub, |x & y| = (n_x + n_y - |D_x| - |D_y|) / 2 + |D_x & D_y|, so that small
-    differences stand in for whole sets.
-    """
+            for part in parts(batch, 1, 1 << 20):
+                ids, items = [], []
+                for node, text in zip(part.column(0).to_pylist(), part.column(1)):
+                    found = word_shingles(text.as_py(), size, known)
+                    if len(found) and digest_node(found)[1] == node:
+                        ids.append(node)
+                        items.append(found.tobytes())
+                yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(items, pa.binary())], names=["id", "items"])
 
-    def run(table: pa.Table) -> pa.Table:
-        side = np.array(table.column("side").to_pylist())
-        sets = [np.frombuffer(v.as_buffer(), np.uint64) for v in table.column("items")]
-        ids, parts, n = (table.column(c).to_numpy() for c in ("id", "component", "n"))
-        d = np.array([len(v) for v in sets], dtype=np.int64)
-        xs, ys = np.flatnonzero(side == "x"), np.flatnonzero(side == "y")
-        out: list[tuple[int, int]] = []
-        if len(xs) and len(ys):
-            element_x, of_x = np.concatenate([sets[i] for i in xs]), np.repeat(np.arange(len(xs)), d[xs])
-            element_y, of_y = np.concatenate([sets[i] for i in ys]), np.repeat(np.arange(len(ys)), d[ys])
-            order = np.argsort(element_y, kind="stable")
-            element_y, of_y = element_y[order], of_y[order]
-            begin, end = np.searchsorted(element_y, element_x, "left"), np.searchsorted(element_y, element_x, "right")
-            joint = np.zeros((len(xs), len(ys)), dtype=np.int32)
-            for i in range(len(xs)):
-                mine = slice(*np.searchsorted(of_x, [i, i + 1]))
-                at = [of_y[p:q] for p, q in zip(begin[mine], end[mine]) if q > p]
-                if at:
-                    joint[i] = np.bincount(np.concatenate(at), minlength=len(ys))
-            met = (n[xs][:, None] + n[ys][None, :] - d[xs][:, None] - d[ys][None, :]) // 2 + joint
-            hit = (100 * met >= percent * (n[xs][:, None] + n[ys][None, :] - met)) & (parts[xs][:, None] != parts[ys][None, :])
-            seen = set()
-            for i, j in zip(*np.nonzero(hit)):
-                two = (parts[xs[i]], parts[ys[j]])
-                if two not in seen:
-                    seen.add(two)
-                    out.append((int(ids[xs[i]]), int(ids[ys[j]])))
-        return pa.table({"a": pa.array([p for p, _ in out], pa.int64()), "b": pa.array([q for _, q in out], pa.int64())})
+    return texts.mapInArrow(at_end(run), "id long, items binary")
 
-    return rows.groupBy("hub", "cx", "cy").applyInArrow(run, "a long, b long")
 
-
-def shared_buckets(banded: DataFrame) -> DataFrame:
-    """key, band, id, hub (the smallest id) for the band keys that several ids share; one shuffle
-    of narrow rows."""
-    bucket = W.partitionBy("key")
-    hubbed = banded.withColumn("hub", F.min("id").over(bucket)).withColumn("last", F.max("id").over(bucket))
-    return hubbed.filter("hub != last").select("key", "band", "id", "hub")
-
-
-def linked(crowded: DataFrame, light: DataFrame, sets: Callable[[DataFrame], DataFrame], *, percent: int, margin: float, packed: int = PACKED, read: Reader = as_sets) -> DataFrame:
-    """node, component over the confirmed links between items that share a bucket.
-
-    ``crowded`` is key, band, id, hub for the buckets with several items, ``light`` is id, n (the
-    set's size), packed (low bits of ``packed`` minima) and bands, and ``sets(ids)`` gives id, items for a table of ids, from which
-    ``read`` makes sorted sets of hashes.
-    """
-    low = percent / 100 - margin
-    near = star_pairs(crowded, light, percent, low, packed)
-    items = cut(sets(ends(near)))
-    found = components(cut(confirmed(near.filter("alike"), items, percent, read)))
-    named = found.withColumnRenamed("node", "id")
-    more = cut(group_links(near, named, items, percent, read).unionByName(far_links(crowded, light, near, named, sets, percent, low, packed, read)))
-    if more.isEmpty():
-        return found
-    return components(found.select(F.col("node").alias("a"), F.col("component").alias("b")).unionByName(more))
-
-
-def ends(pairs: DataFrame) -> DataFrame:
-    return cut(pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct())
-
-
-def fits(percent: int) -> Column:
-    """Whether the sizes of two sets allow the similarity."""
-    return 100 * F.least("n_a", "n_b") >= percent * F.greatest("n_a", "n_b")
-
-
-def side(light: DataFrame, name: str, *more: str) -> DataFrame:
-    columns = {"id": name, "n": f"n_{name}", "packed": f"p_{name}", "bands": f"k_{name}"}
-    return light.select(*[F.col(c).alias(columns[c]) for c in ("id", "n", "packed", *more)])
-
-
-def star_pairs(crowded: DataFrame, light: DataFrame, percent: int, low: float, packed: int) -> DataFrame:
-    """a (a hub), b, alike: every item with the smallest of each of its buckets, where it is near;
-    alike if the estimate lets the pair reach the threshold."""
-    stars = crowded.filter("id != hub").select(F.col("hub").alias("a"), F.col("id").alias("b")).distinct()
-    stars = stars.join(side(light, "b"), "b").join(side(light, "a"), "a").withColumn("s", estimate(F.col("p_a"), F.col("p_b"), packed))
-    return cut(stars.filter(F.col("s") >= NEAR).select("a", "b", (fits(percent) & (F.col("s") >= low)).alias("alike")))
-
-
-def group_links(near: DataFrame, named: DataFrame, items: DataFrame, percent: int, read: Reader) -> DataFrame:
-    """Links within the groups of a hub that hold several components: what is outside the largest
-    against all, in blocks of bounded size, on differences to the hub."""
-    placed = near.select(F.col("a").alias("hub"), F.col("b").alias("id")).join(named, "id", "left").withColumn("component", F.coalesce("component", "id"))
-    parts = placed.groupBy("hub", "component").agg(F.count(F.lit(1)).alias("size"))
-    groups = parts.groupBy("hub").agg(F.max_by("component", F.struct("size", "component")).alias("main"), F.max("size").alias("most"), F.sum("size").alias("all"), F.count(F.lit(1)).alias("parts")).filter("parts > 1")
-    groups = groups.select("hub", "main", F.expr(f"cast(ceil((all - most) / {BLOCK}) as int)").alias("nx"), F.expr(f"cast(ceil(all / {BLOCK}) as int)").alias("ny"))
-    mixed = cut(placed.join(groups, "hub"))
-    rows = cut(differences(mixed, items, read).join(mixed, ["hub", "id"]))
-    place = lambda n, salt: F.pmod(F.xxhash64("id", F.lit(salt)), F.col(n)).cast("int")
-    every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
-    x = rows.filter("component != main").withColumn("cx", place("nx", 1)).withColumn("cy", every("ny")).withColumn("side", F.lit("x"))
-    y = rows.withColumn("cy", place("ny", 2)).withColumn("cx", every("nx")).withColumn("side", F.lit("y"))
-    return links_across(x.unionByName(y).select("hub", "cx", "cy", "side", "id", "component", "n", "items"), percent)
-
-
-def far_links(crowded: DataFrame, light: DataFrame, near: DataFrame, named: DataFrame, sets: Callable[[DataFrame], DataFrame], percent: int, low: float, packed: int, read: Reader) -> DataFrame:
-    """Links of items that are not near a bucket's hub with other components in the bucket, each
-    pair in the first band that it shares."""
-    component = lambda name: named.select(F.col("id").alias(name), F.col("component").alias(f"c_{name}"))
-    far = crowded.filter("id != hub").join(near.select(F.col("a").alias("hub"), F.col("b").alias("id")), ["hub", "id"], "left_anti")
-    lone = cut(far.select("key", "band", F.col("id").alias("a")).join(component("a"), "a", "left").join(side(light, "a", "bands"), "a"))
-    rest = crowded.join(lone.select("key").distinct(), "key", "left_semi").select(F.col("key").alias("key_b"), F.col("id").alias("b"))
-    rest = cut(rest.join(component("b"), "b", "left").join(side(light, "b", "bands"), "b"))
-    earliest = F.array_position(F.zip_with("k_a", "k_b", lambda p, q: p == q), True) == F.col("band") + 1
-    apart = F.coalesce("c_a", "a") != F.coalesce("c_b", "b")
-    crossed = lone.join(rest, (F.col("key") == F.col("key_b")) & apart & fits(percent) & (estimate(F.col("p_a"), F.col("p_b"), packed) >= low) & earliest)
-    crossed = cut(crossed.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
-    return confirmed(crossed, cut(sets(ends(crossed))), percent, read)
-
-
-def near_duplicates(docs: DataFrame, *, size: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text", margin: float = 0.18) -> DataFrame:
-    """doc_id, n_shingles, component_id (the smallest id reachable over links, itself included)
-    and kept (it is that id), for every document.
+def near_duplicates(docs: DataFrame, *, size: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text", slack: float = 0.18) -> DataFrame:
+    """doc_id, n_shingles, component_id (the smallest id reachable over links, itself included),
+    kept (it is that id) and text_key (``common.text_key``), for every row.
 
     Two documents are linked if their sets of ``size``-word shingles have 100 * intersection >=
-    ``percent`` * union; shingles are compared by 64-bit hashes, whole sets by 128-bit digests.
-    At a similarity of 0.8 a pair shares no band with a chance of 3 in a million. The estimate
-    may fall short of the threshold by ``margin`` (close to five standard errors) before a pair
-    is dropped without confirmation.
-
-    Null texts and texts without words: an empty set, linked with nothing. Rows that repeat an
-    id are one document only in so far as they share its component; each gives a row. Null ids:
-    a row each, component null, kept. Empty table: no rows. Other columns are not read.
+    ``percent`` * union; shingles are compared by 64-bit hashes, whole sets by 128-bit digests,
+    whose first half numbers the nodes. At a similarity of 0.8 a pair shares no band with a
+    chance of 3 in a million. A pair is compared exactly if the estimate reaches LEAST, far below
+    the threshold; ``slack`` (close to five standard errors) is what an estimate may err by where
+    items that are not near their hub are held against others.
+
+    Null texts and texts without words: an empty set, linked with nothing. Rows that repeat an id
+    with other texts are documents of their own; rows that repeat id and text share all values.
+    Null ids: a row each, component null, kept. Empty table: no rows. Other columns are not read.
     """
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    signed = cut(signatures(texts, size))
+    signed = cut(signatures(texts.select("doc_id", text_key(F.col("text")).alias("text_key"), "text"), size))
     some = signed.filter("n_shingles > 0 and doc_id is not null")
-    first = cut(some.groupBy("digest").agg(F.min(F.struct("doc_id", "n_shingles", "bands", "packed")).alias("f")).select("digest", "f.*"))
-
-    crowded = cut(shared_buckets(first.select(F.col("doc_id").alias("id"), F.posexplode("bands").alias("band", "key"))))
-    sets = lambda ids: shingle_sets(join_sized(texts, ids, F.col("doc_id") == F.col("id"), "left_semi"), size).dropDuplicates(["id"])
-    light = first.select(F.col("doc_id").alias("id"), F.col("n_shingles").alias("n"), "packed", "bands")
-    joined = linked(crowded, light, sets, percent=percent, margin=margin)
-
-    named = first.select("digest", F.col("doc_id").alias("node")).join(joined, "node", "left").select("digest", F.coalesce("component", "node").alias("component_id"))
-    several = cut(named)
-    out = signed.select("doc_id", "n_shingles", "digest").join(several, "digest", "left").select("doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id")).alias("component_id"))
-    return out.withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
+    first = cut(some.groupBy("digest").agg(F.min(F.struct("doc_id", "node", "bands", "packed")).alias("f"), F.count(F.lit(1)).alias("times")).select("digest", "f.*", "times"))
+
+    crowded = cut(shared_buckets(first.select(F.col("node").alias("id"), "bands")))
+    holders = first.select(F.col("node").alias("id"), "doc_id")
+
+    def sets(ids: DataFrame) -> DataFrame:
+        wanted = cut(holders.join(ids, "id").select("id", F.col("doc_id").alias("_doc_id")))
+        held = join_sized(texts, wanted, F.col("doc_id") == F.col("_doc_id"), "inner").select("id", "text")
+        return shingle_sets(held, size).dropDuplicates(["id"])
+
+    light = first.select(F.col("node").alias("id"), "packed")
+    found = linked(crowded, sets, percent=percent, likely=lambda stars: likely_pairs(stars, light), slack=slack)
+
+    placed = cut(found.join(holders.withColumnRenamed("id", "node"), "node"))
+    least = cut(placed.groupBy("component").agg(F.min("doc_id").alias("component_id")))
+    grouped = join_sized(placed, least, "component", "inner").select("node", "component_id")
+    several = cut(first.join(grouped, "node", "left").filter("times > 1 or component_id is not null").select("digest", F.coalesce("component_id", "doc_id").alias("component_id")))
+    alone = signed.filter("digest is null or doc_id is null").withColumn("component_id", F.col("doc_id"))
+    met = join_sized(signed.filter("digest is not null and doc_id is not null"), several, "digest", "left").withColumn("component_id", F.coalesce("component_id", "doc_id"))
+    out = met.unionByName(alone, allowMissingColumns=True)
+    return out.select("doc_id", "n_shingles", "component_id", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)).alias("kept"), "text_key")

@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import ship
+from .common import at_end, ship
 
 ship(__name__)
 
@@ -187,7 +187,7 @@ def pack(docs: DataFrame, encoder: Callable[[], Callable[[str], np.ndarray]], *,
         yield flush()
 
     picked = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    return picked.mapInArrow(run, PIECES)
+    return picked.mapInArrow(at_end(run), PIECES)
 
 
 def public_encoder(name: str = "byte_bpe_50k") -> Callable[[], Callable[[str], np.ndarray]]:

@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import ship
+from .common import at_end, ship
 
 ship(__name__)
 
@@ -186,6 +186,6 @@ def judge(docs: DataFrame, trees: Trees, *, id_col: str = "doc_id", text_col: st
             yield pa.RecordBatch.from_arrays([batch.column(0), *[pa.array(c) for c in np.ascontiguousarray(counts.T)], pa.array(p)], names=names)
 
     picked = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    counted = picked.mapInArrow(run, ", ".join(f"{n} {'double' if n == 'p_quality' else 'long'}" for n in names))
+    counted = picked.mapInArrow(at_end(run), ", ".join(f"{n} {'double' if n == 'p_quality' else 'long'}" for n in names))
     failed = (F.col("n_words") < least_words) | (100 * F.col("n_repeat_words") > most_repeated * F.col("n_words"))
     return counted.withColumn("base_failed", failed).withColumn("kept", ~failed & (F.col("p_quality") >= threshold))

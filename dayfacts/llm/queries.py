@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import licenses, line_dedup, media, minhash, mixing, packing, quality, token_counts, toxicity, url_filter
-from .common import read
+from .common import read, text_key
 
 #: The contract's rules: verdict, host, path.
 URL_RULES = [
@@ -57,8 +57,8 @@ def op7_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents").select("doc_id", "text")
-    gone = line_dedup.repeated_lines(docs, least_chars=1)
-    return docs.select("doc_id").join(gone, "doc_id", "left").select("doc_id", F.coalesce(F.size("removed"), F.lit(0)).cast("long").alias("n_removed"), F.array_join(F.coalesce("removed", F.array().cast("array<int>")), ",").alias("removed_lines"))
+    marked = line_dedup.beside_removed(docs.select("doc_id", text_key(F.col("text")).alias("text_key")), line_dedup.repeated_lines(docs))
+    return marked.select("doc_id", F.coalesce(F.size("_gone"), F.lit(0)).cast("long").alias("n_removed"), F.array_join(F.coalesce("_gone", F.array().cast("array<int>")), ",").alias("removed_lines"))
 
 
 def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -13,15 +13,15 @@ MIX = np.uint64(0x9E3779B97F4A7C15)
 
 
 class WordHashes(dict):
-    """64-bit hashes of words, remembered up to a bound."""
+    """64-bit hashes of words, those of up to 64 bytes remembered up to a bound (some 30 MB)."""
 
-    def __init__(self, keep: int = 400_000):
+    def __init__(self, keep: int = 200_000):
         super().__init__()
         self.keep = keep
 
     def __missing__(self, word: bytes) -> int:
         value = xxhash.xxh3_64_intdigest(word)
-        if len(self) < self.keep:
+        if len(self) < self.keep and len(word) <= 64:
             self[word] = value
         return value
 
@@ -32,6 +32,12 @@ def scatter(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(32))
 
 
+def scatter_short(h: np.ndarray) -> np.ndarray:
+    h = (h ^ (h >> np.uint32(16))) * np.uint32(0x85EBCA6B)
+    h = (h ^ (h >> np.uint32(13))) * np.uint32(0xC2B2AE35)
+    return h ^ (h >> np.uint32(16))
+
+
 def word_shingles(text: str | None, size: int, known: WordHashes) -> np.ndarray:
     """The set of ``size``-word shingles as sorted 64-bit hashes. A-Z count as a-z; fewer words
     than ``size``: the whole sequence as one; no words: empty."""
@@ -47,22 +53,36 @@ def word_shingles(text: str | None, size: int, known: WordHashes) -> np.ndarray:
     return np.unique(scatter(key))
 
 
-def char_shingles(line: bytes, size: int) -> np.ndarray:
-    """Hashes of the ``size``-byte shingles of a UTF-8 line, in order; a shorter line is one shingle."""
-    x = np.frombuffer(line, dtype=np.uint8).astype(np.uint64)
-    k = min(size, len(x))
-    if not k:
-        return np.zeros(0, np.uint64)
-    n = len(x) - k + 1
-    key = np.full(n, k, dtype=np.uint64)
-    for i in range(k):
-        key = key * np.uint64(0x100000001B3) + x[i : i + n]
-    return scatter(key)
+def line_shingles(lines: list[bytes], size: int, kind: type = np.uint64, block: int = 1 << 16) -> list[np.ndarray]:
+    """Hashes of the ``size``-character shingles (a power of two) of UTF-8 lines, in order, as
+    uint64 or uint32; a shorter line has none. Lines hold no line feeds. About ``block`` bytes
+    are hashed at a time, so that they stay in cache."""
+    out: list[np.ndarray] = []
+    mix, shift = kind(MIX >> np.uint64(64 - 8 * np.dtype(kind).itemsize)) | kind(1), kind(4 * np.dtype(kind).itemsize - 3)
+    begin = 0
+    while begin < len(lines):
+        end, held = begin, 0
+        while end < len(lines) and (end == begin or held + len(lines[end]) <= block):
+            held += len(lines[end])
+            end += 1
+        x = np.frombuffer(b"\n".join(lines[begin:end]).decode("utf-8", "replace").encode("utf-32-le", "surrogatepass"), dtype="<u4")
+        ends = np.append(np.flatnonzero(x == 10), len(x))
+        starts = np.append(0, ends[:-1] + 1)
+        key, width = x.astype(kind) * mix, 1
+        while width < size:  # twice as many characters each time
+            key ^= key >> shift
+            key, after = key[:-width] * mix if len(key) > width else key[:0], key[width:]
+            key += after[: len(key)]
+            width *= 2
+        key = scatter(key) if kind is np.uint64 else scatter_short(key)
+        out += [key[s:e] for s, e in zip(starts.tolist(), np.maximum(ends - size + 1, starts).tolist())]
+        begin = end
+    return out
 
 
 def minima(sets: list[np.ndarray], count: int, block: int = 1 << 16) -> np.ndarray:
-    """(len(sets), count) uint32 minima of non-empty shingle arrays under ``count`` fixed
-    permutations, about ``block`` shingles at a time so that they stay in cache."""
+    """(len(sets), count) uint32 minima of non-empty arrays of uint64 or uint32 shingles under
+    ``count`` fixed permutations, about ``block`` shingles at a time so that they stay in cache."""
     factors = np.random.default_rng(20240229).integers(0, 1 << 31, count, dtype=np.uint32) * np.uint32(2) + np.uint32(1)
     out = np.empty((count, len(sets)), dtype=np.uint32)
     begin = 0
@@ -72,7 +92,8 @@ def minima(sets: list[np.ndarray], count: int, block: int = 1 << 16) -> np.ndarr
             held += len(sets[end])
             end += 1
         x = np.concatenate(sets[begin:end])
-        x = (x ^ (x >> np.uint64(32))).astype(np.uint32)
+        if x.dtype != np.uint32:
+            x = (x ^ (x >> np.uint64(32))).astype(np.uint32)
         starts, product = np.cumsum([0, *map(len, sets[begin : end - 1])]), np.empty_like(x)
         for k in range(count):
             np.multiply(x, factors[k], out=product)

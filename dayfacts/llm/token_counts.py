@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import ship
+from .common import at_end, ship
 
 ship(__name__)
 
@@ -124,4 +124,4 @@ def count_tokens(docs: DataFrame, model: Callable[[], tuple[dict[str, float], fl
                 begin = end
 
     picked = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    return picked.mapInArrow(run, COUNTS)
+    return picked.mapInArrow(at_end(run), COUNTS)

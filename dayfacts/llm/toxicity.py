@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import ship
+from .common import at_end, ship
 
 ship(__name__)
 
@@ -46,7 +46,7 @@ class ChainModel:
     the probability of each earlier category. A feature counts once for each distinct token.
     ``thresholds`` are the probabilities from which a category is taken to be met."""
 
-    def __init__(self, categories: list[str], weights: list[dict[int, float]], biases: list[float], links: list[list[float]], thresholds: list[float], keep: int = 400_000):
+    def __init__(self, categories: list[str], weights: list[dict[int, float]], biases: list[float], links: list[list[float]], thresholds: list[float], keep: int = 200_000):
         self.categories, self.weights, self.biases, self.links, self.thresholds, self.keep = categories, weights, biases, links, thresholds, keep
         self.known: dict[str, tuple | None] = {}
 
@@ -190,7 +190,7 @@ def fit(docs: DataFrame, labels: DataFrame, categories: dict[str, Column], *, id
         weights, biases, links, thresholds = fit_chain(ids, y, np.arange(len(pdf)) % folds, folds=folds, features=features, penalty=penalty)
         return pd.DataFrame({"category": range(len(names)), "feature": [list(w) for w in weights], "weight": [list(w.values()) for w in weights], "bias": biases, "threshold": thresholds, "links": links})
 
-    rows = sample.mapInArrow(featurise, "h long, id long, y array<int>, x binary")
+    rows = sample.mapInArrow(at_end(featurise), "h long, id long, y array<int>, x binary")
     models = rows.groupBy(F.lit(0).alias("all")).applyInPandas(train, "category int, feature array<int>, weight array<double>, bias double, threshold double, links array<double>").collect()
     models.sort(key=lambda m: m["category"])
     if not models:
@@ -217,8 +217,9 @@ def score(docs: DataFrame, model: ChainModel, *, text_col: str = "text", keep_te
             found = [model.probabilities(text.as_py() or "") for text in batch.column(at)]
             columns = [pa.array([f[c] for f in found], pa.float64()) for c in range(len(added))]
             yield pa.RecordBatch.from_arrays([*[batch.column(i) for i in stay], *columns], names=[*[batch.schema.names[i] for i in stay], *added])
+        model.known.clear()
 
-    return kept.mapInArrow(run, schema)
+    return kept.mapInArrow(at_end(run), schema)
 
 
 def label_chain(docs: DataFrame, labels: DataFrame, **options) -> ChainModel:

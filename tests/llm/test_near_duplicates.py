@@ -7,6 +7,7 @@ import pytest
 
 from dayfacts.llm import components as C
 from dayfacts.llm import line_dedup as L
+from dayfacts.llm import linking as K
 from dayfacts.llm import minhash as M
 from dayfacts.llm import shingles as S
 
@@ -103,13 +104,40 @@ def test_exact_links_from_differences(spark):
         sets[i] = np.unique(np.concatenate([kept, rng.integers(0, 1 << 60, rng.integers(0, 15), dtype=np.uint64)]))
     table = spark.createDataFrame([(i, bytearray(s.tobytes())) for i, s in sets.items()], "id long, items binary")
     pairs = spark.createDataFrame([(0, i) for i in range(1, 40)], "hub long, id long")
-    rows = M.differences(pairs, table, M.as_sets).selectExpr("*", "id as component", "0 as cx", "0 as cy")
+    rows = K.differences(pairs, table, K.as_sets).selectExpr("hub as block", "id", "items", "id as component", "0 as cx", "0 as cy")
+    rows = rows.join(table.selectExpr("id", "octet_length(items) div 8 as n"), "id")
     both = rows.selectExpr("*", "'x' as side").unionByName(rows.selectExpr("*", "'y' as side"))
-    got = {tuple(r) for r in M.links_across(both, 80).collect()}
+    got = {tuple(r) for r in K.links_across(both, 80).collect()}
     want = {(a, b) for a in range(1, 40) for b in range(1, 40) if a != b and 100 * S.shared(sets[a], sets[b]) >= 80 * len(np.union1d(sets[a], sets[b]))}
     assert got == want and want
 
 
+@pytest.mark.parametrize("hot", [False, True])
+def test_buckets(spark, monkeypatch, hot):
+    """Every id but the smallest of every shared key, whether keys count as hot or not."""
+    if hot:
+        monkeypatch.setattr(K, "SAMPLE", 1)
+        monkeypatch.setattr(K, "HOT_COUNT", 5)
+    rng = random.Random(9)
+    rows = [(rng.randrange(-60, 60), [rng.randrange(1 << 40) if rng.random() < 0.5 else rng.choice([7, 8, -9]) for _ in range(4)]) for _ in range(200)] + [(1, None), (2, [])]
+    members = defaultdict(set)
+    for i, bands in rows:
+        for key in bands or ():
+            members[key].add(i)
+    want = {(k, i, min(ids)) for k, ids in members.items() for i in ids if i != min(ids)}
+    got = [tuple(r) for r in K.shared_buckets(spark.createDataFrame(rows, "id long, bands array<long>")).collect()]
+    assert set(got) == want and len(got) == len(want)
+
+
+def test_a_large_hub_is_dealt_out_in_parts(spark, monkeypatch):
+    monkeypatch.setattr(K, "PART", 4)
+    sets = {i: np.unique(np.array([i % 5, 100, 200, 300 + i], dtype=np.uint64)) for i in range(40)}
+    table = spark.createDataFrame([(i, bytearray(s.tobytes())) for i, s in sets.items()], "id long, items binary")
+    pairs = spark.createDataFrame([(h, i) for h in (0, 1) for i in range(2, 40)], "hub long, id long")
+    got = {(r.hub, r.id): (r.n_hub, r.n, r.met) for r in K.compared(pairs, table, K.as_sets).collect()}
+    assert got == {(h, i): (4, 4, S.shared(sets[h], sets[i])) for h in (0, 1) for i in range(2, 40)}
+
+
 def test_estimate_is_corrected_for_chance(spark):
     rng = np.random.default_rng(7)
     pool = rng.integers(0, 1 << 63, 60_000, dtype=np.uint64)
@@ -140,13 +168,13 @@ def test_components_of_random_graphs(spark):
     assert C.components(spark.createDataFrame([], "a long, b long")).count() == 0
 
 
-def brute_lines(docs, least=16):
+def brute_lines(docs):
     where = defaultdict(list)
     for d, t in docs:
         for k, line in enumerate((t or "").split("\n")):
-            if len(line) >= least and re.search("[^\x20\x09-\x0d]", line):
+            if re.search("[^\x20\x09-\x0d]", line):
                 where[line].append((d, k))
-    sets = {x: frozenset(x[i : i + 8] for i in range(len(x) - 7)) for x in where}
+    sets = {x: frozenset(x[i : i + 8] for i in range(max(1, len(x) - 7))) for x in where}
     union, lines = Union(), sorted(where)
     for i, a in enumerate(lines):
         union.top(a)
@@ -196,6 +224,32 @@ def test_awkward_lines(spark, awkward):
     assert rows == {1: [0]}  # the first of its equal lines is that of the row without id
     out = L.without_lines(awkward, removed)
     assert out.columns == awkward.columns and out.count() == awkward.count()
+    assert {(r._gone, r.component_id, r.sequence_id) for r in out.collect()} == {(1, "mine", "mine")}
     texts = {r.doc_id: (r.text, r.n_chars) for r in out.collect()}
     assert texts[1] == ("", 0) and texts[2] == (None, None) and texts[5][1] == 200_000
     assert L.repeated_lines(awkward.limit(0)).count() == 0
+    left = L.without_lines(awkward, removed, keep_empty=False)
+    assert sorted(r.doc_id or 0 for r in left.collect()) == [0, 2, 3, 4, 5, 6, 7]
+
+
+SAME = "the very same words are in this text and nothing else at all is in it"
+
+
+def test_rows_that_share_an_id_or_have_none(spark):
+    """No line that others have not goes with the id of one that has gone."""
+    docs = [(None, f"{SAME}\nanother line that only one has"), (None, f"{SAME}\nand a line that only two has, longer"), (5, f"{SAME}\nfive, once"), (5, f"five, the second time\n{SAME}"), (5, f"five, the second time\n{SAME}")]
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    out = L.without_lines(df, L.repeated_lines(df))
+    lines = [x for r in out.collect() for x in r.text.split("\n")]
+    assert lines.count(SAME) == 1
+    assert {x for _, t in docs for x in t.split("\n")} == set(lines) - {""}
+
+
+def test_documents_that_share_an_id(spark):
+    """Rows that repeat an id with other texts are documents of their own, whatever their order."""
+    other = " ".join(f"v{i}" for i in range(40))
+    docs = [(5, SAME), (5, other), (3, SAME), (9, other), (5, None), (None, SAME), (None, other)]
+    for rows in (docs, docs[::-1]):
+        df = spark.createDataFrame(rows, "doc_id long, text string")
+        got = sorted(((r.doc_id or 0, r.n_shingles, r.component_id or 0, r.kept) for r in M.near_duplicates(df, size=2).collect()))
+        assert got == [(0, 15, 0, True), (0, 39, 0, True), (3, 15, 3, True), (5, 0, 5, True), (5, 15, 3, False), (5, 39, 5, True), (9, 39, 5, False)]

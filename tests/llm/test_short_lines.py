@@ -40,6 +40,16 @@ def test_the_query_looks_at_every_line(spark, tmp_path):
 
 
 def test_the_pipeline_looks_at_every_line(spark):
-    out = P.drop_repeated_lines(spark, spark.createDataFrame(DOCS, "doc_id long, text string"), "")
+    out = P.drop_repeated_lines(spark, spark.createDataFrame([*DOCS, (5, "Menu\n"), (6, " \n")], "doc_id long, text string"), "")
     want = brute(DOCS)
-    assert {r.doc_id: r.text for r in out.collect()} == {d: "\n".join(x for k, x in enumerate(t.split("\n")) if k not in want.get(d, [])) for d, t in DOCS}
+    texts = {d: "\n".join(x for k, x in enumerate(t.split("\n")) if k not in want.get(d, [])) for d, t in DOCS}
+    assert {r.doc_id: r.text for r in out.collect()} == texts | {6: " \n"}
+
+
+def test_the_pipeline_keeps_one_of_repeated_rows(spark):
+    words = " ".join(f"w{i}" for i in range(30))
+    docs = [(1, words, 1), (1, words, 2), (2, words + " more", 3), (1, "another text that shares its id", 4), (None, words, 5), (None, words, 6), (3, None, 7), (3, None, 8)]
+    out = P.keep_one_of_near_duplicates(spark, spark.createDataFrame(docs, "doc_id long, text string, _id long"), "")
+    assert out.columns == ["doc_id", "text", "_id"]
+    got = sorted(r._id for r in out.collect())
+    assert got[0] in (1, 2) and got[1:] == [4, 5, 6, 7, 8]
