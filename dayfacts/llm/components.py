@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut
+from .common import SMALL_ROWS, cut
 
 
 def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
@@ -14,7 +14,8 @@ def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     Large-star and small-star rounds (every node's larger neighbours, then its smaller ones, are
     linked to the smallest) until the links are stars. The smallest neighbours are aggregated,
     combined before they are shuffled, and joined back to the links, so that no star is gathered
-    in one task; Spark splits the join of a hot centre. Each round is cut by a checkpoint.
+    in one task: few are broadcast, by the count of links; beyond, Spark splits the join of a hot
+    centre. Each round is cut by a checkpoint.
 
     Links with a null end, links of a node to itself and repeated links change nothing. No
     links: no rows.
@@ -27,11 +28,12 @@ def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
 
     seen = state(edges)
     while seen[0]:
+        hint = F.broadcast if seen[0] <= SMALL_ROWS // 2 else lambda df: df
         ends = edges.select(F.explode(F.array(F.struct(F.col("v").alias("v"), F.col("v").alias("m")), F.struct(F.col("u").alias("v"), F.col("v").alias("m")))).alias("e"))
         least = ends.groupBy(F.col("e.v").alias("v")).agg(F.min("e.m").alias("m"))  # of a node and its neighbours
-        large = edges.join(least, "v").select("u", F.col("m").alias("v"))
+        large = edges.join(hint(least), "v").select("u", F.col("m").alias("v"))
         near = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = large.join(near, "u").select(F.when(F.col("v") == F.col("m"), F.col("u")).otherwise(F.col("v")).alias("u"), F.col("m").alias("v"))
+        small = large.join(hint(near), "u").select(F.when(F.col("v") == F.col("m"), F.col("u")).otherwise(F.col("v")).alias("u"), F.col("m").alias("v"))
         edges = cut(small.distinct())
         now = state(edges)
         if now == seen:

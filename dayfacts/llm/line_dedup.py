@@ -100,7 +100,7 @@ def repeated_lines(docs: DataFrame, *, percent: int = 80, id_col: str = "doc_id"
     crowded = cut(shared_buckets(banded))
     lines = texts.select(F.explode(F.split("text", "\n")).alias("items")).select(F.xxhash64("items").alias("id"), "items")
     known = cut(join_sized(lines, cut(crowded.select(F.explode(F.array("hub", "id")).alias("id")).distinct()), "id", "left_semi").dropDuplicates(["id"]))
-    found = cut(linked(crowded, lambda ids: known.join(ids, "id", "left_semi"), percent=percent, read=line_sets).withColumnRenamed("node", "id"))
+    found = cut(linked(crowded, lambda ids: join_sized(known, ids, "id", "left_semi"), percent=percent, read=line_sets).withColumnRenamed("node", "id"))
 
     places = numbered.select("doc_id", "text_key", F.posexplode("lines").alias("line_no", "id")).filter("id is not null")
     each = places.groupBy("id").agg(F.count(F.lit(1)).alias("times"), F.min(F.struct("doc_id", "text_key", "line_no")).alias("first"))

@@ -132,22 +132,22 @@ def shared_buckets(banded: DataFrame) -> DataFrame:
 
 
 def salted(pairs: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(hub, id, salt) for the pairs (hub, id), and (hub, salt): a hub with many members is dealt
-    out in parts of about PART."""
+    """(hub, id, salt) for the checkpointed pairs (hub, id), and (hub, salt): a hub with many
+    members is dealt out in parts of about PART."""
     sizes = cut(pairs.groupBy("hub").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > PART))
     salt = F.coalesce(F.pmod(F.xxhash64("id"), F.expr(f"(n + {PART - 1}) div {PART}")).cast("int"), F.lit(0))
-    out = join_sized(pairs.select("hub", "id"), sizes, "hub", "left").select("hub", "id", salt.alias("salt"))
-    return out, out.select("hub", "salt").distinct()
+    out = cut(join_sized(pairs.select("hub", "id"), sizes, "hub", "left").select("hub", "id", salt.alias("salt")))
+    return out, cut(out.select("hub", "salt").distinct())
 
 
 def beside_hubs(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     """hub, id, items in the order in which a task reads them: a hub's own items, without an id,
     then those of its members. Every part of a large group has a copy of the hub's items."""
     dealt, heads = salted(pairs)
-    members = dealt.join(sets, "id").select("hub", "salt", "id", "items")
-    heads = heads.join(sets.withColumnRenamed("id", "hub"), "hub").select("hub", "salt", F.lit(None).cast("long").alias("id"), "items")
-    dealt = heads.unionByName(members).repartition("hub", "salt").sortWithinPartitions("hub", "salt", F.col("id").asc_nulls_first())
-    return dealt.select("hub", "id", "items")
+    members = join_sized(sets, dealt, "id", "inner").select("hub", "salt", "id", "items")
+    own = join_sized(sets.withColumnRenamed("id", "hub"), heads, "hub", "inner").select("hub", "salt", F.lit(None).cast("long").alias("id"), "items")
+    rows = own.unionByName(members).repartition("hub", "salt").sortWithinPartitions("hub", "salt", F.col("id").asc_nulls_first())
+    return rows.select("hub", "id", "items")
 
 
 def in_turn(batches: Iterator[pa.RecordBatch], read: Reader) -> Iterator[tuple[pa.RecordBatch, list[int], list[tuple[np.ndarray, np.ndarray]]]]:
@@ -254,12 +254,13 @@ def links_across(rows: DataFrame, percent: int) -> DataFrame:
 def blocks(rows: DataFrame, sizes: DataFrame) -> DataFrame:
     """The rows of ``links_across`` from block, id, component, n, items, x and y (the sides that
     the row is on), dealt to parts by ``sizes``: block, nx, ny."""
-    cut_up = join_sized(rows, sizes, "block", "inner")
     place = lambda n, seed: F.pmod(F.xxhash64("id", F.lit(seed)), F.col(n)).cast("int")
-    every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
-    x = cut_up.filter("x").withColumn("cx", place("nx", 1)).withColumn("cy", every("ny")).withColumn("side", F.lit("x"))
-    y = cut_up.filter("y").withColumn("cy", place("ny", 2)).withColumn("cx", every("nx")).withColumn("side", F.lit("y"))
-    return x.unionByName(y).select("block", "cx", "cy", "side", "component", "n", "items")
+    every = lambda n: F.sequence(F.lit(0), F.col(n) - 1)
+    x = F.transform(every("ny"), lambda c: F.struct(place("nx", 1).alias("cx"), c.alias("cy"), F.lit("x").alias("side")))
+    y = F.transform(every("nx"), lambda c: F.struct(c.alias("cx"), place("ny", 2).alias("cy"), F.lit("y").alias("side")))
+    none = F.slice(y, 1, 0)
+    at = F.explode(F.concat(F.when(F.col("x"), x).otherwise(none), F.when(F.col("y"), y).otherwise(none))).alias("at")
+    return join_sized(rows, sizes, "block", "inner").select("block", at, "component", "n", "items").select("block", "at.*", "component", "n", "items")
 
 
 def block_sizes(rows: DataFrame, weight: Column) -> DataFrame:
@@ -276,7 +277,8 @@ def group_links(near: DataFrame, named: DataFrame, sets: DataFrame, percent: int
     (n_x + n_y), k = (100 - percent) / (100 + percent): members of the largest component that are
     further off than that from everything outside it are left out.
     """
-    placed = near.select("hub", "id", "n", (F.col("n_hub") + F.col("n") - 2 * F.col("met")).alias("d")).join(named, "id", "left").withColumn("component", F.coalesce("component", "id"))
+    placed = near.select("hub", "id", "n", (F.col("n_hub") + F.col("n") - 2 * F.col("met")).alias("d"))
+    placed = join_sized(placed, named, "id", "left").withColumn("component", F.coalesce("component", "id"))
     per = placed.groupBy("hub", "component").agg(F.count(F.lit(1)).alias("size"))
     mains = cut(per.groupBy("hub").agg(F.max(F.struct("size", "component")).alias("most"), F.count(F.lit(1)).alias("parts")).filter("parts > 1").select("hub", F.col("most.component").alias("main")))
     if mains.isEmpty():
@@ -285,7 +287,7 @@ def group_links(near: DataFrame, named: DataFrame, sets: DataFrame, percent: int
     sided = join_sized(placed, mains, "hub", "inner").withColumn("x", F.col("component") != F.col("main")).withColumn("low", F.col("d") - k * F.col("n") - 1e-6).withColumn("high", F.col("d") + k * F.col("n") + 1e-6)
     reach = cut(sided.filter("x").groupBy("hub").agg(F.min("low").alias("lowest"), F.max("high").alias("highest")))
     wanted = cut(join_sized(sided, reach, "hub", "inner").filter("x or (high >= lowest and low <= highest)").select(F.col("hub").alias("block"), "hub", "id", "component", "n", "d", "x", F.lit(True).alias("y")))
-    rows = differences(wanted, sets, read).join(wanted, ["hub", "id"])
+    rows = join_sized(differences(wanted, sets, read), wanted, ["hub", "id"], "inner")
     return links_across(blocks(rows, block_sizes(wanted, 8 * F.col("d"))), percent)
 
 
@@ -296,16 +298,16 @@ def far_links(crowded: DataFrame, near: DataFrame, named: DataFrame, sets: Sets,
     What is more similar to the hub than ``beyond`` cannot reach the threshold with an item that
     is not near it, as 1 less the similarity is a distance; it is left out.
     """
-    met = near.select("hub", "id", (F.col("met") / (F.col("n_hub") + F.col("n") - F.col("met"))).alias("s"))
-    others = crowded.join(met, ["hub", "id"], "left").filter(F.col("s").isNull() | (F.col("s") <= beyond))
+    met = cut(near.select("hub", "id", (F.col("met") / (F.col("n_hub") + F.col("n") - F.col("met"))).alias("s")))
+    others = join_sized(crowded, met, ["hub", "id"], "left").filter(F.col("s").isNull() | (F.col("s") <= beyond))
     placed = cut(others.select(F.col("key").alias("block"), "id", F.col("s").isNull().alias("x")))
     lone = cut(placed.groupBy("block").agg(F.count_if("x").alias("far"), F.count(F.lit(1)).alias("all")).filter("far > 0 and all > 1").select("block"))
     if lone.isEmpty():
         return None
-    placed = cut(join_sized(placed, lone, "block", "inner").join(named, "id", "left").select("block", "id", "x", F.coalesce("component", "id").alias("component"), F.lit(True).alias("y")))
+    placed = cut(join_sized(join_sized(placed, lone, "block", "inner"), named, "id", "left").select("block", "id", "x", F.coalesce("component", "id").alias("component"), F.lit(True).alias("y")))
     whole = cut(sets(cut(placed.select("id").distinct())))
     opened = whole.mapInArrow(lambda batches: (pa.RecordBatch.from_arrays([p.column(0), pa.array([x.tobytes() for x in read(p.column(1))], pa.binary())], names=["id", "items"]) for b in batches for p in parts(b, 1)), "id long, items binary")
-    rows = cut(placed.join(opened, "id").withColumn("n", F.expr("octet_length(items) div 8")))
+    rows = cut(join_sized(opened, placed, "id", "inner").withColumn("n", F.expr("octet_length(items) div 8")))
     return links_across(blocks(rows, block_sizes(rows, 8 * F.col("n"))), percent)
 
 
@@ -323,7 +325,7 @@ def linked(crowded: DataFrame, sets: Sets, *, percent: int, read: Reader = as_se
     items = cut(sets(cut(stars.select(F.explode(F.array("hub", "id")).alias("id")).distinct())))
     near = cut(compared(stars, items, read).filter(F.col("met") >= NEAR * (F.col("n_hub") + F.col("n") - F.col("met")) if likely is None else F.lit(True)))
     alike = near.filter(100 * F.col("met") >= percent * (F.col("n_hub") + F.col("n") - F.col("met")))
-    found = components(alike, "hub", "id")
+    found = cut(components(alike, "hub", "id"))
     named = found.withColumnRenamed("node", "id")
     apart = 1 - percent / 100
     more = [x for x in (group_links(near, named, items, percent, read), far_links(crowded, near, named, sets, percent, NEAR + slack + apart, read)) if x is not None]

@@ -76,8 +76,8 @@ def likely_pairs(stars: DataFrame, light: DataFrame, packed: int = PACKED, least
     """The (hub, id) whose packed signatures (``light``: id, packed) estimate a similarity of
     ``least`` or more; a hub with many members meets them in parts."""
     pairs, heads = salted(stars)
-    pairs = pairs.join(light.withColumnRenamed("packed", "p"), "id")
-    heads = heads.join(light.select(F.col("id").alias("hub"), F.col("packed").alias("q")), "hub")
+    pairs = join_sized(light.withColumnRenamed("packed", "p"), pairs, "id", "inner")
+    heads = join_sized(light.select(F.col("id").alias("hub"), F.col("packed").alias("q")), heads, "hub", "inner")
     return pairs.join(heads, ["hub", "salt"]).filter(estimate(F.col("p"), F.col("q"), packed) >= least).select("hub", "id")
 
 
@@ -124,17 +124,17 @@ def near_duplicates(docs: DataFrame, *, size: int = 5, percent: int = 80, id_col
     holders = first.select(F.col("node").alias("id"), "doc_id")
 
     def sets(ids: DataFrame) -> DataFrame:
-        wanted = cut(holders.join(ids, "id").select("id", F.col("doc_id").alias("_doc_id")))
+        wanted = cut(join_sized(holders, ids, "id", "inner").select("id", F.col("doc_id").alias("_doc_id")))
         held = join_sized(texts, wanted, F.col("doc_id") == F.col("_doc_id"), "inner").select("id", "text")
         return shingle_sets(held, size).dropDuplicates(["id"])
 
     light = first.select(F.col("node").alias("id"), "packed")
-    found = linked(crowded, sets, percent=percent, likely=lambda stars: likely_pairs(stars, light), slack=slack)
+    found = linked(crowded, sets, percent=percent, likely=lambda stars: likely_pairs(cut(stars), light), slack=slack)
 
-    placed = cut(found.join(holders.withColumnRenamed("id", "node"), "node"))
+    placed = cut(join_sized(holders.withColumnRenamed("id", "node"), cut(found), "node", "inner"))
     least = cut(placed.groupBy("component").agg(F.min("doc_id").alias("component_id")))
     grouped = join_sized(placed, least, "component", "inner").select("node", "component_id")
-    several = cut(first.join(grouped, "node", "left").filter("times > 1 or component_id is not null").select("digest", F.coalesce("component_id", "doc_id").alias("component_id")))
+    several = cut(join_sized(first, cut(grouped), "node", "left").filter("times > 1 or component_id is not null").select("digest", F.coalesce("component_id", "doc_id").alias("component_id")))
     alone = signed.filter("digest is null or doc_id is null").withColumn("component_id", F.col("doc_id"))
     met = join_sized(signed.filter("digest is not null and doc_id is not null"), several, "digest", "left").withColumn("component_id", F.coalesce("component_id", "doc_id"))
     out = met.unionByName(alone, allowMissingColumns=True)
