@@ -113,7 +113,7 @@ def shared_buckets(banded: DataFrame) -> DataFrame:
     for every id but the smallest, which is the hub. ``banded`` is a checkpointed table of id,
     bands. Repeated rows change nothing; an id without bands has no bucket.
 
-    Keys are dealt out once, packed, to parts that are a small multiple of the shuffle's
+    Keys are dealt out once, packed, to parts that are twice as many as the shuffle's
     partitions, so that a part stays small as the partitions do. Keys that a sample shows to be
     hot are not dealt out: their hubs, few and combined before they are shuffled, are broadcast
     to the members where they lie. The sample decides the plan only.
@@ -121,7 +121,7 @@ def shared_buckets(banded: DataFrame) -> DataFrame:
     spark = banded.sparkSession
     sample = banded.filter(F.pmod(F.xxhash64("id", F.lit(5)), F.lit(SAMPLE)) == 0).select(F.explode("bands").alias("key"))
     hot = [r["key"] for r in sample.groupBy("key").count().filter(F.col("count") >= HOT_COUNT).orderBy(F.desc("count"), "key").limit(HOT_KEYS).select("key").collect()]
-    cold = part_buckets(packed_pairs(banded, 8 * int(spark.conf.get("spark.sql.shuffle.partitions")), hot))
+    cold = part_buckets(packed_pairs(banded, 2 * int(spark.conf.get("spark.sql.shuffle.partitions")), hot))
     if not hot:
         return cold
     listed = F.broadcast(spark.createDataFrame([(k,) for k in hot], "key long"))
