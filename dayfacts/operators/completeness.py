@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -20,6 +22,23 @@ def month_coverage(df: DataFrame, keys: list[str], day_col: str) -> DataFrame:
     return found.withColumn("expected_days", expected).withColumn("missing_days", expected - F.col("covered_days"))
 
 
+def every_month(coverage: DataFrame, keys: DataFrame, first: dt.date, last: dt.date) -> DataFrame:
+    """``month_coverage`` with a row for every row of ``keys`` and every month from that of
+    ``first`` to that of ``last``, so that months without a single day are seen: no covered days,
+    all of them missing."""
+    months = F.explode(F.expr(f"sequence(trunc(date'{first}', 'MM'), trunc(date'{last}', 'MM'), interval 1 month)")).alias("month_start")
+    expected = keys.distinct().select(*keys.columns, months)
+    days = F.dayofmonth(F.last_day("month_start"))
+    covered = F.coalesce("covered_days", F.lit(0))
+    out = expected.join(coverage.drop("expected_days", "missing_days"), [*keys.columns, "month_start"], "left")
+    return out.select(*keys.columns, "month_start", covered.alias("covered_days"), days.alias("expected_days"), (days - covered).alias("missing_days"))
+
+
+def listed_states(state: DataFrame, keys: list[str], status_col: str = "status") -> DataFrame:
+    """The states in order of status, then of their keys."""
+    return state.orderBy(status_col, *keys)
+
+
 def coverage_status(covered: Column, expected: Column, reported_no_data: Column) -> Column:
     """success, unavailable (nothing came and the source says that it has nothing), or failed."""
     return F.when(covered == expected, "success").when((covered == 0) & F.coalesce(reported_no_data, F.lit(False)), "unavailable").otherwise("failed")
@@ -29,7 +48,8 @@ def fold_attempts(log: DataFrame, keys: list[str], order_col: str, status_col: s
     """The state that a log of attempts leads to: status and attempts of each key.
 
     An attempt on a key that is done keeps its count; others add one, and a failure that is the
-    third is stored as given_up. A ``reset`` entry makes the key failed with no attempts.
+    third is stored as given_up. A ``reset`` entry makes the key failed with no attempts. A key's
+    log is one array: attempts on one month of one dataset are few.
     """
     entries = F.sort_array(F.collect_list(F.struct(F.col(order_col).alias("at"), F.col(status_col).alias("status"))))
     start = F.struct(F.lit(None).cast("string").alias("status"), F.lit(0).alias("attempts"))
@@ -58,13 +78,18 @@ def status_counts(state: DataFrame, status_col: str = "status") -> DataFrame:
 
 
 def availability(outcomes: DataFrame, required: list[str], *, key: str = "country_code") -> DataFrame:
-    """For each key, from (key, dataset, status) outcomes of the required datasets: complete,
-    partially_available, failed or unavailable, and the datasets that are missing."""
-    ok = outcomes.filter(F.col("dataset").isin(*required))
-    best = ok.groupBy(key, "dataset").agg(F.max(F.col("status") == "success").alias("_won"), F.max(F.col("status") == "failed").alias("_lost"))
-    by_key = best.groupBy(key).agg(F.count_if("_won").alias("_n"), F.count_if(F.col("_lost") & ~F.col("_won")).alias("_f"), F.array_sort(F.collect_list(F.when(~F.col("_won"), F.col("dataset")))).alias("_missing"))
-    status = F.when(F.col("_n") == len(set(required)), "complete").when(F.col("_n") > 0, "partially_available").when(F.col("_f") > 0, "failed").otherwise("unavailable")
-    return by_key.select(key, status.alias("availability"), F.array_join("_missing", ",").alias("missing_datasets"))
+    """For each key that was attempted at all, from (key, dataset, status) outcomes: complete,
+    partially_available, failed or unavailable over the required datasets, and those of them that
+    never succeeded, sorted. A key without any outcome of a required dataset misses them all."""
+    wanted = F.coalesce(F.col("dataset").isin(*required), F.lit(False))
+    by_key = outcomes.groupBy(key).agg(
+        F.collect_set(F.when(wanted & (F.col("status") == "success"), F.col("dataset"))).alias("_won"),
+        F.coalesce(F.bool_or(wanted & (F.col("status") == "failed")), F.lit(False)).alias("_lost"),
+    )
+    names = sorted(set(required))
+    won = F.size("_won")
+    status = F.when(won == len(names), "complete").when(won > 0, "partially_available").when(F.col("_lost"), "failed").otherwise("unavailable")
+    return by_key.select(key, status.alias("availability"), F.array_join(F.array_except(F.array(*map(F.lit, names)), "_won"), ",").alias("missing_datasets"))
 
 
 def timeline_gaps(df: DataFrame, keys: list[str], slot_col: str, step_seconds: int) -> DataFrame:

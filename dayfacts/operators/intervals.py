@@ -92,8 +92,9 @@ def generation_mix(obs: DataFrame, zones: DataFrame, *, order_col: str = "event_
     """Daily generation by category: energy, renewable flag, sorted distinct raw codes, covered
     hours, completeness_status.
 
-    The flag of a mixed category is that of its smallest raw code. Covered hours add up over raw
-    codes; with ``series_cols`` they are the least covered series' hours instead.
+    A country-day has one resolution for all its categories, by the rule of
+    ``with_preferred_resolution``; series at other resolutions are left out of that day. The flag
+    of a mixed category is that of its smallest raw code. Covered hours add up over raw codes; with ``series_cols`` they are the least covered series' hours instead.
     """
     series = generation_series(obs, zones, order_col=order_col)
     day = ["country_code", "local_date", "normalized_production_type"]
@@ -102,10 +103,10 @@ def generation_mix(obs: DataFrame, zones: DataFrame, *, order_col: str = "event_
         F.sum(energy_mwh(F.col("value"), F.col("interval_hours"))).alias("_mwh"),
         F.sum("interval_hours").alias("_hours"),
     )
-    sums = by_code.groupBy(*day, "interval_hours").agg(
+    sums = with_preferred_resolution(by_code).groupBy(*day).agg(
         F.min_by("_flag", F.coalesce("production_type_raw", F.lit(""))).alias("renewable_flag"),
         F.sum("_mwh").alias("generation_mwh"),
         F.sort_array(F.collect_set("production_type_raw")).alias("production_type_raw_codes"),
         (F.min("_hours") if series_cols else F.sum("_hours")).alias("covered_duration_hours"),
     )
-    return with_completeness(_choose_resolution(sums, day), zones)
+    return with_completeness(sums, zones)

@@ -7,39 +7,39 @@ from pyspark.sql import functions as F
 
 OTHER = "other"
 
-#: Code, category, whether renewable, label.
-PRODUCTION_TYPES = """\
-B01 | biomass | renewable | Biomass
-B02 | coal | not renewable | Fossil Brown coal/Lignite
-B03 | gas | not renewable | Fossil Coal-derived gas
-B04 | gas | not renewable | Fossil Gas
-B05 | coal | not renewable | Fossil Hard coal
-B06 | oil | not renewable | Fossil Oil
-B07 | oil | not renewable | Fossil Oil shale
-B08 | other | not renewable | Fossil Peat
-B09 | other | renewable | Geothermal
-B10 | hydro | renewable | Hydro Pumped Storage
-B11 | hydro | renewable | Hydro Run-of-river and poundage
-B12 | hydro | renewable | Hydro Water Reservoir
-B13 | other | renewable | Marine
-B14 | nuclear | not renewable | Nuclear
-B15 | other | renewable | Other renewable
-B16 | solar | renewable | Solar
-B17 | other | not renewable | Waste
-B18 | wind | renewable | Wind Offshore
-B19 | wind | renewable | Wind Onshore
-B20 | other | not renewable | Other"""
+#: Code, category, whether renewable.
+PRODUCTION_TYPES = [
+    ("B01", "biomass", True),
+    ("B02", "coal", False),
+    ("B03", "gas", False),
+    ("B04", "gas", False),
+    ("B05", "coal", False),
+    ("B06", "oil", False),
+    ("B07", "oil", False),
+    ("B08", "other", False),
+    ("B09", "other", True),
+    ("B10", "hydro", True),
+    ("B11", "hydro", True),
+    ("B12", "hydro", True),
+    ("B13", "other", True),
+    ("B14", "nuclear", False),
+    ("B15", "other", True),
+    ("B16", "solar", True),
+    ("B17", "other", False),
+    ("B18", "wind", True),
+    ("B19", "wind", True),
+    ("B20", "other", False),
+]
 
 
 def production_types(spark: SparkSession) -> DataFrame:
-    rows = [line.split(" | ") for line in PRODUCTION_TYPES.splitlines()]
-    return spark.createDataFrame([(c, k, r == "renewable", n) for c, k, r, n in rows], "type_code string, category string, renewable boolean, label string")
+    return spark.createDataFrame(PRODUCTION_TYPES, "type_code string, category string, renewable boolean")
 
 
 def with_production_type(df: DataFrame, code_col: str = "production_type_raw") -> DataFrame:
     """Adds normalized_production_type, renewable_flag and is_known_type. Codes are trimmed and
     upper-cased; unknown and null codes are ``other``, not renewable, and marked as not known."""
-    types = production_types(df.sparkSession).drop("label")
+    types = production_types(df.sparkSession)
     key = F.upper(F.trim(F.col(code_col)))
     joined = df.join(F.broadcast(types), key == F.col("type_code"), "left")  # a list of twenty codes
     return joined.select(
@@ -59,5 +59,5 @@ def unknown_codes(df: DataFrame, code_col: str = "production_type_raw") -> DataF
 def with_zone(df: DataFrame, zones: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(rows with their country's timezone, rejected rows of unknown countries). ``zones`` is
     country_code, timezone: one row for each country."""
-    zones = F.broadcast(zones.select("country_code", "timezone"))
+    zones = zones.select("country_code", "timezone")
     return df.join(zones, "country_code"), df.join(zones, "country_code", "left_anti")

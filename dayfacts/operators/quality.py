@@ -70,13 +70,13 @@ def quarantine(df: DataFrame, rules: dict[str, tuple[Column, str]]) -> tuple[Dat
 def unknown_units(df: DataFrame, allowed: DataFrame, keys: list[str]) -> DataFrame:
     """Rows whose (keys, unit) is not on the allow list; nulls are not on any list."""
     allowed = allowed.select(*keys)
-    return df.join(F.broadcast(allowed), same_keys(df, allowed, keys, null_safe=False), "left_anti")
+    return df.join(allowed, same_keys(df, allowed, keys, null_safe=False), "left_anti")
 
 
 def implausible(df: DataFrame, bounds: DataFrame, variable_col: str, value_col: str) -> DataFrame:
     """Rows beyond the bounds of their variable, with the bound's action. ``bounds`` is variable,
     low, high, action; a missing bound is none."""
-    b = F.broadcast(bounds.select(F.col("variable").alias("_v"), "low", "high", "action"))
+    b = bounds.select(F.col("variable").alias("_v"), "low", "high", "action")
     beyond = (F.col(value_col) < F.col("low")) | (F.col(value_col) > F.col("high"))
     return df.join(b, F.col(variable_col) == F.col("_v")).filter(beyond).drop("_v", "low", "high")
 

@@ -66,18 +66,23 @@ _DEMAND = f"""demand AS (
   SELECT country_code, local_date, energy AS daily_demand_mwh, n AS source_interval_count, covered AS covered_duration_hours, {_STATUS} AS completeness_status
   FROM (SELECT country_code, local_date, sum(value * hours) AS energy, count(*) AS n, sum(hours) AS covered FROM chosen GROUP BY ALL) d JOIN zones z USING (country_code))"""
 _MIX = f"""raw AS (
-  SELECT 'C' || CAST(user_id % 3 AS VARCHAR) AS country_code, time_bucket(INTERVAL 3 HOURS, ts) AS slot, value, event_id,
+  SELECT 'C' || CAST(user_id % 3 AS VARCHAR) AS country_code, value, event_id,
+    CASE WHEN user_id % 3 = 1 AND event_type = 'click' THEN 6 WHEN user_id % 3 = 2 AND event_type = 'signup' AND day(ts) % 5 = 0 THEN 1 ELSE 3 END AS hours,
+    time_bucket(to_hours(CASE WHEN user_id % 3 = 1 AND event_type = 'click' THEN 6 WHEN user_id % 3 = 2 AND event_type = 'signup' AND day(ts) % 5 = 0 THEN 1 ELSE 3 END), ts) AS slot,
     CASE WHEN user_id % 50 = 0 THEN 'B99' WHEN event_type = 'signup' THEN 'B19' WHEN event_type = 'purchase' THEN 'B04' WHEN event_type = 'error' THEN 'B16' WHEN event_type = 'click' THEN 'B09' ELSE 'B17' END AS code,
     CASE WHEN event_type = 'signup' AND user_id % 5 = 0 THEN 'A04' WHEN event_type = 'click' THEN NULL ELSE 'A01' END AS business_type
   FROM events
-), rawlatest AS (SELECT * FROM raw QUALIFY row_number() OVER (PARTITION BY country_code, slot, code, business_type ORDER BY event_id DESC) = 1),
+), rawlatest AS (SELECT * FROM raw QUALIFY row_number() OVER (PARTITION BY country_code, slot, hours, code, business_type ORDER BY event_id DESC) = 1),
 types(code, category, renewable) AS (VALUES ('B19', 'wind', TRUE), ('B04', 'gas', FALSE), ('B16', 'solar', TRUE), ('B09', 'other', TRUE), ('B17', 'other', FALSE)),
 series AS (
   SELECT r.*, CAST(timezone(z.timezone, timezone('UTC', slot)) AS DATE) AS local_date, coalesce(category, 'other') AS normalized_production_type, coalesce(renewable, FALSE) AS flag
   FROM rawlatest r JOIN zones z USING (country_code) LEFT JOIN types t USING (code) WHERE business_type IS DISTINCT FROM 'A04' AND value >= 0
+), mixchosen AS (
+  SELECT * FROM series
+  QUALIFY hours = CASE WHEN max(CAST(hours = 1 AS INT)) OVER (PARTITION BY country_code, local_date) = 1 THEN 1 ELSE min(hours) OVER (PARTITION BY country_code, local_date) END
 ), mix AS (
   SELECT country_code, local_date, normalized_production_type, renewable_flag, generation_mwh, codes, covered AS covered_duration_hours, {_STATUS} AS completeness_status
-  FROM (SELECT country_code, local_date, normalized_production_type, arg_min(flag, code) AS renewable_flag, sum(value * 3) AS generation_mwh, list_sort(list(DISTINCT code)) AS codes, count(*) * 3.0 AS covered FROM series GROUP BY country_code, local_date, normalized_production_type) d JOIN zones z USING (country_code))"""
+  FROM (SELECT country_code, local_date, normalized_production_type, arg_min(flag, code) AS renewable_flag, sum(value * hours) AS generation_mwh, list_sort(list(DISTINCT code)) AS codes, CAST(sum(hours) AS DOUBLE) AS covered FROM mixchosen GROUP BY country_code, local_date, normalized_production_type) d JOIN zones z USING (country_code))"""
 _PRICE = f"""pchosen AS (
   SELECT * FROM local WHERE value IS NOT NULL
   QUALIFY hours = CASE WHEN max(CAST(hours = 1 AS INT)) OVER (PARTITION BY country_code, local_date) = 1 THEN 1 ELSE min(hours) OVER (PARTITION BY country_code, local_date) END),
@@ -262,9 +267,16 @@ def annual_enrichment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return star.with_annual(days, views.annual(spark, sf_dir))
 
 
-@query(f"WITH {_ZONES}, {_MIX} SELECT country_code, local_date, CAST(generation_mwh AS DECIMAL(14,3)) AS generation_mwh FROM mix WHERE normalized_production_type = 'gas'")
+@query(f"WITH {_ZONES}, {_MIX} SELECT country_code, local_date, normalized_production_type, CAST(generation_mwh AS DECIMAL(14,3)) AS generation_mwh FROM mix")
 def serving_decimals(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return serving_projection(mix(spark, sf_dir).filter("normalized_production_type = 'gas'").select("country_code", "local_date", "generation_mwh"))
+    return serving_projection(mix(spark, sf_dir).select("country_code", "local_date", "normalized_production_type", "generation_mwh"))
+
+
+@query(f"WITH {_ZONES}, {_MIX}, t AS (SELECT country_code, local_date, sum(generation_mwh) AS total, bool_and(completeness_status = 'complete') AS whole FROM mix GROUP BY ALL) SELECT {_DIM}, normalized_production_type AS production_type, round(generation_mwh, 4) AS generation_mwh FROM mix JOIN t USING (country_code, local_date) WHERE completeness_status = 'complete' AND local_date BETWEEN DATE '{JANUARY[0]}' AND DATE '{JANUARY[1]}'")
+def fact_window(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The window of a fact that is published: its range of date keys."""
+    facts = star.fact_generation_mix_daily(mix(spark, sf_dir), *dimensions(spark))
+    return rounded(windows.date_key_range(facts, *JANUARY).select("country_key", "date_key", "production_type", "generation_mwh"), "generation_mwh")
 
 
 # --- Revisions and merges --------------------------------------------------------------------
@@ -355,6 +367,21 @@ def month_coverage(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.withColumn("status", completeness.coverage_status(F.col("covered_days"), F.col("expected_days"), F.lit(False)))
 
 
+@query(
+    """WITH c AS (SELECT event_type, date_trunc('month', d)::DATE AS month_start, CAST(count(*) AS INT) AS covered FROM (SELECT DISTINCT event_type, CAST(ts AS DATE) AS d FROM events) GROUP BY ALL),
+    e AS (SELECT event_type, m::DATE AS month_start, day(last_day(m::DATE)) AS expected_days FROM (SELECT DISTINCT event_type FROM events), unnest(generate_series(DATE '2023-12-01', DATE '2024-02-01', INTERVAL 1 MONTH)) AS t(m))
+    SELECT event_type, month_start, coalesce(covered, 0) AS covered_days, expected_days, expected_days - coalesce(covered, 0) AS missing_days,
+      CASE WHEN coalesce(covered, 0) = expected_days THEN 'success' WHEN coalesce(covered, 0) = 0 AND month_start < DATE '2024-01-01' THEN 'unavailable' ELSE 'failed' END AS status
+    FROM e LEFT JOIN c USING (event_type, month_start)"""
+)
+def every_month(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Months without a day are unavailable where the source says so (before 2024), else failed."""
+    events = views.table(spark, sf_dir, "events")
+    found = completeness.every_month(completeness.month_coverage(events, ["event_type"], "ts"), events.select("event_type"), dt.date(2023, 12, 1), dt.date(2024, 2, 29))
+    no_data = F.col("month_start") < F.lit(dt.date(2024, 1, 1))
+    return found.withColumn("status", completeness.coverage_status(F.col("covered_days"), F.col("expected_days"), no_data))
+
+
 _ATTEMPTS = "SELECT user_id AS combo, event_id AS seq, CASE event_type WHEN 'error' THEN 'failed' WHEN 'signup' THEN 'reset' WHEN 'purchase' THEN 'unavailable' WHEN 'view' THEN 'failed' ELSE 'success' END AS status FROM events"
 _FOLD = f"""
 WITH RECURSIVE log AS (SELECT combo, status, row_number() OVER (PARTITION BY combo ORDER BY seq) AS k FROM ({_ATTEMPTS})),
@@ -393,17 +420,29 @@ def groups_done(spark: SparkSession, sf_dir: str) -> DataFrame:
     return completeness.groups_done(_state(spark, sf_dir).withColumn("month_group", F.col("combo") % 10), ["month_group"])
 
 
-_OUTCOMES = "SELECT user_id AS country_code, event_type AS dataset, CASE WHEN value > 60 THEN 'success' WHEN value > 20 THEN 'unavailable' ELSE 'failed' END AS status FROM events WHERE event_id % 5 = 0"
+@query(_FOLD + "SELECT combo, status, attempts FROM state ORDER BY status, combo")
+def listed_states(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return completeness.listed_states(_state(spark, sf_dir), ["combo"])
+
+
+@query(f"SELECT event_id, user_id, value FROM events WHERE CAST(ts AS DATE) BETWEEN DATE '{JANUARY[0]}' AND DATE '{JANUARY[1]}'")
+def points_of_days(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return windows.trim_to_days(views.table(spark, sf_dir, "events"), "ts", *JANUARY).select("event_id", "user_id", "value")
+
+
+_OUTCOMES = "SELECT user_id AS country_code, event_type AS dataset, CASE WHEN value > 280 THEN 'success' WHEN value > 20 THEN 'unavailable' ELSE 'failed' END AS status FROM events"
 
 
 @query(
-    f"""WITH d AS (SELECT country_code, dataset, bool_or(status = 'success') AS won, bool_or(status = 'failed') AS lost FROM ({_OUTCOMES}) WHERE dataset IN ('view', 'click', 'signup') GROUP BY ALL)
-    SELECT country_code, CASE WHEN count(*) FILTER (won) = 3 THEN 'complete' WHEN count(*) FILTER (won) > 0 THEN 'partially_available' WHEN count(*) FILTER (lost AND NOT won) > 0 THEN 'failed' ELSE 'unavailable' END AS availability,
+    f"""WITH o AS ({_OUTCOMES}), r(dataset) AS (VALUES ('click'), ('signup'), ('view')),
+    d AS (SELECT c.country_code, r.dataset, coalesce(bool_or(status = 'success'), FALSE) AS won, coalesce(bool_or(status = 'failed'), FALSE) AS lost
+      FROM (SELECT DISTINCT country_code FROM o) c, r LEFT JOIN o ON o.country_code = c.country_code AND o.dataset = r.dataset GROUP BY ALL)
+    SELECT country_code, CASE WHEN count(*) FILTER (won) = 3 THEN 'complete' WHEN count(*) FILTER (won) > 0 THEN 'partially_available' WHEN count(*) FILTER (lost) > 0 THEN 'failed' ELSE 'unavailable' END AS availability,
     coalesce(string_agg(dataset, ',' ORDER BY dataset) FILTER (NOT won), '') AS missing_datasets FROM d GROUP BY country_code"""
 )
 def availability_status(spark: SparkSession, sf_dir: str) -> DataFrame:
-    status = F.when(F.col("value") > 60, "success").when(F.col("value") > 20, "unavailable").otherwise("failed")
-    outcomes = views.table(spark, sf_dir, "events").filter("event_id % 5 = 0").select(F.col("user_id").alias("country_code"), F.col("event_type").alias("dataset"), status.alias("status"))
+    status = F.when(F.col("value") > 280, "success").when(F.col("value") > 20, "unavailable").otherwise("failed")
+    outcomes = views.table(spark, sf_dir, "events").select(F.col("user_id").alias("country_code"), F.col("event_type").alias("dataset"), status.alias("status"))
     return completeness.availability(outcomes, ["view", "click", "signup"])
 
 

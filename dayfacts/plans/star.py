@@ -52,10 +52,10 @@ def generation_totals(mix: DataFrame) -> DataFrame:
 
 
 def with_dimensions(facts: DataFrame, countries: DataFrame, dates: DataFrame) -> DataFrame:
-    """Inner joins to both dimensions, which are a code list and a calendar; rows that either
-    lacks drop out, and the natural keys give way to country_key and date_key."""
-    c = F.broadcast(countries.select("country_key", "country_code"))
-    d = F.broadcast(dates.select("date_key", F.col("date").alias("local_date")))
+    """Inner joins to both dimensions; rows that either lacks drop out, and the natural keys give
+    way to country_key and date_key. Spark broadcasts a dimension if it is small."""
+    c = countries.select("country_key", "country_code")
+    d = dates.select("date_key", F.col("date").alias("local_date"))
     rest = [x for x in facts.columns if x not in DAY]
     return facts.join(c, "country_code").join(d, "local_date").select("country_key", "date_key", *rest)
 
@@ -64,9 +64,8 @@ def daily_energy(demand: DataFrame, price: DataFrame, mix: DataFrame) -> DataFra
     """One row for each country-day that any of the three knows, metrics of complete days only."""
     demand = complete_only(demand).select(*DAY, "daily_demand_mwh")
     price = complete_only(price).select(*DAY, "avg_day_ahead_price_eur_mwh", "min_day_ahead_price_eur_mwh", "max_day_ahead_price_eur_mwh")
-    totals = generation_totals(mix)
-    keys = demand.select(*DAY).union(price.select(*DAY)).union(totals.select(*DAY)).distinct()
-    out = keys.join(demand, DAY, "left").join(price, DAY, "left").join(totals, DAY, "left")
+    either = demand.unionByName(price, allowMissingColumns=True).unionByName(generation_totals(mix), allowMissingColumns=True)
+    out = either.groupBy(*DAY).agg(*[F.max(c).alias(c) for c in either.columns if c not in DAY])  # each has one row for a day
     return out.withColumn("renewable_generation_pct", safe_pct(F.col("renewable_generation_mwh"), F.col("total_generation_mwh")))
 
 

@@ -34,10 +34,13 @@ def obs_load(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def obs_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Generation at three hours; clicks of C1 at six, and signups of C2 hourly on every fifth day."""
     kind = F.col("event_type")
     code = F.when(F.col("user_id") % 50 == 0, "B99").when(kind == "signup", "B19").when(kind == "purchase", "B04").when(kind == "error", "B16").when(kind == "click", "B09").otherwise("B17")
     business = F.when((kind == "signup") & (F.col("user_id") % 5 == 0), "A04").when(kind == "click", F.lit(None).cast("string")).otherwise("A01")
-    return _events(spark, sf_dir).select("country_code", floor_to(F.col("ts"), 10_800).alias("slot"), F.lit("PT3H").alias("source_resolution"), "value", code.alias("production_type_raw"), business.alias("business_type"), "event_id")
+    hours = F.when((F.col("user_id") % 3 == 1) & (kind == "click"), 6).when((F.col("user_id") % 3 == 2) & (kind == "signup") & (F.day("ts") % 5 == 0), 1).otherwise(3)
+    rows = _events(spark, sf_dir).withColumn("_hours", hours)
+    return rows.select("country_code", floor_to(F.col("ts"), F.col("_hours") * 3600).alias("slot"), F.concat(F.lit("PT"), F.col("_hours").cast("string"), F.lit("H")).alias("source_resolution"), "value", code.alias("production_type_raw"), business.alias("business_type"), "event_id")
 
 
 def variables_tall(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -58,6 +58,12 @@ def write_merged(spark: SparkSession, source: DataFrame, keys: list[str], new_pa
     return seen.get["rows"]
 
 
+def rebuild(df: DataFrame, table: str) -> DataFrame:
+    """Replace a table of the catalog with all rows of ``df``, whatever its schema was; the table."""
+    df.write.mode("overwrite").option("overwriteSchema", "true").saveAsTable(table)
+    return df.sparkSession.table(table)
+
+
 def write_by_month(df: DataFrame, path: str, date_col: str) -> None:
     """``year=/month=`` folders, with one writing task for each month that has not too many rows."""
     dated = df.withColumn("year", F.year(date_col)).withColumn("month", F.month(date_col))

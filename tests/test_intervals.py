@@ -129,3 +129,11 @@ def test_rowwise_resolution_agrees_with_the_rollup(spark, zones):
     obs = spark.createDataFrame([("IE", *r, i) for i, r in enumerate(rows)], OBS)
     timed = intervals.with_local_date(obs, zones).withColumn("interval_hours", duration_hours(F.col("source_resolution")))
     assert {r.value for r in intervals.with_preferred_resolution(timed).collect()} == {20.0, 2.0}
+
+
+def test_one_resolution_for_all_categories_of_a_day(spark, zones):
+    """Hourly wind and quarter-hourly solar on one day: solar is left out of that day."""
+    out = mix(spark, zones, [(at(0), "PT60M", 100.0, "B19", "A01"), (at(0), "PT15M", 40.0, "B16", "A01")])
+    assert set(out) == {"wind"} and out["wind"].generation_mwh == 100.0
+    out = mix(spark, zones, [(at(0), "PT30M", 100.0, "B19", "A01"), (at(0), "PT15M", 40.0, "B16", "A01")])
+    assert set(out) == {"solar"} and out["solar"].generation_mwh == 10.0

@@ -96,3 +96,21 @@ def test_pivot_keeps_a_row_with_a_missing_variable(spark):
     df = spark.createDataFrame([("a", "x", 1.0), ("a", "y", 2.0), ("b", "x", 3.0), ("c", "other", 1.0)], "k string, n string, v double")
     got = {r.k: (r.cx, r.cy) for r in reshape.pivot_variables(df, ["k"], "n", "v", {"x": "cx", "y": "cy"}).collect()}
     assert got == {"a": (1.0, 2.0), "b": (3.0, None)}
+
+
+def test_keys_without_a_required_outcome_are_seen(spark):
+    from dayfacts.operators import completeness
+
+    rows = [("A", "load", "success"), ("A", "price", "failed"), ("B", "other", "success"), ("C", "load", "success"), ("C", "price", "success"), ("D", "load", "failed"), ("E", None, None)]
+    out = completeness.availability(spark.createDataFrame(rows, "country_code string, dataset string, status string"), ["price", "load"])
+    got = {r[0]: (r[1], r[2]) for r in out.collect()}
+    assert got == {"A": ("partially_available", "price"), "B": ("unavailable", "load,price"), "C": ("complete", ""), "D": ("failed", "load,price"), "E": ("unavailable", "load,price")}
+
+
+def test_rebuild_replaces_a_table(spark):
+    from dayfacts import sinks
+
+    sinks.rebuild(spark.createDataFrame([(1, "a")], "k int, v string"), "rebuilt_fact")
+    out = sinks.rebuild(spark.createDataFrame([(2,), (3,)], "k int"), "rebuilt_fact")
+    assert out.columns == ["k"] and sorted(r.k for r in out.collect()) == [2, 3]
+    spark.sql("DROP TABLE rebuilt_fact")
