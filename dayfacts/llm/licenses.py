@@ -1,7 +1,8 @@
 """Licence scans by canonical digest: whole texts, and whole lines, against known licence texts.
 
 Case, punctuation, copyright lines and equivalent spellings are normalised with built-in string
-functions; the SHA-256 of what is left is hash-joined to the digests of known texts.
+functions; the SHA-256 of what is left of a whole text is hash-joined to the digests of known
+texts. Lines that have the length of a known text are looked up in the row.
 """
 
 from __future__ import annotations
@@ -59,70 +60,101 @@ KNOWN = [
 ]
 
 
-def canonical_lines(text: Column) -> Column:
-    """Lower case, no copyright lines, spellings settled, one space for punctuation; lines stay."""
-    out = F.regexp_replace(ascii_lower(text), COPYRIGHT_LINE, "")
-    out = F.regexp_replace(out, PUNCTUATION, " ")
+#: Titles that stand above the full texts.
+TITLES = {
+    "MIT": ["MIT License", "The MIT License", "The MIT License (MIT)"],
+    "ISC": ["ISC License", "The ISC License"],
+    "BSD-2-Clause": ["BSD 2-Clause License", "The BSD 2-Clause License", "BSD 2-Clause \"Simplified\" License"],
+    "BSD-3-Clause": ["BSD 3-Clause License", "The BSD 3-Clause License", "BSD 3-Clause \"New\" or \"Revised\" License"],
+}
+
+
+def known_texts(known: list[tuple[str, str, str]] = KNOWN) -> list[tuple[str, str, str]]:
+    """The known texts, and the full ones (of several paragraphs) below each of their titles."""
+    return known + [(n, c, f"{title}\n\n{t}") for n, c, t in known if "\n\n" in t for title in TITLES.get(n, [])]
+
+
+def plain(text: Column) -> Column:
+    """Lower case, no copyright lines, one space for punctuation; lines stay."""
+    return F.regexp_replace(F.regexp_replace(ascii_lower(text), COPYRIGHT_LINE, ""), PUNCTUATION, " ")
+
+
+def spelled(text: Column) -> Column:
     for seen, settled in SPELLINGS:
-        out = F.replace(out, F.lit(seen), F.lit(settled))
-    return out
+        text = F.replace(text, F.lit(seen), F.lit(settled))
+    return text
+
 
+def canonical_text(text: Column) -> Column:
+    """A whole text as one line, so that spellings of two words are settled across line breaks."""
+    return spelled(F.trim(F.regexp_replace(plain(text), "[ \n]+", " ")))
 
-def canonical_text(lines: Column) -> Column:
-    """The text of ``canonical_lines`` as one line."""
-    return F.trim(F.regexp_replace(lines, "[ \n]+", " "))
+
+def canonical_lines(text: Column) -> Column:
+    """The canonical forms of a text's lines, those without a word left out."""
+    lines = F.transform(F.split(spelled(plain(text)), "\n"), lambda x: F.trim(x))
+    return F.filter(lines, lambda x: x != "")
 
 
-def known_digests(spark: SparkSession, known: list[tuple[str, str, str]] = KNOWN) -> DataFrame:
-    """digest, license, license_class of the known texts, by the expressions used on documents."""
-    texts = spark.createDataFrame(known, "license string, license_class string, text string")
-    digest = F.sha2(canonical_text(canonical_lines(F.col("text"))), 256).alias("digest")
-    return texts.select(digest, "license", "license_class").distinct()
+def known_digests(spark: SparkSession, known: list[tuple[str, str, str]] | None = None, folder: str | None = None) -> DataFrame:
+    """digest, size (characters), license, license_class of the known texts, by the expressions
+    used on documents. ``folder`` adds the texts of its files, such as the full texts of long
+    licences, each named by its file and of class ``full text``."""
+    texts = spark.createDataFrame(known_texts() if known is None else known, "license string, license_class string, text string")
+    if folder:
+        name = F.regexp_extract(F.input_file_name(), r"([^/]+?)(\.txt)?$", 1)
+        texts = texts.unionByName(spark.read.text(folder, wholetext=True).select(name.alias("license"), F.lit("full text").alias("license_class"), F.col("value").alias("text")))
+    text = canonical_text(F.col("text"))
+    found = texts.select(F.sha2(text, 256).alias("digest"), F.length(text).alias("size"), "license", "license_class")
+    return found.groupBy("digest", "size").agg(F.min(F.struct("license", "license_class")).alias("k")).select("digest", "size", "k.*")
 
 
 def scan_licenses(docs: DataFrame, known: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, n_lines (lines with a word left), text_license and text_class (the whole text is a
     known one), line_licenses (known ones among whole lines, sorted, joined by commas) and
-    n_license_lines, for every document. ``known`` is digest, license, license_class, and must
-    have one row per digest; it is a list of licences, broadcast with its size known to Spark.
+    n_license_lines, for every row. ``known`` is what ``known_digests`` gives: a list of
+    licences, which the driver reads for the lines' lookup.
 
-    Null, empty and blank texts: zeros, null and an empty string. Rows that repeat an id are one
-    document, rows without an id another. Empty table: no rows. Other columns are not read.
+    Null, empty and blank texts: zeros, null and an empty string. Repeated rows and rows without
+    an id: a row each. Empty table: no rows. Other columns are not read.
     """
-    lines = docs.select(F.col(id_col).alias("doc_id"), canonical_lines(F.coalesce(F.col(text_col).cast("string"), F.lit(""))).alias("lines"))
-    split = F.transform(F.filter(F.transform(F.split("lines", "\n"), lambda x: F.trim(x)), lambda x: x != ""), lambda x: F.struct(F.lit(False).alias("whole"), F.sha2(x, 256).alias("digest")))
-    whole = F.struct(F.lit(True).alias("whole"), F.sha2(canonical_text(F.col("lines")), 256).alias("digest"))
-    units = lines.select("doc_id", F.explode(F.concat(F.array(whole), split)).alias("unit")).select("doc_id", "unit.whole", "unit.digest")
-    met = units.join(known, "digest", "left")
-    line = ~F.col("whole")
-    return met.groupBy("doc_id").agg(
-        F.count_if(line).alias("n_lines"),
-        F.max(F.when(F.col("whole"), F.col("license"))).alias("text_license"),
-        F.max(F.when(F.col("whole"), F.col("license_class"))).alias("text_class"),
-        F.array_join(F.sort_array(F.collect_set(F.when(line, F.col("license")))), ",").alias("line_licenses"),
-        F.count_if(line & F.col("license").isNotNull()).alias("n_license_lines"),
+    listed = known.collect()
+    sizes = sorted({r["size"] for r in listed})
+    names = F.create_map(*[F.lit(x) for r in listed for x in (r["digest"], r["license"])]) if listed else F.lit(None).cast("map<string,string>")
+    text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
+    lined = docs.select(F.col(id_col).alias("doc_id"), F.sha2(canonical_text(text), 256).alias("digest"), canonical_lines(text).alias("lines"))
+    met = F.filter(F.transform(F.filter("lines", lambda x: F.length(x).isin(sizes)), lambda x: F.element_at(names, F.sha2(x, 256))), lambda x: x.isNotNull())
+    rows = lined.select("doc_id", "digest", F.size("lines").cast("long").alias("n_lines"), met.alias("met"))
+    whole = known.select("digest", F.col("license").alias("text_license"), F.col("license_class").alias("text_class"))
+    return rows.join(F.broadcast(whole), "digest", "left").select(
+        "doc_id",
+        "n_lines",
+        "text_license",
+        "text_class",
+        F.array_join(F.array_sort(F.array_distinct("met")), ",").alias("line_licenses"),
+        F.size("met").cast("long").alias("n_license_lines"),
     )
 
 
 def oracle() -> str:
     """DuckDB SQL for the rows of ``scan_licenses`` over ``documents`` with the known texts."""
     quote = lambda s: "'" + s.replace("'", "''") + "'"
+    base = lambda x: f"regexp_replace(regexp_replace(translate({x}, '{UPPER}', '{UPPER.lower()}'), {quote(COPYRIGHT_LINE)}, '', 'g'), {quote(PUNCTUATION)}, ' ', 'g')"
 
-    def lines(x: str) -> str:
-        out = f"regexp_replace(regexp_replace(translate({x}, '{UPPER}', '{UPPER.lower()}'), {quote(COPYRIGHT_LINE)}, '', 'g'), {quote(PUNCTUATION)}, ' ', 'g')"
+    def spell(x: str) -> str:
         for seen, settled in SPELLINGS:
-            out = f"replace({out}, {quote(seen)}, {quote(settled)})"
-        return out
+            x = f"replace({x}, {quote(seen)}, {quote(settled)})"
+        return x
 
-    whole = lambda x: f"sha256(trim(regexp_replace({x}, '[ \\n]+', ' ', 'g')))"
-    values = ", ".join(f"({quote(a)}, {quote(b)}, {quote(c)})" for a, b, c in KNOWN)
+    whole = lambda x: "sha256(" + spell(f"trim(regexp_replace({x}, '[ \\n]+', ' ', 'g'))") + ")"
+    values = ", ".join(f"({quote(a)}, {quote(b)}, {quote(c)})" for a, b, c in known_texts())
     return f"""
-    WITH known AS (SELECT DISTINCT {whole(lines('t'))} AS digest, l AS license, c AS license_class FROM (VALUES {values}) AS k(l, c, t)),
-    d AS (SELECT doc_id, {lines("coalesce(text, '')")} AS c FROM documents),
+    WITH known AS (SELECT DISTINCT {whole(base('t'))} AS digest, l AS license, c AS license_class FROM (VALUES {values}) AS k(l, c, t)),
+    d AS (SELECT doc_id, {base("coalesce(text, '')")} AS c FROM documents),
     units AS (
       SELECT doc_id, TRUE AS whole, {whole('c')} AS digest FROM d
       UNION ALL
-      SELECT doc_id, FALSE, sha256(trim(x)) FROM (SELECT doc_id, unnest(string_split(c, chr(10))) AS x FROM d) WHERE trim(x) <> ''
+      SELECT doc_id, FALSE, sha256(trim(x)) FROM (SELECT doc_id, unnest(string_split({spell('c')}, chr(10))) AS x FROM d) WHERE trim(x) <> ''
     )
     SELECT doc_id,
       count(*) FILTER (NOT whole) AS n_lines,

@@ -5,10 +5,10 @@ that sum to D, block k of source s is released at slot floor(k*D/a_s) and due at
 ceil((k+1)*D/a_s); the earliest deadline first fills each slot. A source is then never a whole
 block away from its share. When a source runs out, the others go on with windows of their own.
 
-Up to one period of rounded weights, a template of D slots places the blocks. Beyond, rounding
-would add up, so the weights stay exact and the slots are cut into periods: the driver finds
-which blocks each period takes, from the exact windows (nobody is a whole block off where a
-period ends), and the executors order the blocks of each period.
+Weights are exact at every size. A few blocks are ordered one by one; beyond one period, the
+slots are cut into periods: the driver finds which blocks each period takes, from the exact
+windows (nobody is a whole block off where a period ends), and the executors order the blocks of
+each period.
 """
 
 from __future__ import annotations
@@ -30,51 +30,29 @@ ship(__name__)
 PARTS = 1 << 40
 
 
-def edf_template(weights: dict[int, int]) -> list[int]:
-    """The source of each of the D slots, D being the sum of the weights."""
-    period = sum(weights.values())
-    released: list[list[tuple[int, int, int]]] = [[] for _ in range(period)]
-    for source, a in weights.items():
-        for k in range(a):
-            released[k * period // a].append((-(-(k + 1) * period // a), source, k))
-    ready: list[tuple[int, int, int]] = []
-    order = []
-    for slot in range(period):
-        for block in released[slot]:
-            heapq.heappush(ready, block)
-        due, source, _ = heapq.heappop(ready)
-        if due <= slot:
-            raise AssertionError("a block missed its deadline")
-        order.append(source)
-    return order
-
-
-def phases(blocks: dict[int, int], weights: dict[int, int]) -> list[tuple[int, int, int, int, int, int, list[int]]]:
-    """(source, first block, end block, first slot, weight, period, slots in a period) for each
-    source in each phase; a phase ends when a source has no block left."""
-    left, done, start, out = {s: n for s, n in blocks.items() if n}, dict.fromkeys(blocks, 0), 0, []
+def edf_order(blocks: dict[int, int], weights: dict[int, int]) -> list[tuple[int, int]]:
+    """(source, block) of every slot: of the blocks that are released the first due, ties to the
+    smallest source. Windows begin anew when a source has no block left."""
+    left, done, order = {s: n for s, n in blocks.items() if n}, dict.fromkeys(blocks, 0), []
     while left:
-        active = {s: weights[s] for s in left}
-        order, period = edf_template(active), sum(active.values())
-        slots: dict[int, list[int]] = {s: [] for s in active}
-        for slot, s in enumerate(order):
-            slots[s].append(slot)
-        whole = min(n // active[s] for s, n in left.items())
-        taken = {s: whole * a for s, a in active.items()}
-        length = whole * period
-        if all(taken[s] < n for s, n in left.items()):
-            for s in order:
-                taken[s] += 1
-                length += 1
-                if taken[s] == left[s]:
-                    break
-        for s, n in taken.items():
-            if n:
-                out.append((s, done[s], done[s] + n, start, active[s], period, slots[s]))
+        total = sum(weights[s] for s in left)
+        waiting, ready, placed = [(0, s) for s in sorted(left)], [], dict.fromkeys(left, 0)
+        for slot in range(sum(left.values())):
+            while waiting and waiting[0][0] <= slot:
+                _, s = heapq.heappop(waiting)
+                heapq.heappush(ready, (-(-(placed[s] + 1) * total // weights[s]), s))
+            due, s = heapq.heappop(ready)
+            if due <= slot:
+                raise AssertionError("a block missed its deadline")
+            order.append((s, done[s] + placed[s]))
+            placed[s] += 1
+            if placed[s] == left[s]:
+                break
+            heapq.heappush(waiting, (placed[s] * total // weights[s], s))
+        for s, n in placed.items():
             done[s] += n
-        start += length
-        left = {s: n - taken[s] for s, n in left.items() if n > taken[s]}
-    return out
+        left = {s: n - placed[s] for s, n in left.items() if n > placed[s]}
+    return order
 
 
 def taken_by(end: int, weights: list[int], done: list[int]) -> list[int]:
@@ -152,18 +130,19 @@ def ordered(table: DataFrame) -> DataFrame:
     return table.mapInArrow(run, "_place long, _block long, _slot long")
 
 
-def mix(docs: DataFrame, *, weights: dict[str | None, float] | None = None, id_col: str = "doc_id", source_col: str = "source", size_col: str | None = "n_chars", block_size: int = 65_536, grid: int = 1000, power: float = 0.5, max_sources: int = 256, group_rows: int = 2000) -> DataFrame:
+def mix(docs: DataFrame, *, weights: dict[str | None, float] | None = None, id_col: str = "doc_id", source_col: str = "source", size_col: str | None = "n_chars", block_size: int = 65_536, period: int = 1000, power: float = 0.5, max_sources: int = 4096, group_rows: int = 2000) -> DataFrame:
     """All rows and columns of ``docs``, with mix_block, mix_slot and mix_rank added: the block of
     the document in its source, that block's place in the mixture, and the document's place in
     its source. Sort by (mix_slot, mix_rank) for the mixture.
 
     ``weights`` gives target shares by source (needed for every source); by default a source's
-    share follows its total size to the given power. Up to ``grid`` blocks, shares are rounded to
-    ``grid`` parts, one at least; beyond, they are exact. Sizes come from ``size_col`` (null or less than 1: 1; no column: 1 each); a document
+    share follows its total size to the given power. Up to ``period`` blocks, no source is ever a
+    whole block off its exact share; beyond, none is where a period ends. Sizes come from ``size_col`` (null or less than 1: 1; no column: 1 each); a document
     belongs to the block in which it starts. Blocks within a source hold documents in an order
     drawn by hash, so that a hot source is dealt over many groups.
 
-    The driver sees one row per source only and raises beyond ``max_sources``. Null source: a
+    The driver sees one row per source, does work for each source and period, and raises beyond
+    ``max_sources`` (group the sources first). Null source: a
     source of its own. Null ids sort first; repeated rows: a place each. Empty table: no rows.
     Columns of the input whose names clash with the added ones are replaced.
     """
@@ -183,7 +162,7 @@ def mix(docs: DataFrame, *, weights: dict[str | None, float] | None = None, id_c
 
     salts = min(1 << 16, max(1, -(-sum(r["rows"] for r in found) // group_rows)))
     key = F.coalesce(F.concat(F.lit("="), F.col(source_col).cast("string")), F.lit(""))
-    salted = sized.withColumn("_key", key).withColumn("_salt", F.pmod(F.xxhash64(F.col(id_col)), F.lit(salts)).cast("int"))
+    salted = sized.withColumn("_key", key).withColumn("_salt", F.pmod(F.xxhash64(F.col(id_col), F.when(F.col(id_col).isNull(), F.monotonically_increasing_id())), F.lit(salts)).cast("int"))
     groups = salted.groupBy("_key", "_salt").agg(F.sum("_size").alias("_group_size"), F.count(F.lit(1)).alias("_group_rows"))
     earlier = W.partitionBy("_key").orderBy("_salt").rowsBetween(W.unboundedPreceding, -1)
     offsets = groups.select("_key", "_salt", F.coalesce(F.sum("_group_size").over(earlier), F.lit(0)).alias("_size_before"), F.coalesce(F.sum("_group_rows").over(earlier), F.lit(0)).alias("_rows_before"))
@@ -192,18 +171,14 @@ def mix(docs: DataFrame, *, weights: dict[str | None, float] | None = None, id_c
     ranked = salted.withColumn("_n", F.row_number().over(within)).withColumn("_before", F.sum("_size").over(within.rowsBetween(W.unboundedPreceding, 0)) - F.col("_size"))
     placed = ranked.join(offsets, ["_key", "_salt"])
     placed = placed.withColumn("mix_block", F.expr(f"(_size_before + _before) div {int(block_size)}")).withColumn("mix_rank", F.col("_rows_before") + F.col("_n") - 1)
-    if sum(blocks.values()) > grid:
-        exact = {i: max(1, round(PARTS * w / sum(share.values()))) for i, w in share.items()}
-        length = max(grid, isqrt(sum(blocks.values())))
+    exact = {i: max(1, round(PARTS * w / sum(share.values()))) for i, w in share.items()}
+    names = spark.createDataFrame([(i, r["source"]) for i, r in enumerate(found)], "_place long, _source string")
+    if sum(blocks.values()) > period:
+        length = max(period, isqrt(sum(blocks.values())))
         plan = spark.createDataFrame(list(periods(blocks, exact, length)), "slot long, first long, size long, names array<long>, parts array<long>, earlier array<long>, done array<long>, upto array<long>")
-        names = spark.createDataFrame([(i, r["source"]) for i, r in enumerate(found)], "_place long, _source string")
-        slots = cut(ordered(plan).join(F.broadcast(names), "_place").select("_source", "_block", "_slot"))
-        on = F.col(source_col).cast("string").eqNullSafe(F.col("_source")) & (F.col("mix_block") == F.col("_block"))
-        return join_sized(placed, slots, on, "inner").withColumn("mix_slot", F.col("_slot")).select(*docs.columns, *added)
-    whole = {i: max(1, round(grid * w / sum(share.values()))) for i, w in share.items()}
-    rows = [(found[s]["source"], *rest) for s, *rest in phases(blocks, whole)]
-    table = spark.createDataFrame(rows, "_source string, _first long, _end long, _start long, _weight long, _period long, _slots array<long>")
-    on = F.col(source_col).cast("string").eqNullSafe(F.col("_source")) & (F.col("mix_block") >= F.col("_first")) & (F.col("mix_block") < F.col("_end"))
-    slotted = placed.join(F.broadcast(table), on)  # at most max_sources phases of each source
-    turn = F.expr("_start + ((mix_block - _first) div _weight) * _period + element_at(_slots, cast((mix_block - _first) % _weight as int) + 1)")
-    return slotted.withColumn("mix_slot", turn).select(*docs.columns, *added)
+        turns = ordered(plan)
+    else:
+        turns = spark.createDataFrame([(i, b, slot) for slot, (i, b) in enumerate(edf_order(blocks, exact))], "_place long, _block long, _slot long")
+    slots = cut(turns.join(F.broadcast(names), "_place").select("_source", "_block", "_slot"))
+    on = F.col(source_col).cast("string").eqNullSafe(F.col("_source")) & (F.col("mix_block") == F.col("_block"))
+    return join_sized(placed, slots, on, "inner").withColumn("mix_slot", F.col("_slot")).select(*docs.columns, *added)

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import licenses, line_dedup, media, minhash, mixing, packing, quality, token_counts, toxicity, url_filter
-from .common import read, text_key
+from .common import UPPER, WORD, read, text_key
 
 #: The contract's rules: verdict, host, path.
 URL_RULES = [
@@ -32,7 +32,7 @@ def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return minhash.near_duplicates(read(spark, sf_dir, "documents"), size=2)
+    return minhash.near_duplicates(read(spark, sf_dir, "documents"), size=2).drop("text_key")
 
 
 def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -106,7 +106,28 @@ f AS (
 SELECT page_id, host, path, rule, coalesce(verdict, CASE WHEN canonical IN (SELECT canonical FROM listed) THEN 'block' ELSE 'allow' END) AS verdict FROM f
 """
 
+#: All pairs that share a shingle, and the smallest document that links reach.
+_OP3 = f"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), '{UPPER}', '{UPPER.lower()}'), '{WORD}') AS ws FROM documents
+), s AS (
+  SELECT DISTINCT doc_id, unnest(CASE WHEN len(ws) = 0 THEN []::VARCHAR[] WHEN len(ws) = 1 THEN ws ELSE list_transform(range(1, len(ws)), lambda i: ws[i] || ' ' || ws[i + 1]) END) AS g FROM w
+), n AS (
+  SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id
+), l AS (
+  SELECT a.doc_id AS a, b.doc_id AS b FROM s a JOIN n x ON x.doc_id = a.doc_id JOIN s b ON a.g = b.g AND a.doc_id < b.doc_id JOIN n y ON y.doc_id = b.doc_id AND 100 * least(x.n, y.n) >= 80 * greatest(x.n, y.n)
+  GROUP BY a.doc_id, b.doc_id, x.n, y.n HAVING 100 * count(*) >= 80 * (x.n + y.n - count(*))
+), e AS (
+  SELECT a, b FROM l UNION ALL SELECT b, a FROM l
+), r AS (
+  SELECT doc_id AS root, doc_id AS node FROM documents UNION SELECT r.root, e.b FROM r JOIN e ON e.a = r.node
+)
+SELECT doc_id, coalesce(n, 0) AS n_shingles, component_id, doc_id = component_id AS kept
+FROM (SELECT node AS doc_id, min(root) AS component_id FROM r GROUP BY node) LEFT JOIN n USING (doc_id)
+"""
+
 ORACLE: dict[str, str] = {
+    "op3_minhash": _OP3,
     "op5_licenses": licenses.oracle(),
     "op7_url_filter": _OP7,
 }

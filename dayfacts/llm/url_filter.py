@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import ascii_lower, cut
+from .common import SMALL_ROWS, ascii_lower, cut
 
 WORDS = 4
 #: Bytes of a block in a broadcast table, with its key and overhead.
@@ -74,14 +74,16 @@ def filter_urls(pages: DataFrame, listed: DataFrame, rules: list[tuple[str, str,
 
     The Bloom filter is broadcast if its blocks fit ``broadcast_bytes`` by the list's count, and
     joined by block otherwise. Pages that a rule decides, and those that the filter rejects, skip
-    the exact join.
+    the exact join: in the same pass over the pages if the list, counted, is small enough to be
+    broadcast, else in a branch of their own, so that only possible hits are shuffled.
 
     Null URLs and URLs without ``://``: empty host, path and canonical URL; never listed. Null
     ids and repeated rows: a row each. Null or repeated listed URLs: as if absent or once. Empty
     list: rules alone. Empty table: no rows. Other columns are not read, whatever their names.
     """
     listed = cut(listed.select(canonical_url(F.col(listed_col)).alias("listed")).filter(F.col("listed") != "").distinct())
-    blocks = max(1, -(-listed.count() // keys_per_block))
+    n_listed = listed.count()
+    blocks = max(1, -(-n_listed // keys_per_block))
     bloom = blocked_bloom(listed, "listed", blocks)
     if blocks * BLOCK_BYTES <= broadcast_bytes:
         bloom = F.broadcast(bloom)
@@ -89,16 +91,18 @@ def filter_urls(pages: DataFrame, listed: DataFrame, rules: list[tuple[str, str,
     url = F.col(url_col).cast("string")
     judged = pages.select(F.col(id_col).alias("page_id"), F.coalesce(url_host(url), F.lit("")).alias("host"), F.coalesce(url_path(url), F.lit("")).alias("path"), F.coalesce(canonical_url(url), F.lit("")).alias("canonical"))
     judged = judged.withColumn("fit", longest_rule(F.col("host"), F.col("path"), rules))
-    ruled = judged.filter("fit is not null").select("page_id", "host", "path", "canonical", "fit.rule", "fit.verdict")
-
-    rest = judged.filter("fit is null").drop("fit")
     block, masks = _slots(F.col("canonical"), blocks)
-    probed = rest.withColumn("block", block).join(bloom, "block", "left")
-    hit = F.col("canonical") != ""
+    probed = judged.withColumn("block", block).join(bloom, "block", "left")
+    hit = F.col("fit").isNull() & (F.col("canonical") != "")
     for k, mask in enumerate(masks):
         hit = hit & (F.coalesce(F.col(f"w{k}"), F.lit(0)).bitwiseAND(mask) == mask)
-    probed = probed.select("page_id", "host", "path", "canonical", hit.alias("possible"))
-    clear = probed.filter(~F.col("possible")).select("page_id", "host", "path", "canonical", F.lit(None).cast("string").alias("rule"), F.lit("allow").alias("verdict"))
-    possible = probed.filter("possible")
-    exact = possible.join(listed, F.col("canonical") == F.col("listed"), "left").select("page_id", "host", "path", "canonical", F.lit(None).cast("string").alias("rule"), F.when(F.col("listed").isNotNull(), "block").otherwise("allow").alias("verdict"))
-    return ruled.unionByName(clear).unionByName(exact)
+    probed = probed.select("page_id", "host", "path", "canonical", F.col("fit.rule").alias("rule"), F.col("fit.verdict").alias("ruled"), hit.alias("possible"))
+
+    def verdict(df: DataFrame, found: Column) -> DataFrame:
+        return df.select("page_id", "host", "path", "canonical", "rule", F.coalesce("ruled", F.when(found, "block").otherwise("allow")).alias("verdict"))
+
+    if n_listed <= SMALL_ROWS and broadcast_bytes:
+        met = probed.join(F.broadcast(listed), F.col("possible") & (F.col("canonical") == F.col("listed")), "left")
+        return verdict(met, F.col("listed").isNotNull())
+    possible = probed.filter("possible").join(listed, F.col("canonical") == F.col("listed"), "left")
+    return verdict(probed.filter("not possible"), F.lit(False)).unionByName(verdict(possible, F.col("listed").isNotNull()))

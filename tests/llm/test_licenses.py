@@ -19,8 +19,11 @@ def test_whole_texts_in_other_dress(spark):
         bsd.replace("copyright holder", "copyright owner"),
         mit + " More text.",
         mit[:-40],
+        bsd.replace("copyright holder", "copyright\nowner"),
+        "The MIT License (MIT)\n\nCopyright (c) 2024 X\n\n" + mit.replace(", ", ",\n"),
+        "BSD 3-Clause License\n\nCopyright 2001, Y\nAll rights reserved.\n\n" + bsd,
     )
-    assert [got[i].text_license for i in range(7)] == ["MIT", "MIT", "MIT", "Apache-2.0", "BSD-3-Clause", None, None]
+    assert [got[i].text_license for i in range(10)] == ["MIT", "MIT", "MIT", "Apache-2.0", "BSD-3-Clause", None, None, "BSD-3-Clause", "MIT", "BSD-3-Clause"]
     assert got[0].text_class == "permissive"
 
 
@@ -38,14 +41,22 @@ def test_a_wrapped_notice_is_no_copyright_line(spark):
 
 def test_known_digests_are_one_row_each(spark):
     known = L.known_digests(spark)
-    assert known.count() == known.select("digest").distinct().count() == len(L.KNOWN)
+    assert known.count() == known.select("digest").distinct().count() == len(L.known_texts())
 
 
 def test_awkward_documents(spark, awkward):
     out = L.scan_licenses(awkward, L.known_digests(spark))
     rows = {r.doc_id: r for r in out.collect()}
-    assert set(rows) == {1, 2, 3, 4, None, 5, 6, 7} and rows[1].n_lines == 2 and rows[2].n_lines == rows[3].n_lines == rows[4].n_lines == 0
+    assert out.count() == awkward.count()
+    assert set(rows) == {1, 2, 3, 4, None, 5, 6, 7} and rows[1].n_lines == 1 and rows[2].n_lines == rows[3].n_lines == rows[4].n_lines == 0
     assert rows[2].line_licenses == "" and rows[2].text_license is None
     assert L.scan_licenses(awkward.limit(0), L.known_digests(spark)).count() == 0
     plan = out._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan
+
+
+def test_texts_of_a_folder(spark, tmp_path):
+    (tmp_path / "Long-1.0.txt").write_text("The long licence.\n\nIt has  paragraphs.\n")
+    known = L.known_digests(spark, folder=str(tmp_path))
+    docs = spark.createDataFrame([(1, "the LONG license\n\nit has paragraphs"), (2, "the long")], "doc_id long, text string")
+    assert {r.doc_id: (r.text_license, r.text_class) for r in L.scan_licenses(docs, known).collect()} == {1: ("Long-1.0", "full text"), 2: (None, None)}

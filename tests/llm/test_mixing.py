@@ -16,7 +16,7 @@ def deviations(order, weights):
 
 @pytest.mark.parametrize("weights", [{0: 1}, {0: 1, 1: 1, 2: 1}, {0: 3, 1: 2, 2: 1}, {0: 1, 1: 999}, {0: 57, 1: 31, 2: 7, 3: 4, 4: 1}, {i: 1 + i * i for i in range(20)}])
 def test_no_source_is_a_whole_block_off(weights):
-    order = X.edf_template(weights)
+    order = [s for s, _ in X.edf_order({s: 2 * w for s, w in weights.items()}, weights)][: sum(weights.values())]
     assert Counter(order) == Counter(weights)
     assert max(deviations(order, weights)) < 1
 
@@ -41,13 +41,20 @@ def simulate(blocks, weights):
 
 
 @pytest.mark.parametrize("blocks, weights", [({0: 10, 1: 3, 2: 40}, {0: 3, 1: 2, 2: 1}), ({0: 0, 1: 5}, {0: 9, 1: 1}), ({0: 1}, {0: 5}), ({}, {}), ({0: 200, 1: 7, 2: 90, 3: 1}, {0: 5, 1: 3, 2: 8, 3: 1})])
-def test_phases_are_the_schedule(blocks, weights):
-    slot = {}
-    for s, first, end, start, a, period, slots in X.phases(blocks, weights):
-        for b in range(first, end):
-            slot[s, b] = start + (b - first) // a * period + slots[(b - first) % a]
-    assert [k for k, _ in sorted(slot.items(), key=lambda x: x[1])] == simulate(blocks, weights)
-    assert sorted(slot.values()) == list(range(sum(blocks.values())))
+def test_blocks_follow_the_schedule(blocks, weights):
+    assert X.edf_order(blocks, weights) == simulate(blocks, weights)
+
+
+def test_exact_weights_over_many_slots():
+    """A third, two thirds and a hundred-thousandth, over a hundred thousand slots."""
+    weights = {0: X.PARTS // 3, 1: X.PARTS * 2 // 3, 2: X.PARTS // 100_000}
+    total, seen = sum(weights.values()), Counter()
+    for slot, (s, _) in enumerate(X.edf_order({0: 33_300, 1: 66_600, 2: 2}, weights), 1):
+        seen[s] += 1
+        if any(seen[k] == n for k, n in ((0, 33_300), (1, 66_600), (2, 2))):
+            break
+        assert all(abs(seen[k] * total - slot * w) < total for k, w in weights.items())
+    assert slot > 90_000
 
 
 def test_documents_follow_their_blocks(small):
@@ -62,7 +69,7 @@ def test_documents_follow_their_blocks(small):
         streams[r.source].append(r)
     names = sorted(sizes)
     share = {i: sizes[s] ** 0.5 for i, s in enumerate(names)}
-    weights = {i: max(1, round(1000 * w / sum(share.values()))) for i, w in share.items()}
+    weights = {i: round(X.PARTS * w / sum(share.values())) for i, w in share.items()}
     order = simulate({i: -(-sizes[s] // 5000) for i, s in enumerate(names)}, weights)
     place = {k: i for i, k in enumerate(order)}
     for i, s in enumerate(names):
