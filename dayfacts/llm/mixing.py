@@ -17,6 +17,7 @@ import heapq
 from collections.abc import Iterator
 from math import isqrt
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
@@ -55,34 +56,74 @@ def edf_order(blocks: dict[int, int], weights: dict[int, int]) -> list[tuple[int
     return order
 
 
-def taken_by(end: int, weights: list[int], done: list[int]) -> list[int]:
+def taken_by(first: int, end: int, weights: list[int], done: list[int]) -> list[int]:
     """How many blocks of each source are placed before slot ``end``, given those placed before
-    the period: all that are due, then of those released the first due. What a feasible schedule
-    does later instead can be exchanged, so that the slots after ``end`` stay feasible."""
+    slot ``first``, so that every block of the period and of all later ones has a slot within its
+    window.
+
+    All blocks due by ``end`` are taken. The rest of the slots goes to released blocks, the first
+    due first, each only if the blocks released at or after any slot t of the period stay no more
+    than the slots from t to ``end``. These sets of late blocks are nested, so taking greedily
+    leaves, for every later slot, the fewest blocks that are due by then.
+    """
     total = sum(weights)
     out = [max(n, end * a // total) for n, a in zip(done, weights)]
-    begun = sorted((-(-(n + 1) * total // a), i) for i, (n, a) in enumerate(zip(out, weights)) if n * total < end * a)
+    length = end - first
+    late = np.zeros(length + 1, np.int64)  # by slot of the period: blocks taken that are released there
+    for n, upto, a in zip(done, out, weights):
+        if upto > n:
+            whole, part = divmod(n * total, a)  # of the first block; the others follow in 64 bits
+            at = whole - first + (part + np.arange(upto - n) * total) // a
+            late += np.bincount(np.maximum(at, 0), minlength=length + 1)
+    free = np.minimum.accumulate(np.arange(length, 0, -1) - late[:length][::-1].cumsum()[::-1])
+    begun = sorted((-(-(n + 1) * total // a), i, max(0, n * total // a - first)) for i, (n, a) in enumerate(zip(out, weights)) if n * total < end * a)
+    slots = sorted({at for _, _, at in begun})
+    left = [int(free[at]) for at in slots] + [0]
+    left = [n - after for n, after in zip(left, left[1:])]
+    to = list(range(len(slots) + 1))  # the nearest later place with room, or the end
+
+    def room(j: int) -> int:
+        while to[j] != j:
+            to[j] = to[to[j]]
+            j = to[j]
+        return j
+
     rest = end - sum(out)
-    if not 0 <= rest <= len(begun):
+    index = {at: j for j, at in enumerate(slots)}
+    for j, n in enumerate(left):
+        if n == 0:
+            to[j] = j + 1
+    for _, i, at in begun:
+        if rest == 0:
+            break
+        j = room(index[at])
+        if j < len(slots):
+            out[i] += 1
+            rest -= 1
+            left[j] -= 1
+            if left[j] == 0:
+                to[j] = j + 1
+    if rest:
         raise AssertionError("a period does not hold what is due")
-    for _, i in begun[:rest]:
-        out[i] += 1
     return out
 
 
 def period_order(first: int, weights: list[int], done: list[int], upto: list[int]) -> list[int]:
-    """The source of each slot from ``first``: earliest deadline first; where nothing of the
-    period is released, what is released next."""
-    total = sum(weights)
+    """The source of each slot from ``first``: of the period's blocks that are released the first
+    due, where all are due by the period's end."""
+    total, end = sum(weights), first + sum(upto) - sum(done)
     waiting = sorted((k * total // a, i, k) for i, a in enumerate(weights) for k in range(done[i], upto[i]))
     ready: list[tuple[int, int]] = []
     order, at = [], 0
-    for slot in range(first, first + len(waiting)):
-        while at < len(waiting) and (waiting[at][0] <= slot or not ready):
+    for slot in range(first, end):
+        while at < len(waiting) and waiting[at][0] <= slot:
             _, i, k = waiting[at]
-            heapq.heappush(ready, (-(-(k + 1) * total // weights[i]), i))
+            heapq.heappush(ready, (min(end, -(-(k + 1) * total // weights[i])), i))
             at += 1
-        order.append(heapq.heappop(ready)[1])
+        due, i = heapq.heappop(ready)
+        if due <= slot:
+            raise AssertionError("a block missed its deadline")
+        order.append(i)
     return order
 
 
@@ -96,7 +137,7 @@ def periods(blocks: dict[int, int], weights: dict[int, int], length: int) -> Ite
         parts, earlier, done, first = [weights[s] for s in names], [before[s] for s in names], [0] * len(names), 0
         ended = False
         while not ended:
-            upto = taken_by(first + length, parts, done)
+            upto = taken_by(first, first + length, parts, done)
             size, after = length, upto
             if any(n >= left[s] for s, n in zip(names, upto)):
                 ended, size, after = True, 0, list(done)
