@@ -1,9 +1,9 @@
 """Token counts under a unigram model, by dynamic programming over a trie of pre-tokens.
 
-The distinct pre-tokens of a batch are laid out as a trie walked depth first: in sorted order a
-pre-token shares the forward scores of the prefix it has in common with the one before, so each
-trie node is scored once. The best path's token count at a terminal node is what is stored.
-Documents then add up the stored counts; nothing is shuffled.
+The distinct pre-tokens of a task go into a trie, batch after batch: a pre-token takes the forward
+scores of the prefix it shares with any earlier one, so each trie node is scored once. The best
+path's token count at a terminal node is what is stored. Documents then add up the stored counts;
+nothing is shuffled.
 """
 
 from __future__ import annotations
@@ -32,43 +32,93 @@ class UnigramTrie:
 
     A character that no piece covers becomes its UTF-8 bytes, each at ``byte_score``. Among
     paths of equal score the one with fewer tokens wins, then the one with the longer last piece.
-    ``keep`` bounds the stored terminals; what falls out is computed again when it returns.
+    The trie stays between inserts: a prefix that any earlier pre-token had is not scored again.
+    ``keep`` bounds the stored terminals and nodes; beyond it they are let go, and what returns is
+    computed again. Nodes deeper than ``DEEP`` are scored but not stored.
     """
 
+    DEEP = 48
+
     def __init__(self, scores: dict[str, float], byte_score: float, keep: int = 400_000):
         self.scores, self.byte_score, self.keep = scores, byte_score, keep
         self.longest = max(map(len, scores), default=1)
+        # The gain of each piece, and none for what only begins a piece.
+        self.gains = dict.fromkeys((p[:k] for p in scores for k in range(1, len(p))), -math.inf) | scores
         self.terminals: dict[str, int] = {}
-        self.nodes = 0
+        self.nodes = 0  # scored so far
+        self.clear()
+
+    def clear(self) -> None:
+        """An empty trie: the root's score and token count, and no edge."""
+        self.edges: dict[int, int] = {}  # node and next character -> node
+        self.node_scores, self.node_counts = [0.0], [0]
 
     def insert(self, pretokens: Iterable[str]) -> None:
         """Score all pre-tokens of the set that are not stored yet."""
         new = sorted(pretokens)
         if len(self.terminals) + len(new) > self.keep:
             self.terminals = {}
-        get, longest = self.scores.get, self.longest
-        score, count = [0.0], [0]  # forward score and token count by depth, along the current path
+        path, score, count = [0], [0.0], [0]  # stored nodes, scores and token counts by depth
         before = ""
         for word in new:
-            depth, most = 0, min(len(word), len(before))
+            if len(self.node_scores) > self.keep:
+                self.clear()
+                before = ""
+            depth, most = 0, min(len(word), len(before), len(path) - 1)
             while depth < most and word[depth] == before[depth]:
                 depth += 1
-            del score[depth + 1 :], count[depth + 1 :]
-            for end in range(depth + 1, len(word) + 1):
-                n = len(word[end - 1].encode("utf-8", "replace"))
-                best, tokens = score[end - 1] + n * self.byte_score, count[end - 1] + n
-                for begin in range(max(0, end - longest), end):
-                    gain = get(word[begin:end])
-                    if gain is not None:
-                        s, c = score[begin] + gain, count[begin] + 1
-                        if s > best or (s == best and c < tokens):
-                            best, tokens = s, c
-                score.append(best)
-                count.append(tokens)
-                self.nodes += 1
-            self.terminals[word] = count[len(word)]
+            del path[depth + 1 :], score[depth + 1 :], count[depth + 1 :]
+            while depth < len(word):
+                node = self.edges.get(path[depth] << 21 | ord(word[depth]))
+                if node is None:
+                    break
+                path.append(node)
+                score.append(self.node_scores[node])
+                count.append(self.node_counts[node])
+                depth += 1
+            self.terminals[word] = self.extend(word, path, score, count)
             before = word
 
+    def extend(self, word: str, path: list[int], score: list[float], count: list[int]) -> int:
+        """Score the rest of ``word`` below the path, storing its nodes; the word's token count."""
+        get, longest = self.gains.get, self.longest
+        gone = 0  # depths of a deep path that no piece can reach back to
+        at = len(path) - 1
+        begun = [b for b in range(max(0, at - longest), at) if word[b:at] in self.gains]  # where a longer piece may begin
+        for end in range(at + 1, len(word) + 1):
+            last = word[end - 1]
+            n = 1 if last < "\x80" else len(last.encode("utf-8", "replace"))
+            best, tokens = score[end - 1 - gone] + n * self.byte_score, count[end - 1 - gone] + n
+            begun.append(end - 1)
+            going = []
+            for begin in begun:
+                gain = get(word[begin:end])
+                if gain is not None:
+                    going.append(begin)
+                    s = score[begin - gone] + gain
+                    if s >= best:
+                        c = count[begin - gone] + 1
+                        if s > best or c < tokens:
+                            best, tokens = s, c
+            begun = going
+            score.append(best)
+            count.append(tokens)
+            self.nodes += 1
+            if end <= self.DEEP:
+                self.edges[path[-1] << 21 | ord(last)] = len(self.node_scores)
+                path.append(len(self.node_scores))
+                self.node_scores.append(best)
+                self.node_counts.append(tokens)
+            elif len(score) > self.DEEP + 2 * longest + 4096:
+                kept = len(score) - longest
+                gone += kept
+                del score[:kept], count[:kept]
+        tokens = count[len(word) - gone]
+        if gone:  # the path's beginning as it is stored
+            score[:] = [self.node_scores[i] for i in path]
+            count[:] = [self.node_counts[i] for i in path]
+        return tokens
+
     def counts(self, documents: list[list[str]]) -> list[int]:
         """Tokens of each document, given as its pre-tokens."""
         distinct = set().union(*documents) if documents else set()
