@@ -68,6 +68,24 @@ TITLES = {
     "BSD-3-Clause": ["BSD 3-Clause License", "The BSD 3-Clause License", "BSD 3-Clause \"New\" or \"Revised\" License"],
 }
 
+#: Fixed values: (licence, class, size, digest) of the canonical forms of long licences' full texts,
+#: as Linux distributions install them.
+FULL_TEXTS = [
+    ("Apache-2.0", "permissive", 9887, "036b5ff6d47b44974c624da95e5bf0ac7ddfe5030e41dfa7ff8ac0c1daa9f32b"),
+    ("Artistic-1.0", "permissive", 5833, "08f1dc258c8f9e175155356aa1dd0dead8cfdec586bc1bb4c8b1452699a91702"),
+    ("CC0-1.0", "public domain", 6692, "96bdc7f63190fb4bd1ae584b890300ed7517d858b34c945642a3b9b2f1612a5f"),
+    ("GFDL-1.2", "copyleft", 19578, "15f6a8d360ffdecc988c29279c00f23e20de17f14f2a06572ab0d41de6e98b7b"),
+    ("GFDL-1.3", "copyleft", 22013, "2d36daeff2ad303badb6dee8149748be25e22974dd468e1e8a55cf40f16fc01d"),
+    ("GPL-1.0", "copyleft", 11765, "8f586b09c093668e2db772bdcfc1d5dc0b03e0e862fccbff035e1bf134e9b224"),
+    ("GPL-2.0", "copyleft", 17117, "efe73660e5476cf0368fc0fc143f624ff9d1b73c4484b14a9969dd20c5786821"),
+    ("GPL-3.0", "copyleft", 33406, "eaab5d82fdcca441d83a1913bbf07e4de3a739e190578c0bffde24f84e93bb2a"),
+    ("LGPL-2.0", "copyleft", 24130, "61af4dcea4e412e8ccfb8877fd2762bd6d962f8d42a9fa2c06cf7b4613f2c908"),
+    ("LGPL-2.1", "copyleft", 25217, "4d55922bdeafabde164d75448bbfb0b474bf952bbb541325364010900acd9891"),
+    ("LGPL-3.0", "copyleft", 7104, "aae2b222477171fb64e298e7965e768a9a6f85320646b266c94399ac029d42be"),
+    ("MPL-1.1", "copyleft", 22447, "cbbde7eeab9b4d180dc00b34252f800e97fb1cddbab38ed8c0c73b956dc2cbf6"),
+    ("MPL-2.0", "copyleft", 14342, "6fedd8db6adb0e102fc0f69b9e1501d2edaf25940e34910831cab46f9f5d4e4d"),
+]
+
 
 def known_texts(known: list[tuple[str, str, str]] = KNOWN) -> list[tuple[str, str, str]]:
     """The known texts, and the full ones (of several paragraphs) below each of their titles."""
@@ -102,7 +120,8 @@ def canonical_lines(base: Column) -> Column:
 
 def known_digests(spark: SparkSession, known: list[tuple[str, str, str]] | None = None, folder: str | None = None) -> DataFrame:
     """digest, size (characters), license, license_class of the known texts, by the expressions
-    used on documents. ``folder`` adds the texts of its files, such as the full texts of long
+    used on documents, and the listed digests of long licences (only where ``known`` is not
+    given). ``folder`` adds the texts of its files, such as the full texts of long
     licences, each named by its file and of class ``full text``."""
     texts = spark.createDataFrame(known_texts() if known is None else known, "license string, license_class string, text string")
     if folder:
@@ -110,9 +129,25 @@ def known_digests(spark: SparkSession, known: list[tuple[str, str, str]] | None
         texts = texts.unionByName(spark.read.text(folder, wholetext=True).select(name.alias("license"), F.lit("full text").alias("license_class"), F.col("value").alias("text")))
     text = canonical_text(F.col("text"))
     found = texts.select(F.sha2(text, 256).alias("digest"), F.length(text).alias("size"), "license", "license_class")
+    if known is None:
+        full = spark.createDataFrame([(d, n, a, c) for a, c, n, d in FULL_TEXTS], "digest string, size int, license string, license_class string")
+        found = found.unionByName(full)
     return found.groupBy("digest", "size").agg(F.min(F.struct("license", "license_class")).alias("k")).select("digest", "size", "k.*")
 
 
+def possible_lengths(sizes: list[int]) -> list[tuple[int, int]]:
+    """Ranges of lengths from which settling the spellings can lead to one of ``sizes`` (sorted):
+    a spelling shrinks by a fifth or grows by a seventh at most."""
+    ranges: list[tuple[int, int]] = []
+    for n in sizes:
+        low, high = n * 3 // 4, n * 4 // 3
+        if ranges and low <= ranges[-1][1]:
+            ranges[-1] = (ranges[-1][0], high)
+        else:
+            ranges.append((low, high))
+    return ranges
+
+
 def scan_licenses(docs: DataFrame, known: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, n_lines (lines with a word left), text_license and text_class (the whole text is a
     known one), line_licenses (known ones among whole lines, sorted, joined by commas) and
@@ -127,8 +162,9 @@ def scan_licenses(docs: DataFrame, known: DataFrame, *, id_col: str = "doc_id",
     names = F.create_map(*[F.lit(x) for r in listed for x in (r["digest"], r["license"])]) if listed else F.lit(None).cast("map<string,string>")
     base = docs.select(F.col(id_col).alias("doc_id"), plain(F.coalesce(F.col(text_col).cast("string"), F.lit(""))).alias("base"))
     joined = base.select("doc_id", "base", one_line(F.col("base")).alias("one"))
-    # Spellings change a length by far less than half: other lengths have no known digest.
-    near = F.length("one").between(min(sizes, default=0) // 2, 2 * max(sizes, default=0))
+    near = F.lit(False)  # other lengths have no known digest
+    for low, high in possible_lengths(sizes):
+        near = near | F.length("one").between(low, high)
     lined = joined.select("doc_id", F.when(near, F.sha2(spelled(F.col("one")), 256)).alias("digest"), canonical_lines(F.col("base")).alias("lines"))
     met = F.filter(F.transform(F.filter("lines", lambda x: F.length(x).isin(sizes)), lambda x: F.element_at(names, F.sha2(x, 256))), lambda x: x.isNotNull())
     rows = lined.select("doc_id", "digest", F.size("lines").cast("long").alias("n_lines"), met.alias("met"))
@@ -155,8 +191,10 @@ def oracle() -> str:
 
     whole = lambda x: "sha256(" + spell(f"trim(regexp_replace({x}, '[ \\n]+', ' ', 'g'))") + ")"
     values = ", ".join(f"({quote(a)}, {quote(b)}, {quote(c)})" for a, b, c in known_texts())
+    full = ", ".join(f"({quote(d)}, {quote(a)}, {quote(c)})" for a, c, _, d in FULL_TEXTS)
     return f"""
-    WITH known AS (SELECT DISTINCT {whole(base('t'))} AS digest, l AS license, c AS license_class FROM (VALUES {values}) AS k(l, c, t)),
+    WITH known AS (SELECT DISTINCT {whole(base('t'))} AS digest, l AS license, c AS license_class FROM (VALUES {values}) AS k(l, c, t)
+      UNION SELECT * FROM (VALUES {full}) AS f(d, l, c)),
     d AS (SELECT doc_id, {base("coalesce(text, '')")} AS c FROM documents),
     units AS (
       SELECT doc_id, TRUE AS whole, {whole('c')} AS digest FROM d

@@ -1,5 +1,11 @@
+from pathlib import Path
+
+import pytest
+
 from dayfacts.llm import licenses as L
 
+INSTALLED = Path("/usr/share/common-licenses")
+
 
 def scan(spark, *texts):
     docs = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string")
@@ -41,7 +47,7 @@ def test_a_wrapped_notice_is_no_copyright_line(spark):
 
 def test_known_digests_are_one_row_each(spark):
     known = L.known_digests(spark)
-    assert known.count() == known.select("digest").distinct().count() == len(L.known_texts())
+    assert known.count() == known.select("digest").distinct().count() == len(L.known_texts()) + len(L.FULL_TEXTS)
 
 
 def test_awkward_documents(spark, awkward):
@@ -60,3 +66,17 @@ def test_texts_of_a_folder(spark, tmp_path):
     known = L.known_digests(spark, folder=str(tmp_path))
     docs = spark.createDataFrame([(1, "the LONG license\n\nit has paragraphs"), (2, "the long")], "doc_id long, text string")
     assert {r.doc_id: (r.text_license, r.text_class) for r in L.scan_licenses(docs, known).collect()} == {1: ("Long-1.0", "full text"), 2: (None, None)}
+
+
+def test_full_texts_as_installed(spark):
+    files = {name: INSTALLED / name.removesuffix("-1.0" if name.startswith("Artistic") else ".0" if "GPL" in name else "-") for name, *_ in L.FULL_TEXTS}
+    files = {name: path.read_text() for name, path in files.items() if path.is_file()}
+    if not files:
+        pytest.skip("no licence texts are installed here")
+    got = scan(spark, *files.values(), *["(c) 2024 X\n\n" + t.upper().replace("\n", " \n") for t in files.values()])
+    assert [got[i].text_license for i in range(2 * len(files))] == [*files, *files]
+
+
+def test_possible_lengths():
+    assert L.possible_lengths([12, 16, 120]) == [(9, 21), (90, 160)]
+    assert L.possible_lengths([]) == []
