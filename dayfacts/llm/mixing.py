@@ -171,6 +171,29 @@ def ordered(table: DataFrame) -> DataFrame:
     return table.mapInArrow(run, "_place long, _block long, _slot long")
 
 
+def stream_members(totals: DataFrame, alone: list[str | None], streams: int, weights: dict[str | None, float] | None, power: float, block_size: int) -> DataFrame:
+    """_source, _place (of its stream, after those of the sources alone), _weight, _blocks and
+    _rows of the sources that are not scheduled alone."""
+    spark = totals.sparkSession
+    listed = spark.createDataFrame([(s,) for s in alone], "_alone string")
+    rest = totals.join(F.broadcast(listed), F.col("source").eqNullSafe(F.col("_alone")), "left_anti")
+    weight = F.pow(F.col("size").cast("double"), F.lit(power))
+    if weights:
+        given = spark.createDataFrame([(s, float(w)) for s, w in weights.items()], "_given string, _share double")
+        rest, weight = rest.join(given, F.col("source").eqNullSafe(F.col("_given"))), F.col("_share")
+    place = F.lit(len(alone)) + F.pmod(F.xxhash64("source"), F.lit(streams))
+    return cut(rest.select(F.col("source").alias("_source"), place.cast("long").alias("_place"), weight.alias("_weight"), F.ceil(F.col("size") / block_size).alias("_blocks"), F.col("rows").alias("_rows")))
+
+
+def member_slots(turns: DataFrame, members: DataFrame) -> DataFrame:
+    """_source, _block and _slot of the streams' members: a stream's blocks are its members', in
+    the order of the middle of their windows, ties to the smallest source."""
+    each = members.select("_source", "_place", "_weight", F.explode(F.sequence(F.lit(0).cast("long"), F.col("_blocks") - 1)).alias("_own"))
+    due = W.partitionBy("_place").orderBy((2 * F.col("_own") + 1) / F.col("_weight"), "_source", "_own")
+    numbered = each.withColumn("_block", F.row_number().over(due).cast("long") - 1)
+    return numbered.join(turns, ["_place", "_block"]).select("_source", F.col("_own").alias("_block"), "_slot")
+
+
 def mix(docs: DataFrame, *, weights: dict[str | None, float] | None = None, id_col: str = "doc_id", source_col: str = "source", size_col: str | None = "n_chars", block_size: int = 65_536, period: int = 1000, power: float = 0.5, max_sources: int = 4096, group_rows: int = 2000) -> DataFrame:
     """All rows and columns of ``docs``, with mix_block, mix_slot and mix_rank added: the block of
     the document in its source, that block's place in the mixture, and the document's place in
@@ -182,9 +205,11 @@ def mix(docs: DataFrame, *, weights: dict[str | None, float] | None = None, id_c
     belongs to the block in which it starts. Blocks within a source hold documents in an order
     drawn by hash, so that a hot source is dealt over many groups.
 
-    The driver sees one row per source, does work for each source and period, and raises beyond
-    ``max_sources`` (group the sources first). Null source: a
-    source of its own. Null ids sort first; repeated rows: a place each. Empty table: no rows.
+    The driver sees one row per source and does work for each source and period. Beyond
+    ``max_sources`` sources the largest half of that number are scheduled one by one, and the
+    others are dealt by hash into as many streams, each scheduled as one source with its members'
+    weight; within a stream, blocks come in the order of the middle of their exact windows, so
+    that a member is about a block off its share of the stream. Null source: a source of its own. Null ids sort first; repeated rows: a place each. Empty table: no rows.
     Columns of the input whose names clash with the added ones are replaced.
     """
     added = ["mix_block", "mix_slot", "mix_rank"]
@@ -193,15 +218,22 @@ def mix(docs: DataFrame, *, weights: dict[str | None, float] | None = None, id_c
     size = F.greatest(F.coalesce(F.col(size_col).cast("long"), F.lit(1)), F.lit(1)) if size_col else F.lit(1)
     sized = docs.withColumn("_size", size.cast("long"))
     totals = sized.groupBy(F.col(source_col).cast("string").alias("source")).agg(F.sum("_size").alias("size"), F.count(F.lit(1)).alias("rows"))
-    found = totals.limit(max_sources + 1).collect()
+    found, members = totals.limit(max_sources + 1).collect(), None
     if len(found) > max_sources:
-        raise ValueError(f"more than {max_sources} sources; group them first")
+        totals, alone = cut(totals), max(1, max_sources // 2)
+        found = totals.orderBy(F.desc("size"), "source").limit(alone).collect()
+        members = stream_members(totals, [r["source"] for r in found], alone, weights, power, block_size)
     found.sort(key=lambda r: (r["source"] is not None, r["source"] or ""))
     share = {i: (weights[r["source"]] if weights else r["size"] ** power) for i, r in enumerate(found)}
     blocks = {i: -(-r["size"] // block_size) for i, r in enumerate(found)}
+    n_rows = sum(r["rows"] for r in found)
+    if members is not None:
+        for r in members.groupBy("_place").agg(F.sum("_weight").alias("weight"), F.sum("_blocks").alias("blocks"), F.sum("_rows").alias("rows")).collect():
+            share[r["_place"]], blocks[r["_place"]] = r["weight"], r["blocks"]
+            n_rows += r["rows"]
     spark = docs.sparkSession
 
-    salts = min(1 << 16, max(1, -(-sum(r["rows"] for r in found) // group_rows)))
+    salts = min(1 << 16, max(1, -(-n_rows // group_rows)))
     key = F.coalesce(F.concat(F.lit("="), F.col(source_col).cast("string")), F.lit(""))
     salted = sized.withColumn("_key", key).withColumn("_salt", F.pmod(F.xxhash64(F.col(id_col), F.when(F.col(id_col).isNull(), F.monotonically_increasing_id())), F.lit(salts)).cast("int"))
     groups = salted.groupBy("_key", "_salt").agg(F.sum("_size").alias("_group_size"), F.count(F.lit(1)).alias("_group_rows"))
@@ -220,6 +252,7 @@ def mix(docs: DataFrame, *, weights: dict[str | None, float] | None = None, id_c
         turns = ordered(plan)
     else:
         turns = spark.createDataFrame([(i, b, slot) for slot, (i, b) in enumerate(edf_order(blocks, exact))], "_place long, _block long, _slot long")
-    slots = cut(turns.join(F.broadcast(names), "_place").select("_source", "_block", "_slot"))
+    slots = turns.join(F.broadcast(names), "_place").select("_source", "_block", "_slot")
+    slots = cut(slots if members is None else slots.unionByName(member_slots(turns, members)))
     on = F.col(source_col).cast("string").eqNullSafe(F.col("_source")) & (F.col("mix_block") == F.col("_block"))
     return join_sized(placed, slots, on, "inner").withColumn("mix_slot", F.col("_slot")).select(*docs.columns, *added)

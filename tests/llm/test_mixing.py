@@ -87,11 +87,32 @@ def test_awkward_documents(spark, awkward):
     assert X.mix(awkward.limit(0)).count() == 0
     given = X.mix(awkward, weights={"a": 2, "b": 1, "c": 1, None: 1}, size_col=None, block_size=1).collect()
     assert sorted(r.mix_slot for r in given) == list(range(len(given)))
-    with pytest.raises(ValueError, match="sources"):
-        X.mix(awkward, max_sources=2)
+    assert len(X.mix(awkward, max_sources=2, block_size=10).collect()) == awkward.count()
 
 
 def test_a_hot_source_is_dealt_over_groups(spark):
     docs = spark.range(1000).select(F.col("id").alias("doc_id"), F.lit("hot").alias("source"))
     rows = X.mix(docs, size_col=None, block_size=10, group_rows=10).collect()
     assert sorted(r.mix_rank for r in rows) == list(range(1000)) and Counter(r.mix_slot for r in rows) == {b: 10 for b in range(100)}
+
+
+@pytest.mark.parametrize("given", [False, True])
+def test_more_sources_than_are_scheduled_alone(spark, given):
+    """60 sources, 4 alone and the rest in 4 streams: every block has a slot of its own, in order,
+    and the sources alone stay within a block until one runs out."""
+    n = {i: 200 if i < 4 else 3 + i % 5 for i in range(60)}
+    docs = spark.createDataFrame([(1000 * i + k, f"s{i}" if i else None) for i in n for k in range(n[i])], "doc_id long, source string")
+    weights = {(f"s{i}" if i else None): n[i] for i in n}
+    rows = X.mix(docs, weights=weights if given else None, power=1.0, size_col=None, block_size=1, max_sources=8).collect()
+    assert sorted(r.mix_slot for r in rows) == list(range(sum(n.values())))
+    order = [r.source for r in sorted(rows, key=lambda r: r.mix_slot)]
+    for s in weights:
+        assert [r.mix_block for r in sorted(rows, key=lambda r: r.mix_slot) if r.source == s] == list(range(weights[s]))
+    seen = Counter()
+    for slot, s in enumerate(order, 1):
+        seen[s] += 1
+        off = {k: abs(seen[k] - slot * w / len(rows)) for k, w in weights.items()}
+        if any(seen[k] == n[0] for k in (None, "s1", "s2", "s3")):
+            break
+        assert max(off[k] for k in (None, "s1", "s2", "s3")) < 1 + 2**-11 and max(off.values()) < 3, slot  # weights are rounded to 2^-40
+    assert slot > len(rows) - 10
