@@ -6,6 +6,7 @@ Names of computed columns agree on both sides; floating-point results are rounde
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -13,8 +14,8 @@ from pyspark.sql import functions as F
 
 from ..functions.scalar import duration_hours, local_day_hours, weighted_mean
 from ..operators import completeness, intervals, lookups, measures, quality, reshape, revisions, windows
-from ..sinks import serving_projection
-from ..sources import documents
+from ..sinks import rebuild, serving_projection, write_by_month, write_merged
+from ..sources import documents, tables
 from . import star, views
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -358,6 +359,62 @@ def fallback_union(spark: SparkSession, sf_dir: str) -> DataFrame:
     return revisions.union_with_fallback(primary, rows.filter("event_id % 2 = 0"), ["user_id", "day"], ["user_id"], "day", expected, "event_id")
 
 
+_FLAGS = "SELECT l_orderkey, nullif(l_returnflag, 'N') AS flag, sum(l_quantity) AS quantity FROM lineitem WHERE l_linestatus = '{}' GROUP BY ALL"
+
+
+@query(f"WITH t AS ({_FLAGS.format('O')}), s AS ({_FLAGS.format('F')}) SELECT l_orderkey, flag, round(quantity, 2) AS quantity FROM (SELECT * FROM t WHERE NOT EXISTS (SELECT 1 FROM s WHERE s.l_orderkey = t.l_orderkey AND s.flag = t.flag) UNION ALL SELECT * FROM s)")
+def plain_key_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A merge by plain keys: null flags match nothing, so both sides' rows stay."""
+    flags = views.table(spark, sf_dir, "lineitem").withColumn("flag", F.nullif(F.col("l_returnflag"), F.lit("N")))
+    sums = {s: flags.filter(F.col("l_linestatus") == s).groupBy("l_orderkey", "flag").agg(F.sum("l_quantity").alias("quantity")) for s in "OF"}
+    return rounded(revisions.merge_keyed(sums["O"], sums["F"], ["l_orderkey", "flag"], null_safe=False), "quantity", digits=2)
+
+
+# --- Written and read again: new folders beside the tables of the warehouse ------------------
+
+
+def _new_folder(spark: SparkSession) -> str:
+    return f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_written/{uuid.uuid4().hex}"
+
+
+@query(f"WITH {_TARGET}, {_SOURCE} SELECT o_orderkey, round(o_totalprice, 2) AS o_totalprice, CAST(o_orderdate AS DATE) AS o_orderdate FROM (SELECT * FROM target t WHERE NOT EXISTS (SELECT 1 FROM source s WHERE s.o_orderkey = t.o_orderkey) UNION ALL SELECT * FROM source)")
+def merged_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first version of a table and the next one, merged with newer rows."""
+    target, source = _sides(spark, sf_dir)
+    first, second = _new_folder(spark), _new_folder(spark)
+    write_merged(spark, target, ["o_orderkey"], first)
+    write_merged(spark, source, ["o_orderkey"], second, first)
+    merged = tables.read_batch(spark, second, target.schema)
+    return rounded(merged, "o_totalprice", digits=2).withColumn("o_orderdate", F.to_date("o_orderdate"))
+
+
+@query("SELECT o_orderkey, round(o_totalprice, 2) AS o_totalprice, CAST(o_orderdate AS DATE) AS o_orderdate FROM orders")
+def month_layout(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders laid out by year and month, read again by a recursive scan as the owned schema."""
+    orders = views.table(spark, sf_dir, "orders").select("o_orderkey", "o_totalprice", F.to_date("o_orderdate").alias("o_orderdate"))
+    path = _new_folder(spark)
+    write_by_month(orders, path, "o_orderdate")
+    return rounded(tables.read_batch(spark, path, orders.schema, recursive=True), "o_totalprice", digits=2)
+
+
+@query("SELECT o_custkey, count(*) AS n_orders, round(sum(o_totalprice), 2) AS spent FROM orders GROUP BY o_custkey")
+def rebuilt_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A table of the catalog, rebuilt in full and read by its name."""
+    spent = views.table(spark, sf_dir, "orders").groupBy("o_custkey").agg(F.count(F.lit(1)).alias("n_orders"), F.round(F.sum(F.col("o_totalprice").cast("decimal(18,2)")), 2).cast("double").alias("spent"))
+    name = f"customer_orders_{uuid.uuid4().hex}"  # an older session's table may lie in the warehouse
+    rebuild(spent, name)
+    return tables.read_table(spark, name)
+
+
+@query("SELECT n_nationkey, n_name, n_regionkey FROM nation")
+def seed_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Nations written as CSV with a header and read as a seed."""
+    nations = views.table(spark, sf_dir, "nation").select("n_nationkey", "n_name", "n_regionkey")
+    path = _new_folder(spark)
+    nations.write.csv(path, header=True)
+    return tables.read_seed(spark, path, nations.schema)
+
+
 # --- Coverage and state ----------------------------------------------------------------------
 
 
