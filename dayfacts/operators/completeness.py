@@ -48,20 +48,45 @@ def fold_attempts(log: DataFrame, keys: list[str], order_col: str, status_col: s
     """The state that a log of attempts leads to: status and attempts of each key.
 
     An attempt on a key that is done keeps its count; others add one, and a failure that is the
-    third is stored as given_up. A ``reset`` entry makes the key failed with no attempts. A key's
-    log is one array: attempts on one month of one dataset are few.
+    third is stored as given_up. A ``reset`` entry makes the key failed with no attempts. Entries of
+    one time come in order of their status; entries without a time come first.
+
+    A long log is cut where the ranges of a repartition by key and order end. What a piece does
+    depends on little: whether the key was done before, and its attempts up to the last before
+    giving up. So each piece is folded from each of these states, or from its last reset if it has
+    one, and the pieces of a key, no more than there are partitions, are put together in order. No
+    key's whole log is gathered.
     """
-    entries = F.sort_array(F.collect_list(F.struct(F.col(order_col).alias("at"), F.col(status_col).alias("status"))))
-    start = F.struct(F.lit(None).cast("string").alias("status"), F.lit(0).alias("attempts"))
-
-    def step(state: Column, entry: Column) -> Column:
-        done = F.coalesce(state["status"].isin(*DONE), F.lit(False))
-        attempts = F.when(done, state["attempts"]).otherwise(state["attempts"] + 1)
-        spent = ~done & (entry["status"] == "failed") & (attempts >= GIVE_UP_AFTER)
-        status = F.when(spent, F.lit("given_up")).otherwise(entry["status"])
-        return F.when(entry["status"] == "reset", F.struct(F.lit("failed").alias("status"), F.lit(0).alias("attempts"))).otherwise(F.struct(status.alias("status"), attempts.alias("attempts")))
-
-    return log.groupBy(*keys).agg(F.aggregate(entries, start, step).alias("_s")).select(*keys, "_s.status", "_s.attempts")
+    cap = GIVE_UP_AFTER - 1
+
+    def done(status: Column) -> Column:
+        return F.coalesce(status.isin(*DONE), F.lit(False))
+
+    def state(status: Column, attempts: Column, anew: Column) -> Column:
+        return F.struct(status.alias("status"), attempts.alias("attempts"), anew.alias("anew"))
+
+    def step(before: Column, entry: Column) -> Column:
+        was_done = done(before["status"])
+        attempts = before["attempts"] + F.when(was_done, 0).otherwise(1)
+        spent = ~was_done & (entry["status"] == "failed") & (attempts >= GIVE_UP_AFTER)
+        return state(F.when(spent, F.lit("given_up")).otherwise(entry["status"]), attempts, before["anew"])
+
+    def join(before: Column, piece: Column) -> Column:
+        met = F.least(before["attempts"], F.lit(cap))
+        after = F.get(piece["ends"], met * 2 + done(before["status"]).cast("int"))
+        attempts = F.when(after["anew"], after["attempts"]).otherwise(before["attempts"] - met + after["attempts"])
+        return state(after["status"], attempts, F.lit(False))
+
+    nothing = F.lit(None).cast("string")
+    starts = [state(F.lit(DONE[0]) if was_done else nothing, F.lit(n), F.lit(False)) for n in range(cap + 1) for was_done in (False, True)]
+    entries = log.select(*keys, F.col(order_col).alias("_at"), F.col(status_col).alias("_status")).repartitionByRange(*keys, "_at", "_status")
+    pieces = entries.withColumn("_piece", F.spark_partition_id()).groupBy(*keys, "_piece").agg(F.sort_array(F.collect_list(F.struct(F.col("_at").alias("at"), F.col("_status").alias("status")))).alias("_log"))
+    since = F.array_position(F.reverse("_log.status"), "reset")  # entries from the last reset on
+    renewed = F.aggregate(F.slice("_log", F.size("_log") - since.cast("int") + 2, since.cast("int") - 1), state(F.lit("failed"), F.lit(0), F.lit(True)), step)
+    outcomes = F.when(since > 0, F.array_repeat(renewed, len(starts))).otherwise(F.array(*[F.aggregate("_log", s, step) for s in starts]))
+    ends = pieces.select(*keys, F.struct(F.col("_piece").alias("piece"), outcomes.alias("ends")).alias("_ends"))
+    whole = F.aggregate(F.array_sort(F.collect_list("_ends"), lambda x, y: x["piece"] - y["piece"]), state(nothing, F.lit(0), F.lit(False)), join)
+    return ends.groupBy(*keys).agg(whole.alias("_s")).select(*keys, "_s.status", "_s.attempts")
 
 
 def pending(state: DataFrame) -> DataFrame:

@@ -1,4 +1,5 @@
 import datetime as dt
+import random
 
 from pyspark.sql import functions as F
 
@@ -22,6 +23,28 @@ def test_three_failures_give_up_and_a_reset_clears(spark):
     assert fold(spark, "success", "success") == ("success", 1)
 
 
+def test_a_log_cut_in_pieces_folds_like_a_whole_one(spark):
+    rng, names = random.Random(3), ["failed", "failed", "failed", "success", "unavailable", "given_up", "reset", "running", None]
+    rows = [(rng.choice("aaaaaabc"), rng.randrange(400), rng.choice(names)) for _ in range(900)] + [("d", None, "failed"), ("d", 1, "success"), (None, 1, "failed")]
+    want = {}
+    for k, _, entry in sorted(rows, key=lambda r: (r[1] is not None, r[1] or 0, r[2] is not None, r[2] or "")):
+        status, attempts = want.get(k, (None, 0))
+        attempts += status not in C.DONE
+        spent = status not in C.DONE and entry == "failed" and attempts >= 3
+        want[k] = ("failed", 0) if entry == "reset" else ("given_up" if spent else entry, attempts)
+    log = spark.createDataFrame(rows, "k string, t int, s string").repartition(3)
+    usual = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        for shares in ("1", "8", "61"):
+            spark.conf.set("spark.sql.shuffle.partitions", shares)
+            assert {r[0]: tuple(r)[1:] for r in C.fold_attempts(log, ["k"], "t", "s").collect()} == want
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", usual)
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert C.fold_attempts(log.limit(0), ["k"], "t", "s").count() == 0
+
+
 def test_coverage_status(spark):
     rows = spark.createDataFrame([(31, 31, False), (5, 31, True), (0, 31, True), (0, 31, False), (0, 31, None)], "c int, e int, n boolean")
     got = [r[0] for r in rows.select(C.coverage_status(F.col("c"), F.col("e"), F.col("n"))).collect()]
