@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import licenses, line_dedup, media, minhash, mixing, packing, quality, token_counts, toxicity, url_filter
+from . import fingerprints, licenses, line_dedup, media, minhash, mixing, packing, quality, search, spelling, token_counts, toxicity, url_filter
 from .common import UPPER, WORD, read, text_key
 
 #: The contract's rules: verdict, host, path.
@@ -69,6 +69,18 @@ def op10_media(spark: SparkSession, sf_dir: str) -> DataFrame:
     return media.media_digests(media.document_media(read(spark, sf_dir, "documents")))
 
 
+def op11_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return search.ranked(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+
+
+def op12_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(spelling.word_counts(read(spark, sf_dir, "documents"), written=spelling.with_lost_letters))
+
+
+def op13_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.edited_fingerprints(read(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_toxicity": op1_toxicity,
     "op2_token_counts": op2_token_counts,
@@ -80,6 +92,9 @@ QUERIES = {
     "op8_line_dedup": op8_line_dedup,
     "op9_mixing": op9_mixing,
     "op10_media": op10_media,
+    "op11_search": op11_search,
+    "op12_spelling": op12_spelling,
+    "op13_fingerprints": op13_fingerprints,
 }
 
 _OP7 = f"""
@@ -126,8 +141,30 @@ SELECT doc_id, coalesce(n, 0) AS n_shingles, component_id, doc_id = component_id
 FROM (SELECT node AS doc_id, min(root) AS component_id FROM r GROUP BY node) LEFT JOIN n USING (doc_id)
 """
 
+#: Every item's scores over all documents that hold one of its terms.
+_OP11 = f"""
+WITH t AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), '{UPPER}', '{UPPER.lower()}'), '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+') AS ts FROM documents
+), q AS (
+  SELECT item_id, unnest(regexp_extract_all(translate(coalesce(text, ''), '{UPPER}', '{UPPER.lower()}'), '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+')) AS term FROM benchmark
+), stats AS (
+  SELECT count(*) FILTER (len(ts) > 0) AS big_n, CAST(sum(len(ts)) AS BIGINT) AS big_l FROM t
+), d AS (
+  SELECT doc_id, 100 - 25 + (25 * len(ts) * big_n) // big_l AS m, ts FROM t, stats WHERE len(ts) > 0
+), p AS (
+  SELECT doc_id, m, term, count(*) AS tf FROM (SELECT doc_id, m, unnest(ts) AS term FROM d) WHERE term IN (SELECT term FROM q) GROUP BY doc_id, m, term
+), w AS (
+  SELECT term, CAST(floor(1000 * ln((2 * any_value(big_n) + 2) / (2 * count(*) + 1))) AS BIGINT) AS w FROM p, stats GROUP BY term
+), s AS (
+  SELECT item_id, doc_id, CAST(sum(w * ((1000000000 * tf) // (1000 * tf + 12 * m))) AS BIGINT) AS score FROM q JOIN p USING (term) JOIN w USING (term) GROUP BY item_id, doc_id
+)
+SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, score
+FROM (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS rank FROM s WHERE score > 0) WHERE rank <= 20
+"""
+
 ORACLE: dict[str, str] = {
     "op3_minhash": _OP3,
     "op5_licenses": licenses.oracle(),
     "op7_url_filter": _OP7,
+    "op11_search": _OP11,
 }
