@@ -30,3 +30,8 @@ def awkward(spark):
 @pytest.fixture(scope="session")
 def small(spark):
     return {f.removesuffix(".parquet"): spark.read.parquet(f"{SMALL}/{f}") for f in os.listdir(SMALL)}
+
+
+@pytest.fixture(scope="session")
+def sf_dir():
+    return SMALL
