@@ -132,12 +132,18 @@ def overlaps(df: DataFrame, keys: list[str], start_col: str, end_col: str) -> Da
     return df.withColumn("_ended", F.max(end_col).over(earlier)).filter(F.col(start_col) < F.col("_ended")).drop("_ended")
 
 
-def batches_to_load(listed: DataFrame, state: DataFrame, batch_col: str = "batch") -> DataFrame:
-    """Batches whose map of file names to sizes differs from the loaded one. ``listed`` and
-    ``state`` are batch, path, length."""
+def file_prints(listed: DataFrame, batch_col: str = "batch") -> DataFrame:
+    """batch, n_files, total and mixed: a fingerprint of each batch's files (path, length) that does
+    not depend on their order. Partial sums are combined before they are shuffled; no list is
+    gathered. Repeated files count once."""
+    h = F.xxhash64("path", "length")
+    files = listed.select(batch_col, "path", "length").distinct()
+    return files.groupBy(batch_col).agg(F.count(F.lit(1)).alias("n_files"), F.sum(h.cast("decimal(38,0)")).alias("total"), F.bit_xor(h).alias("mixed"))
 
-    def prints(df: DataFrame) -> DataFrame:
-        return df.groupBy(batch_col).agg(F.sort_array(F.collect_set(F.struct("path", "length"))).alias("files"))
 
-    now, then = prints(listed), prints(state)
-    return now.join(then, [batch_col, "files"], "left_anti").select(batch_col)
+def batches_to_load(listed: DataFrame, state: DataFrame, batch_col: str = "batch") -> DataFrame:
+    """Batches whose files differ from those that were loaded. ``listed`` is batch, path, length,
+    ``state`` the same, or what ``file_prints`` gave and was stored."""
+    now = file_prints(listed, batch_col)
+    then = state if "mixed" in state.columns else file_prints(state, batch_col)
+    return now.join(then, now.columns, "left_anti").select(batch_col)

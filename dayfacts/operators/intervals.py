@@ -1,7 +1,8 @@
 """From irregular intervals to daily facts on local dates.
 
 The rollups aggregate by resolution first, on the map side as well, and choose a day's
-resolution among the few aggregated rows; raw rows are shuffled once, for the dedupe.
+resolution among the few aggregated rows; raw rows are shuffled once, for the dedupe and for
+clipping readings that overlap.
 """
 
 from __future__ import annotations
@@ -49,17 +50,61 @@ def with_completeness(df: DataFrame, zones: DataFrame, *, covered_col: str = "co
     return known.withColumn("completeness_status", F.when(F.col(covered_col) >= full, "complete").otherwise("partial")).drop("timezone")
 
 
+def current_readings(obs: DataFrame, zones: DataFrame, series: list[str], order_col: str, keep: Column) -> DataFrame:
+    """The latest revision of each reading of a series that meets ``keep``, with local_date,
+    interval_hours and covered_hours: the hours of it that no earlier reading of the series, in
+    the same resolution, has covered. Readings that have none left are dropped, so no moment
+    counts twice.
+
+    A reading that runs into the next local day is also seen there, as it may cover the beginning
+    of that day's first. Rows are shuffled once, by country, resolution and day.
+    """
+    hours = F.col("interval_hours")
+    ends = F.unix_micros("slot") + (hours * 3_600_000_000).cast("long")
+    timed = with_local_date(obs, zones).withColumn("interval_hours", duration_hours(F.col("source_resolution")))
+    last = local_date(F.timestamp_micros(ends - 1), F.col("timezone"))
+    seen = timed.withColumn("_day", F.explode(F.sequence("local_date", F.coalesce(last, "local_date")))).repartition("country_code", "source_resolution", "_day")
+    current = latest_per_key(seen, ["country_code", "slot", "source_resolution", *series, "_day"], order_col).filter(keep)
+    earlier = W.partitionBy("country_code", "source_resolution", *series, "_day").orderBy("slot").rowsBetween(W.unboundedPreceding, -1)
+    begins = F.greatest(F.unix_micros("slot"), F.coalesce("_ended", F.unix_micros("slot")))
+    left = current.withColumn("_ended", F.max(ends).over(earlier)).withColumn("covered_hours", F.greatest(F.lit(0.0), F.least(hours, (ends - begins) / 3_600_000_000)))
+    return left.filter("_day = local_date and covered_hours > 0").drop("_day", "_ended")
+
+
 def _daily(obs: DataFrame, zones: DataFrame, order_col: str, keep: Column, *aggregates: Column) -> DataFrame:
-    current = latest_per_key(obs, ["country_code", "slot", "source_resolution"], order_col).filter(keep)
-    timed = with_local_date(current, zones).withColumn("interval_hours", duration_hours(F.col("source_resolution")))
-    sums = timed.groupBy("country_code", "local_date", "interval_hours").agg(
+    sums = current_readings(obs, zones, [], order_col, keep).groupBy("country_code", "local_date", "interval_hours").agg(
         *aggregates,
         F.count(F.lit(1)).alias("source_interval_count"),
-        F.sum("interval_hours").alias("covered_duration_hours"),
+        F.sum("covered_hours").alias("covered_duration_hours"),
     )
     return with_completeness(_choose_resolution(sums, ["country_code", "local_date"]), zones)
 
 
+def local_day_gaps(readings: DataFrame, days: DataFrame, keys: list[str], start_col: str, hours_col: str) -> DataFrame:
+    """keys, local_date, gap_start, gap_end, gap_hours: what the readings leave open of each expected
+    local day (23, 24 or 25 hours), gaps before the first and after the last reading included.
+
+    ``readings`` is keys, start (an instant), hours; ``days`` keys, local_date, timezone, one zone
+    for a key. Readings of any mixture of lengths count once where they overlap; those without a
+    start, or not longer than 0, are nothing. A day without readings is one gap. One sort of the
+    readings by key and day; no spine of slots is built.
+    """
+    midnight = lambda day: F.unix_micros(F.to_utc_timestamp(day.cast("timestamp"), F.col("timezone")))
+    zone = days.select(*keys, "timezone").distinct()
+    begins = F.unix_micros(start_col)
+    spans = readings.filter(F.col(start_col).isNotNull() & (F.col(hours_col) > 0)).select(*keys, begins.alias("_s"), (begins + (F.col(hours_col) * 3_600_000_000).cast("long")).alias("_e"))
+    at = lambda micros: local_date(F.timestamp_micros(micros), F.col("timezone"))
+    spread = spans.join(zone, keys).withColumn("local_date", F.explode(F.sequence(at(F.col("_s")), at(F.col("_e") - 1)))).select(*keys, "local_date", "timezone", "_s", "_e", F.lit(False).alias("_end"))
+    ends = days.select(*keys, "local_date", "timezone").distinct().withColumn("_s", midnight(F.date_add("local_date", 1))).select("*", F.col("_s").alias("_e"), F.lit(True).alias("_end"))
+    group = W.partitionBy(*keys, "local_date")
+    earlier = group.orderBy("_s", "_end", "_e").rowsBetween(W.unboundedPreceding, -1)
+    marked = spread.unionByName(ends).withColumns({"_before": F.max("_e").over(earlier), "_wanted": F.max("_end").over(group)}).filter("_wanted")
+    first, last = midnight(F.col("local_date")), midnight(F.date_add("local_date", 1))
+    open_from, open_to = F.greatest(first, F.coalesce("_before", first)), F.least("_s", last)
+    found = marked.select(*keys, "local_date", open_from.alias("_f"), open_to.alias("_t")).filter("_t > _f")
+    return found.select(*keys, "local_date", F.timestamp_micros("_f").alias("gap_start"), F.timestamp_micros("_t").alias("gap_end"), ((F.col("_t") - F.col("_f")) / 3_600_000_000).alias("gap_hours"))
+
+
 def daily_demand(obs: DataFrame, zones: DataFrame, *, order_col: str = "event_id") -> DataFrame:
     """Daily energy of a load series: country_code, local_date, daily_demand_mwh, interval count,
     covered hours, completeness_status.
@@ -68,23 +113,22 @@ def daily_demand(obs: DataFrame, zones: DataFrame, *, order_col: str = "event_id
     Negative and null readings are dropped after the latest revision is chosen; a day without
     readings has no row; a partial day keeps its diagnostic value.
     """
-    energy = F.sum(energy_mwh(F.col("value"), F.col("interval_hours"))).alias("daily_demand_mwh")
+    energy = F.sum(energy_mwh(F.col("value"), F.col("covered_hours"))).alias("daily_demand_mwh")
     return _daily(obs, zones, order_col, F.col("value") >= 0, energy)
 
 
 def daily_price(obs: DataFrame, zones: DataFrame, *, order_col: str = "event_id") -> DataFrame:
     """Daily price statistics, the mean weighted by duration. Negative prices are valid."""
-    v, h = F.col("value"), F.col("interval_hours")
+    v, h = F.col("value"), F.col("covered_hours")
     mean = (F.sum(v * h) / F.nullif(F.sum(h), F.lit(0.0))).alias("avg_day_ahead_price_eur_mwh")
     return _daily(obs, zones, order_col, v.isNotNull(), mean, F.min("value").alias("min_day_ahead_price_eur_mwh"), F.max("value").alias("max_day_ahead_price_eur_mwh"))
 
 
 def generation_series(obs: DataFrame, zones: DataFrame, *, order_col: str = "event_id") -> DataFrame:
     """Current, non-negative production rows with local date, hours and category. Consumption is
-    left out; rows without a business type stay."""
-    current = latest_per_key(obs, ["country_code", "slot", "source_resolution", "production_type_raw", "business_type"], order_col)
-    kept = current.filter(~F.col("business_type").eqNullSafe(CONSUMPTION) & (F.col("value") >= 0))
-    timed = with_local_date(kept, zones).withColumn("interval_hours", duration_hours(F.col("source_resolution")))
+    left out; rows without a business type stay. No moment of a series counts twice."""
+    kept = ~F.col("business_type").eqNullSafe(CONSUMPTION) & (F.col("value") >= 0)
+    timed = current_readings(obs, zones, ["production_type_raw", "business_type"], order_col, kept)
     return with_production_type(timed)
 
 
@@ -100,8 +144,8 @@ def generation_mix(obs: DataFrame, zones: DataFrame, *, order_col: str = "event_
     day = ["country_code", "local_date", "normalized_production_type"]
     by_code = series.groupBy(*day, "interval_hours", "production_type_raw", *[c for c in series_cols or [] if c != "production_type_raw"]).agg(
         F.min("renewable_flag").alias("_flag"),
-        F.sum(energy_mwh(F.col("value"), F.col("interval_hours"))).alias("_mwh"),
-        F.sum("interval_hours").alias("_hours"),
+        F.sum(energy_mwh(F.col("value"), F.col("covered_hours"))).alias("_mwh"),
+        F.sum("covered_hours").alias("_hours"),
     )
     sums = with_preferred_resolution(by_code).groupBy(*day).agg(
         F.min_by("_flag", F.coalesce("production_type_raw", F.lit(""))).alias("renewable_flag"),

@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .revisions import duplicate_keys, same_keys
+from .revisions import duplicate_keys, join_keyed
 
 
 def null_violations(df: DataFrame, columns: list[str]) -> DataFrame:
@@ -56,21 +56,30 @@ def shares_off_total(df: DataFrame, keys: list[str], share_col: str, total: floa
     return df.groupBy(*keys).agg(F.sum(share_col).alias("share_total")).filter(F.abs(F.col("share_total") - total) > tolerance)
 
 
+def judged(df: DataFrame, rules: dict[str, tuple[Column, str]]) -> DataFrame:
+    """The rows with ``failed_rules``, the rules that they fail, as (rule, reason). ``rules`` maps a name
+    to the condition that a good row meets (null: not met) and the reason for its rejection."""
+    checks = [F.when(~F.coalesce(good, F.lit(False)), F.struct(F.lit(name).alias("rule"), F.lit(reason).alias("reason"))) for name, (good, reason) in rules.items()]
+    return df.withColumn("failed_rules", F.array_compact(F.array(*checks)))
+
+
+def rejections(marked: DataFrame, *, source_system: Column, country: Column, dataset: Column, processing_date: Column, record_id: Column, ingested_at: Column) -> DataFrame:
+    """A row for each rule that a row of ``judged`` fails, with what is needed to find it again."""
+    found = {"source_system": source_system, "country": country, "dataset": dataset, "processing_date": processing_date, "record_id": record_id, "ingested_at": ingested_at}
+    return marked.select(*[c.alias(n) for n, c in found.items()], F.explode("failed_rules").alias("_f")).select(*found, "_f.rule", "_f.reason")
+
+
 def quarantine(df: DataFrame, rules: dict[str, tuple[Column, str]]) -> tuple[DataFrame, DataFrame]:
-    """(good rows, rejected rows with rule and reason). ``rules`` maps a name to the condition
-    that a good row meets (null: not met) and the reason for its rejection; the first rule that
-    fails is named."""
-    failed = F.when(F.lit(False), F.lit(None).cast("struct<rule:string,reason:string>"))
-    for name, (good, reason) in rules.items():
-        failed = failed.when(~F.coalesce(good, F.lit(False)), F.struct(F.lit(name).alias("rule"), F.lit(reason).alias("reason")))
-    marked = df.withColumn("_failed", failed)
-    return marked.filter("_failed is null").drop("_failed"), marked.filter("_failed is not null").select(*df.columns, "_failed.rule", "_failed.reason")
+    """(good rows, rejected rows with the first rule that fails and its reason). For every rule that
+    fails see ``rejections``, to write both sides in one pass ``sinks.write_by_outcome``."""
+    marked = judged(df, rules)
+    first = F.get("failed_rules", F.lit(0))
+    return marked.filter("size(failed_rules) = 0").drop("failed_rules"), marked.filter("size(failed_rules) > 0").select(*df.columns, first["rule"].alias("rule"), first["reason"].alias("reason"))
 
 
 def unknown_units(df: DataFrame, allowed: DataFrame, keys: list[str]) -> DataFrame:
     """Rows whose (keys, unit) is not on the allow list; nulls are not on any list."""
-    allowed = allowed.select(*keys)
-    return df.join(allowed, same_keys(df, allowed, keys, null_safe=False), "left_anti")
+    return join_keyed(df, allowed, keys, "left_anti", null_safe=False)
 
 
 def implausible(df: DataFrame, bounds: DataFrame, variable_col: str, value_col: str) -> DataFrame:

@@ -14,7 +14,8 @@ from pyspark.sql import functions as F
 
 from ..functions.scalar import duration_hours, local_day_hours, weighted_mean
 from ..operators import completeness, intervals, lookups, measures, quality, reshape, revisions, windows
-from ..sinks import rebuild, serving_projection, write_by_month, write_merged
+from .. import versions
+from ..sinks import merge_months, rebuild, serving_projection, write_by_month, write_by_outcome, write_merged
 from ..sources import documents, tables
 from . import star, views
 
@@ -295,20 +296,21 @@ def duplicate_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     return revisions.duplicate_keys(views.revisions(spark, sf_dir), LINE_KEYS)
 
 
-_NULLED = "SELECT l_orderkey, l_linenumber, nullif(l_returnflag, 'N') AS flag, l_linestatus FROM lineitem"
+#: Some flags are null and some empty: as keys, one value.
+_NULLED = "SELECT l_orderkey, l_linenumber, CASE WHEN l_returnflag = 'N' AND l_linestatus = 'O' THEN NULL WHEN l_returnflag = 'N' THEN '' ELSE l_returnflag END AS flag, l_linestatus FROM lineitem"
 
 
 def _nulled(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return views.revisions(spark, sf_dir).select("l_orderkey", "l_linenumber", F.nullif(F.col("l_returnflag"), F.lit("N")).alias("flag"), "l_linestatus")
+    return views.revisions(spark, sf_dir).select("l_orderkey", "l_linenumber", F.when(F.col("l_returnflag") != "N", F.col("l_returnflag")).when(F.col("l_linestatus") != "O", "").alias("flag"), "l_linestatus")
 
 
-@query(f"WITH s AS ({_NULLED}) SELECT * FROM s WHERE NOT EXISTS (SELECT 1 FROM s l WHERE l.l_linestatus = 'O' AND l.l_orderkey = s.l_orderkey AND l.l_linenumber = s.l_linenumber AND l.flag IS NOT DISTINCT FROM s.flag)")
+@query(f"WITH s AS ({_NULLED}) SELECT * FROM s WHERE NOT EXISTS (SELECT 1 FROM s l WHERE l.l_linestatus = 'O' AND l.l_orderkey = s.l_orderkey AND l.l_linenumber = s.l_linenumber AND coalesce(l.flag, '') = coalesce(s.flag, ''))")
 def null_safe_missing_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     staged = _nulled(spark, sf_dir)
     return revisions.missing_keys(staged, staged.filter("l_linestatus = 'O'").alias("loaded").select("*"), ["l_orderkey", "l_linenumber", "flag"])
 
 
-@query(f"WITH s AS ({_NULLED}), l AS (SELECT DISTINCT l_orderkey, flag FROM s WHERE l_linestatus = 'O') SELECT l_linestatus, count(*) AS staged_rows, count(*) FILTER (NOT EXISTS (SELECT 1 FROM l WHERE l.l_orderkey = s.l_orderkey AND l.flag IS NOT DISTINCT FROM s.flag)) AS missing_rows FROM s GROUP BY l_linestatus")
+@query(f"WITH s AS ({_NULLED}), l AS (SELECT DISTINCT l_orderkey, flag FROM s WHERE l_linestatus = 'O') SELECT l_linestatus, count(*) AS staged_rows, count(*) FILTER (NOT EXISTS (SELECT 1 FROM l WHERE l.l_orderkey = s.l_orderkey AND coalesce(l.flag, '') = coalesce(s.flag, ''))) AS missing_rows FROM s GROUP BY l_linestatus")
 def missing_by_source(spark: SparkSession, sf_dir: str) -> DataFrame:
     staged = _nulled(spark, sf_dir)
     return revisions.missing_by_source(staged, staged.filter("l_linestatus = 'O'"), ["l_orderkey", "flag"], "l_linestatus")
@@ -344,7 +346,7 @@ def window_reconcile(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(out, "o_totalprice", digits=2).withColumn("o_orderdate", F.to_date("o_orderdate"))
 
 
-_TWO = "p AS (SELECT user_id, CAST(ts AS DATE) AS day, event_id, value FROM events WHERE event_id % 2 = 1 AND day(ts) % 2 = 0), a AS (SELECT user_id, CAST(ts AS DATE) AS day, event_id, value FROM events WHERE event_id % 2 = 0)"
+_TWO = "p AS (SELECT user_id, CAST(ts AS DATE) AS day, event_id, value FROM events WHERE event_id % 2 = 1 AND day(ts) % 2 = 0), a AS (SELECT user_id, CAST(ts AS DATE) AS day, event_id, value FROM events WHERE NOT (event_id % 2 = 1 AND day(ts) % 2 = 0))"
 
 
 @query(
@@ -353,10 +355,26 @@ _TWO = "p AS (SELECT user_id, CAST(ts AS DATE) AS day, event_id, value FROM even
     SELECT user_id, day, event_id, value FROM u QUALIFY row_number() OVER (PARTITION BY user_id, day ORDER BY side DESC, event_id DESC) = 1"""
 )
 def fallback_union(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _fallback(spark, sf_dir, 15)[0]
+
+
+def _fallback(spark: SparkSession, sf_dir: str, days: int) -> tuple[DataFrame, DataFrame]:
+    """Events of odd ids on even days come from the primary source, all others from the alternative."""
     rows = views.table(spark, sf_dir, "events").select("user_id", F.to_date("ts").alias("day"), "event_id", "value")
-    primary = rows.filter((F.col("event_id") % 2 == 1) & (F.day("day") % 2 == 0))
-    expected = rows.select("user_id").distinct().withColumn("expected", F.lit(15))
-    return revisions.union_with_fallback(primary, rows.filter("event_id % 2 = 0"), ["user_id", "day"], ["user_id"], "day", expected, "event_id")
+    primary = (F.col("event_id") % 2 == 1) & (F.day("day") % 2 == 0)
+    expected = rows.select("user_id").distinct().withColumn("expected", F.lit(days))
+    return revisions.resolve_fallback(rows.filter(primary), rows.filter(~primary), ["user_id", "day"], ["user_id"], "day", expected, "event_id")
+
+
+@query(
+    f"""WITH {_TWO}, e AS (SELECT DISTINCT user_id FROM events), c AS (SELECT user_id, coalesce(n, 0) AS primary_days FROM e LEFT JOIN (SELECT user_id, count(DISTINCT day) AS n FROM p GROUP BY user_id) USING (user_id)),
+    d AS (SELECT user_id, count(DISTINCT day) AS n, count(DISTINCT day) > count(DISTINCT CASE WHEN side = 1 THEN day END) AS other FROM (SELECT user_id, day, 1 AS side FROM p UNION ALL SELECT user_id, day, 0 FROM a) GROUP BY user_id),
+    f AS (SELECT user_id, primary_days, CASE WHEN primary_days < 18 THEN coalesce(n, 0) ELSE primary_days END AS days, primary_days < 18 AND coalesce(other, FALSE) AS other FROM c LEFT JOIN d USING (user_id))
+    SELECT user_id, CASE WHEN days >= 18 THEN 'success' WHEN days = 0 THEN 'unavailable' ELSE 'failed' END AS status, CASE WHEN other AND primary_days > 0 THEN 'both' WHEN other THEN 'alternative' WHEN primary_days > 0 THEN 'primary' ELSE 'none' END AS served_by, CAST(18 AS INT) AS expected, primary_days, days FROM f"""
+)
+def fallback_outcomes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each user's coverage of 18 days, judged again once the alternative has been asked."""
+    return _fallback(spark, sf_dir, 18)[1]
 
 
 _FLAGS = "SELECT l_orderkey, nullif(l_returnflag, 'N') AS flag, sum(l_quantity) AS quantity FROM lineitem WHERE l_linestatus = '{}' GROUP BY ALL"
@@ -397,6 +415,66 @@ def month_layout(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(tables.read_batch(spark, path, orders.schema, recursive=True), "o_totalprice", digits=2)
 
 
+_ORDER_KEYS = ["o_orderkey", "o_orderdate", "flag"]
+_FLAGGED = "SELECT o_orderkey, round(o_totalprice + {}, 2) AS o_totalprice, CAST(o_orderdate AS DATE) AS o_orderdate, CASE WHEN o_orderstatus = 'F' THEN {} ELSE o_orderstatus END AS flag FROM orders"
+_MERGED_MONTHS = f"""WITH target AS ({_FLAGGED.format(0, "NULL")}), source AS ({_FLAGGED.format(1, "''")} WHERE o_orderdate BETWEEN TIMESTAMP '1995-03-10' AND TIMESTAMP '1995-06-20')
+SELECT * FROM target t WHERE NOT EXISTS (SELECT 1 FROM source s WHERE s.o_orderkey = t.o_orderkey AND s.o_orderdate = t.o_orderdate AND coalesce(s.flag, '') = coalesce(t.flag, '')) UNION ALL SELECT * FROM source"""
+
+
+def _flagged(spark: SparkSession, sf_dir: str, more: int, missing: str | None) -> DataFrame:
+    flag = F.when(F.col("o_orderstatus") == "F", F.lit(missing).cast("string")).otherwise(F.col("o_orderstatus"))
+    return views.table(spark, sf_dir, "orders").select("o_orderkey", F.round(F.col("o_totalprice") + more, 2).alias("o_totalprice"), F.to_date("o_orderdate").alias("o_orderdate"), flag.alias("flag"))
+
+
+@query(_MERGED_MONTHS)
+def merged_months(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A window of changed orders merged into a layout by month; only its months are rewritten. The
+    old rows' flags are null where the new ones' are empty: one key."""
+    target, path = _flagged(spark, sf_dir, 0, None), _new_folder(spark)
+    write_by_month(target, path, "o_orderdate")
+    merge_months(_flagged(spark, sf_dir, 1, "").filter("o_orderdate between date'1995-03-10' and date'1995-06-20'"), path, _ORDER_KEYS, "o_orderdate")
+    return tables.read_batch(spark, path, target.schema, recursive=True)
+
+
+@query(
+    """SELECT o_orderkey, round(o_totalprice, 2) AS o_totalprice, CAST(o_orderdate AS DATE) AS o_orderdate FROM orders WHERE o_orderdate < TIMESTAMP '1997-12-15'
+    UNION ALL SELECT o_orderkey, round(o_totalprice + 1, 2), CAST(o_orderdate AS DATE) FROM orders WHERE o_orderdate >= TIMESTAMP '1997-12-15' AND o_orderdate < TIMESTAMP '1998-07-01' AND o_orderpriority <> '5-LOW'"""
+)
+def window_version(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A stored window replaced: orders of low priority have vanished upstream."""
+    orders = views.table(spark, sf_dir, "orders").select("o_orderkey", "o_totalprice", F.to_date("o_orderdate").alias("o_orderdate"), "o_orderpriority")
+    source = orders.filter("o_orderdate >= date'1997-12-02' and o_orderpriority <> '5-LOW'").withColumn("o_totalprice", F.col("o_totalprice") + 1).drop("o_orderpriority")
+    target, folder = orders.filter("o_orderdate < date'1998-01-01'").drop("o_orderpriority"), _new_folder(spark)
+    log = f"{folder}/versions"
+    versions.put_months(spark, log, f"{folder}/data", "orders", target, "o_orderdate", None)
+    versions.replace_window(spark, log, f"{folder}/data", "orders", source, "o_orderdate", dt.date(1997, 12, 15), dt.date(1998, 6, 30))
+    return rounded(versions.read_version(spark, log, "orders", target.schema), "o_totalprice", digits=2)
+
+
+@query(f"WITH {_TARGET}, {_SOURCE} SELECT 'orders' AS table_name, 'published' AS status, count(*) AS source_rows, count(*) FILTER (o_orderdate < TIMESTAMP '1998-01-01') AS replaced_rows, count(*) FILTER (o_orderdate >= TIMESTAMP '1998-01-01') AS inserted_rows, CAST(NULL AS VARCHAR) AS error FROM source UNION ALL SELECT 'repeated_orders', 'failed', NULL, NULL, NULL, 'ValueError'")
+def publish_outcomes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What became of each published table: rows replaced and inserted, or the kind of failure."""
+    target, source = _sides(spark, sf_dir)
+    folder, keys = _new_folder(spark), ["o_orderkey", "o_orderdate"]
+    log, data = f"{folder}/versions", f"{folder}/data"
+    versions.publish_versions(spark, log, data, {"orders": (target, keys, "o_orderdate")})
+    return versions.publish_versions(spark, log, data, {"repeated_orders": (source.unionByName(source), keys, "o_orderdate"), "orders": (source, keys, "o_orderdate")})
+
+
+@query("SELECT CAST(year(o_orderdate) AS INT) AS batch FROM orders GROUP BY ALL ORDER BY count(*) DESC, batch LIMIT 1")
+def changed_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders written as a batch of files a year, the state of their files stored, and the largest
+    year written again: only that one is to be loaded."""
+    orders = views.table(spark, sf_dir, "orders").withColumn("batch", F.year("o_orderdate"))
+    path = _new_folder(spark)
+    lists = lambda: tables.listed_files(spark, f"{path}/data", "*.parquet").withColumn("batch", F.regexp_extract("path", r"batch=(\d+)/", 1).cast("int"))
+    orders.write.partitionBy("batch").parquet(f"{path}/data")
+    completeness.file_prints(lists()).write.parquet(f"{path}/state")
+    largest = orders.groupBy("batch").count().orderBy(F.desc("count"), "batch").limit(1).select("batch")
+    orders.join(F.broadcast(largest), "batch", "left_semi").write.mode("append").partitionBy("batch").parquet(f"{path}/data")
+    return completeness.batches_to_load(lists(), spark.read.parquet(f"{path}/state"))
+
+
 @query("SELECT o_custkey, count(*) AS n_orders, round(sum(o_totalprice), 2) AS spent FROM orders GROUP BY o_custkey")
 def rebuilt_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A table of the catalog, rebuilt in full and read by its name."""
@@ -516,6 +594,49 @@ def overlapping_intervals(spark: SparkSession, sf_dir: str) -> DataFrame:
     return completeness.overlaps(rows, ["user_id"], "begins", "ends").select("user_id", "event_id")
 
 
+_OVERLAPPING = _OBS.replace("time_bucket(to_minutes(minutes), ts) AS slot", "time_bucket(INTERVAL 15 MINUTES, ts) AS slot")
+
+
+@query(
+    f"""WITH {_OVERLAPPING}, valid AS (
+      SELECT *, coalesce(max(slot + to_minutes(minutes)) OVER (PARTITION BY country_code, source_resolution ORDER BY slot ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), slot) AS before FROM local WHERE value >= 0),
+    clipped AS (SELECT *, greatest(0, least(hours, (epoch(slot + to_minutes(minutes)) - epoch(greatest(slot, before))) / 3600.0)) AS own FROM valid),
+    best AS (SELECT * FROM clipped WHERE own > 0 QUALIFY hours = CASE WHEN max(CAST(hours = 1 AS INT)) OVER (PARTITION BY country_code, local_date) = 1 THEN 1 ELSE min(hours) OVER (PARTITION BY country_code, local_date) END)
+    SELECT country_code, local_date, round(energy, 4) AS daily_demand_mwh, n AS source_interval_count, round(covered, 4) AS covered_duration_hours, {_STATUS} AS completeness_status
+    FROM (SELECT country_code, local_date, sum(value * own) AS energy, count(*) AS n, sum(own) AS covered FROM best GROUP BY ALL) d JOIN zones z USING (country_code)"""
+)
+def demand_of_overlaps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Daily demand of readings that begin every quarter of an hour, whatever their length: what an
+    earlier reading has covered does not count again."""
+    obs = views.obs_load(spark, sf_dir, slot_seconds=900)
+    return rounded(intervals.daily_demand(obs, views.zones(spark)), "daily_demand_mwh", "covered_duration_hours")
+
+
+_GAP_DAYS = (dt.date(2024, 3, 12), dt.date(2024, 4, 18))
+_UTC_MIDNIGHT = "timezone('UTC', timezone(timezone, CAST({} AS TIMESTAMP)))"
+
+
+@query(
+    f"""WITH {_ZONES}, users AS (SELECT DISTINCT user_id, timezone FROM events JOIN zones ON country_code = 'C' || CAST(user_id % 3 AS VARCHAR)),
+    r AS (SELECT user_id, timezone, time_bucket(INTERVAL 15 MINUTES, ts) + INTERVAL 75 DAYS AS s, CASE WHEN user_id % 3 = 2 AND user_id % 2 = 0 THEN 15 WHEN user_id % 3 = 2 OR user_id % 7 = 0 THEN 30 ELSE 60 END AS minutes FROM events JOIN users USING (user_id)),
+    t AS (SELECT *, s + to_minutes(minutes) AS e FROM r),
+    spread AS (SELECT user_id, timezone, CAST(unnest(generate_series(CAST(timezone(timezone, timezone('UTC', s)) AS DATE), CAST(timezone(timezone, timezone('UTC', e - INTERVAL 1 MICROSECOND)) AS DATE), INTERVAL 1 DAY)) AS DATE) AS local_date, s, e, FALSE AS at_end FROM t),
+    days AS (SELECT user_id, timezone, CAST(d AS DATE) AS local_date FROM users, generate_series(DATE '{_GAP_DAYS[0]}', DATE '{_GAP_DAYS[1]}', INTERVAL 1 DAY) AS g(d)),
+    every AS (SELECT * FROM spread UNION ALL SELECT user_id, timezone, local_date, {_UTC_MIDNIGHT.format("local_date + 1")}, {_UTC_MIDNIGHT.format("local_date + 1")}, TRUE FROM days),
+    m AS (SELECT *, max(e) OVER (PARTITION BY user_id, local_date ORDER BY s, at_end, e ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS before, {_UTC_MIDNIGHT.format("local_date")} AS first, {_UTC_MIDNIGHT.format("local_date + 1")} AS last FROM every),
+    g AS (SELECT user_id, local_date, greatest(first, coalesce(before, first)) AS gap_start, least(s, last) AS gap_end FROM m WHERE local_date BETWEEN DATE '{_GAP_DAYS[0]}' AND DATE '{_GAP_DAYS[1]}')
+    SELECT user_id, local_date, gap_start, gap_end, round((epoch(gap_end) - epoch(gap_start)) / 3600.0, 4) AS gap_hours FROM g WHERE gap_end > gap_start"""
+)
+def local_day_gaps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What each user's readings, of three lengths and moved to the spring, leave open of the local
+    days of five weeks with a day of 23 hours."""
+    obs = views.obs_load(spark, sf_dir, slot_seconds=900, columns=["user_id"]).join(F.broadcast(views.zones(spark)), "country_code")
+    readings = obs.select("user_id", (F.col("slot") + F.expr("interval 75 days")).alias("slot"), duration_hours(F.col("source_resolution")).alias("hours"))
+    days = obs.select("user_id", "timezone").distinct().withColumn("local_date", F.explode(F.sequence(F.lit(_GAP_DAYS[0]), F.lit(_GAP_DAYS[1]))))
+    found = intervals.local_day_gaps(readings, days, ["user_id"], "slot", "hours")
+    return rounded(found.withColumns({c: F.col(c).cast("timestamp_ntz") for c in ("gap_start", "gap_end")}), "gap_hours")
+
+
 @query("WITH f AS (SELECT CAST(year(o_orderdate) AS INT) AS batch, CAST(month(o_orderdate) AS VARCHAR) AS path, count(*) AS length FROM orders GROUP BY ALL), g AS (SELECT CAST(year(o_orderdate) AS INT) AS batch, CAST(month(o_orderdate) AS VARCHAR) AS path, count(*) AS length FROM orders WHERE o_orderdate < TIMESTAMP '1997-06-15' GROUP BY ALL), a AS (SELECT batch, list_sort(list(path || ':' || length)) AS files FROM f GROUP BY batch), b AS (SELECT batch, list_sort(list(path || ':' || length)) AS files FROM g GROUP BY batch) SELECT a.batch FROM a LEFT JOIN b ON a.batch = b.batch AND a.files = b.files WHERE b.batch IS NULL")
 def batches_to_load(spark: SparkSession, sf_dir: str) -> DataFrame:
     def files(orders: DataFrame) -> DataFrame:
@@ -576,6 +697,35 @@ def quarantined_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quarantine(views.table(spark, sf_dir, "orders"), rules)[1].select("o_orderkey", "rule", "reason")
 
 
+_RULES = [("price", "o_totalprice >= 100000", "price too low"), ("status", "o_orderstatus IN ('F', 'O')", "status not known"), ("priority", "o_orderpriority <> '5-LOW'", "priority too low")]
+
+
+@query(" UNION ALL ".join(f"SELECT 'orders' AS source_system, CAST(o_custkey AS VARCHAR) AS country, 'price' AS dataset, CAST(o_orderdate AS DATE) AS processing_date, o_orderkey AS record_id, o_orderdate AS ingested_at, '{name}' AS rule, '{reason}' AS reason FROM orders WHERE NOT coalesce({good}, FALSE)" for name, good, reason in _RULES))
+def quarantine_reasons(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Good and rejected orders written in one pass; of the rejected ones a row for each rule that
+    they fail."""
+    path = _new_folder(spark)
+    write_by_outcome(quality.judged(views.table(spark, sf_dir, "orders"), {name: (F.expr(good), reason) for name, good, reason in _RULES}), path)
+    rejected = spark.read.parquet(path).filter("outcome = 'rejected'")
+    return quality.rejections(rejected, source_system=F.lit("orders"), country=F.col("o_custkey").cast("string"), dataset=F.lit("price"), processing_date=F.to_date("o_orderdate"), record_id=F.col("o_orderkey"), ingested_at=F.col("o_orderdate"))
+
+
+@query(
+    f"""WITH s AS ({_NULLED}), l AS (SELECT DISTINCT l_orderkey, coalesce(flag, '') AS flag FROM s WHERE l_linestatus = 'O'),
+    m AS (SELECT s.*, l.l_orderkey IS NULL AS missing FROM s LEFT JOIN l ON l.l_orderkey = s.l_orderkey AND l.flag = coalesce(s.flag, '')),
+    k AS (SELECT * FROM (SELECT DISTINCT l_linestatus, l_orderkey, flag FROM m WHERE missing) QUALIFY row_number() OVER (PARTITION BY l_linestatus ORDER BY l_orderkey, flag NULLS FIRST) <= 5)
+    SELECT l_linestatus, CASE WHEN missing_rows > 0 THEN 'missing_rows' ELSE 'verified' END AS status, staged_rows, missing_rows, sample_keys
+    FROM (SELECT l_linestatus, count(*) AS staged_rows, count(*) FILTER (missing) AS missing_rows FROM m GROUP BY l_linestatus)
+    LEFT JOIN (SELECT l_linestatus, string_agg(l_orderkey || ':' || coalesce(flag, '-'), ',' ORDER BY l_orderkey, flag NULLS FIRST) AS sample_keys FROM k GROUP BY l_linestatus) USING (l_linestatus)"""
+)
+def verified_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines against the loaded ones: a verdict for each source, with the first missing keys."""
+    staged = _nulled(spark, sf_dir)
+    found = revisions.verify_loaded(staged, staged.filter("l_linestatus = 'O'"), ["l_orderkey", "flag"], "l_linestatus")
+    shown = F.transform("sample_keys", lambda k: F.concat_ws(":", k["l_orderkey"].cast("string"), F.coalesce(k["flag"], F.lit("-"))))
+    return found.withColumn("sample_keys", F.array_join(shown, ","))
+
+
 @query("SELECT event_id, event_type FROM events WHERE event_type NOT IN ('view', 'click')")
 def unknown_units(spark: SparkSession, sf_dir: str) -> DataFrame:
     allowed = spark.createDataFrame([("view",), ("click",)], "event_type string")

@@ -25,12 +25,14 @@ def _events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "events").withColumn("ts", F.col("ts").cast("timestamp")).withColumn("country_code", country)
 
 
-def obs_load(spark: SparkSession, sf_dir: str) -> DataFrame:
+def obs_load(spark: SparkSession, sf_dir: str, *, slot_seconds: int | None = None, columns: list[str] | None = None) -> DataFrame:
+    """Load readings of three lengths. They begin at multiples of their lengths, or of
+    ``slot_seconds``, so that they overlap."""
     third = F.col("user_id") % 3 == 2
     resolution = F.when(third & (F.col("user_id") % 2 == 0), "PT15M").when(third | (F.col("user_id") % 7 == 0), "PT30M").otherwise("PT60M")
     seconds = F.when(F.col("source_resolution") == "PT15M", 900).when(F.col("source_resolution") == "PT30M", 1800).otherwise(3600)
     rows = _events(spark, sf_dir).withColumn("source_resolution", resolution)
-    return rows.select("country_code", floor_to(F.col("ts"), seconds).alias("slot"), "source_resolution", (F.col("value") - 1).alias("value"), "event_id")
+    return rows.select("country_code", floor_to(F.col("ts"), slot_seconds or seconds).alias("slot"), "source_resolution", (F.col("value") - 1).alias("value"), "event_id", *columns or [])
 
 
 def obs_mix(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -47,7 +47,7 @@ def serving_projection(df: DataFrame) -> DataFrame:
 def write_merged(spark: SparkSession, source: DataFrame, keys: list[str], new_path: str, old_path: str | None = None, *, null_safe: bool = True) -> int:
     """Write old content merged with ``source`` to ``new_path``; the number of source rows, counted
     during the write. Keys must be unique in the source, and the schemas must agree."""
-    assert_unique_keys(source, keys)
+    assert_unique_keys(source, keys, null_safe=null_safe)
     seen = Observation("source")
     out = source.observe(seen, F.count(F.lit(1)).alias("rows"))
     if old_path:
@@ -55,6 +55,41 @@ def write_merged(spark: SparkSession, source: DataFrame, keys: list[str], new_pa
         ensure_compatible(target.schema, source.schema, old_path)
         out = merge_keyed(target, out, keys, null_safe=null_safe)
     out.write.parquet(new_path)
+    return seen.get["rows"] if not source.isEmpty() else 0
+
+
+def month_of(year: str = "year", month: str = "month") -> Column:
+    return F.coalesce(F.col(year) * 12 + F.col(month), F.lit(-1))
+
+
+def merged_months(source: DataFrame, target: DataFrame, keys: list[str], date_col: str) -> DataFrame:
+    """The months of a layout by year and month that the source has rows for, merged with it. Only
+    their partitions of the target are read. The date must be among the keys, as an older version
+    of a row could lie in any month otherwise."""
+    if date_col not in keys:
+        raise ValueError(f"{date_col} is not among the keys, so a row's old version may lie in any month")
+    dated = source.withColumn("year", F.year(date_col)).withColumn("month", F.month(date_col))
+    touched = [r[0] for r in dated.select(month_of()).distinct().collect()]  # months of a calendar
+    old = target.filter(month_of().isin(touched))
+    return merge_keyed(old, dated, keys)
+
+
+def merge_months(source: DataFrame, path: str, keys: list[str], date_col: str) -> int:
+    """Merge into a layout of ``write_by_month``; the number of source rows, counted during the write.
+
+    Keys must be unique in the source, null and the empty string being one key. Only partitions
+    with source rows are read and, by dynamic overwrite, replaced; files of others are not
+    touched. Rows without a date have a partition of their own.
+    """
+    spark = source.sparkSession
+    assert_unique_keys(source, keys, null_safe=True)
+    target = spark.read.parquet(path)
+    ensure_compatible(target.drop("year", "month").schema, source.schema, path)
+    if source.isEmpty():
+        return 0
+    seen = Observation("source")
+    merged = merged_months(source.observe(seen, F.count(F.lit(1)).alias("rows")), target, keys, date_col)
+    merged.hint("rebalance", "year", "month").write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("year", "month").parquet(path)
     return seen.get["rows"]
 
 
@@ -70,6 +105,11 @@ def write_by_month(df: DataFrame, path: str, date_col: str) -> None:
     dated.hint("rebalance", "year", "month").write.partitionBy("year", "month").parquet(path)
 
 
+def write_by_outcome(marked: DataFrame, path: str) -> None:
+    """The rows of ``quality.judged`` in one pass: good and rejected ones in folders of their own."""
+    marked.withColumn("outcome", F.when(F.size("failed_rules") > 0, "rejected").otherwise("good")).write.partitionBy("outcome").parquet(path)
+
+
 def publish(tables: dict[str, tuple[DataFrame, list[str]]], write, order: list[str]) -> dict[str, str]:
     """Validate and write each table in the given order; what became of each. One table's failure
     leaves the others alone. ``write(name, df)`` does the keyed upsert, from the executors."""
