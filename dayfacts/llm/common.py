@@ -5,7 +5,7 @@ from __future__ import annotations
 import sys
 
 from pyspark import cloudpickle
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 #: White space between words, and a word, as the query contracts define them.
@@ -81,4 +81,19 @@ def join_sized(df: DataFrame, small: DataFrame, on, how: str, limit: int = SMALL
     return df.join(F.broadcast(small) if small.limit(limit + 1).count() <= limit else small, on, how)
 
 
+#: Bytes of the rows that a model is fitted on.
+MODEL_BYTES = 256 << 20
+
+
+def first_rows(df: DataFrame, order: list[str], weight: str | None, most: int, most_bytes: int = MODEL_BYTES) -> DataFrame:
+    """The first ``most`` rows in an order, cut where the binary column ``weight`` adds up to more
+    than ``most_bytes``. Tasks keep their first rows only, so a key with very many rows gathers
+    nowhere; the running sum is over the rows that are left."""
+    first = df.orderBy(*order).limit(most)
+    if weight is None:
+        return first
+    running = F.sum(F.octet_length(weight)).over(Window.orderBy(*order).rowsBetween(Window.unboundedPreceding, 0))
+    return first.withColumn("_upto", running).filter(F.col("_upto") <= most_bytes).drop("_upto")
+
+
 ship(__name__)

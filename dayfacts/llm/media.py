@@ -91,15 +91,17 @@ def resample(x: np.ndarray, rate: int, target: int) -> np.ndarray:
 
 
 def chunks(wav: bytes) -> tuple[int, int, int, bytes]:
-    """Format tag, sample rate, block size and sample bytes of a RIFF/WAVE file."""
+    """Format tag, sample rate, block size and sample bytes of a RIFF/WAVE file of one channel."""
     if wav[:4] != b"RIFF" or wav[8:12] != b"WAVE":
         raise ValueError("not a WAVE file")
-    at, tag, rate, block = 12, 0, 0, 1
+    at, tag, channels, rate, block = 12, 0, 0, 0, 1
     while at + 8 <= len(wav):
         name, n = wav[at : at + 4], struct.unpack_from("<I", wav, at + 4)[0]
         if name == b"fmt ":
-            tag, _, rate, _, block = struct.unpack_from("<HHIIH", wav, at + 8)
+            tag, channels, rate, _, block = struct.unpack_from("<HHIIH", wav, at + 8)
         if name == b"data":
+            if rate < 1 or channels != 1:
+                raise ValueError("not one channel of samples at a rate")
             return tag, rate, block, wav[at + 8 : at + 8 + n]
         at += 8 + n + n % 2
     raise ValueError("a WAVE file without samples")
@@ -139,8 +141,8 @@ def decode(df: DataFrame, media_col: str = "media", *, target_rate: int = 16000)
     """Add what a telephony WAV column holds: samples (the stored bytes, read back), pcm (a
     16-bit WAV at ``target_rate``), n_samples, peak, energy and crossings of the PCM.
 
-    Null media, and a file that is no WAV or has another codec: nulls in all added columns. A
-    file without samples: empty samples, PCM of no samples, zeros. Columns of the input whose
+    Null media, and a file that is no WAV, has another codec, several channels, no rate, or ADPCM
+    samples that are not whole blocks: nulls in all added columns. A file without samples: empty samples, PCM of no samples, zeros. Columns of the input whose
     names clash with the added ones are replaced.
     """
     kept = df.drop(*[name for name, _, _ in DECODED])

@@ -180,6 +180,9 @@ def stream_members(totals: DataFrame, alone: list[str | None], streams: int, wei
     weight = F.pow(F.col("size").cast("double"), F.lit(power))
     if weights:
         given = spark.createDataFrame([(s, float(w)) for s, w in weights.items()], "_given string, _share double")
+        lost = rest.join(given, F.col("source").eqNullSafe(F.col("_given")), "left_anti").select("source").limit(5).collect()
+        if lost:
+            raise KeyError(f"no weight for {[r['source'] for r in lost]}")
         rest, weight = rest.join(given, F.col("source").eqNullSafe(F.col("_given"))), F.col("_share")
     place = F.lit(len(alone)) + F.pmod(F.xxhash64("source"), F.lit(streams))
     return cut(rest.select(F.col("source").alias("_source"), place.cast("long").alias("_place"), weight.alias("_weight"), F.ceil(F.col("size") / block_size).alias("_blocks"), F.col("rows").alias("_rows")))
@@ -199,25 +202,29 @@ def mix(docs: DataFrame, *, weights: dict[str | None, float] | None = None, id_c
     the document in its source, that block's place in the mixture, and the document's place in
     its source. Sort by (mix_slot, mix_rank) for the mixture.
 
-    ``weights`` gives target shares by source (needed for every source); by default a source's
-    share follows its total size to the given power. Up to ``period`` blocks, no source is ever a
-    whole block off its exact share; beyond, none is where a period ends. Sizes come from ``size_col`` (null or less than 1: 1; no column: 1 each); a document
-    belongs to the block in which it starts. Blocks within a source hold documents in an order
-    drawn by hash, so that a hot source is dealt over many groups.
+    ``weights`` gives target shares by source, for every source, else KeyError; by default a
+    source's share follows its total size to the given power. With up to ``max_sources`` sources
+    none is a whole block off its share at any slot until one runs out. Sizes come from
+    ``size_col`` (null or less than 1: 1; no column: 1 each), and are not checked against texts; a
+    document belongs to the block in which it starts. Blocks within a source hold documents in an
+    order drawn by hash, so that a hot source is dealt over many groups.
 
     The driver sees one row per source and does work for each source and period. Beyond
     ``max_sources`` sources the largest half of that number are scheduled one by one, and the
     others are dealt by hash into as many streams, each scheduled as one source with its members'
-    weight; within a stream, blocks come in the order of the middle of their exact windows, so
-    that a member is about a block off its share of the stream. Null source: a source of its own. Null ids sort first; repeated rows: a place each. Empty table: no rows.
-    Columns of the input whose names clash with the added ones are replaced.
+    weight; within a stream, blocks come in the order of the middle of their exact windows. Large
+    sources and streams then stay within a block, but a member may be more than one block off, in
+    tests less than three. Null source: a source of its own. Null ids sort first; equal ids are
+    ordered by size and the hash of the row; repeated rows: a place each. Empty table: no rows.
+    Columns of the input with the names of the added ones are replaced; all others are carried
+    along, whatever their names.
     """
     added = ["mix_block", "mix_slot", "mix_rank"]
-    own = ["_salt", "_size", "_before", "_n", "_group_size", "_group_rows", "_size_before", "_rows_before", "_key", "_source", "_first", "_end", "_start", "_weight", "_period", "_slots", "_place", "_block", "_slot"]
-    docs = docs.drop(*added, *own)
+    docs = docs.drop(*added)
     size = F.greatest(F.coalesce(F.col(size_col).cast("long"), F.lit(1)), F.lit(1)) if size_col else F.lit(1)
-    sized = docs.withColumn("_size", size.cast("long"))
-    totals = sized.groupBy(F.col(source_col).cast("string").alias("source")).agg(F.sum("_size").alias("size"), F.count(F.lit(1)).alias("rows"))
+    hashed = [F.col(f"`{name}`") for name, kind in docs.dtypes if "map<" not in kind]
+    sized = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"), F.col(id_col).alias("_id"), F.col(source_col).cast("string").alias("_from"), size.cast("long").alias("_size"), F.xxhash64(*hashed).alias("_tie"))
+    totals = sized.groupBy(F.col("_from").alias("source")).agg(F.sum("_size").alias("size"), F.count(F.lit(1)).alias("rows"))
     found, members = totals.limit(max_sources + 1).collect(), None
     if len(found) > max_sources:
         totals, alone = cut(totals), max(1, max_sources // 2)
@@ -234,13 +241,13 @@ def mix(docs: DataFrame, *, weights: dict[str | None, float] | None = None, id_c
     spark = docs.sparkSession
 
     salts = min(1 << 16, max(1, -(-n_rows // group_rows)))
-    key = F.coalesce(F.concat(F.lit("="), F.col(source_col).cast("string")), F.lit(""))
-    salted = sized.withColumn("_key", key).withColumn("_salt", F.pmod(F.xxhash64(F.col(id_col), F.when(F.col(id_col).isNull(), F.monotonically_increasing_id())), F.lit(salts)).cast("int"))
+    key = F.coalesce(F.concat(F.lit("="), "_from"), F.lit(""))
+    salted = sized.withColumn("_key", key).withColumn("_salt", F.pmod(F.xxhash64("_id", F.when(F.col("_id").isNull(), F.monotonically_increasing_id())), F.lit(salts)).cast("int"))
     groups = salted.groupBy("_key", "_salt").agg(F.sum("_size").alias("_group_size"), F.count(F.lit(1)).alias("_group_rows"))
     earlier = W.partitionBy("_key").orderBy("_salt").rowsBetween(W.unboundedPreceding, -1)
     offsets = groups.select("_key", "_salt", F.coalesce(F.sum("_group_size").over(earlier), F.lit(0)).alias("_size_before"), F.coalesce(F.sum("_group_rows").over(earlier), F.lit(0)).alias("_rows_before"))
 
-    within = W.partitionBy("_key", "_salt").orderBy(F.col(id_col), F.col("_size"))
+    within = W.partitionBy("_key", "_salt").orderBy("_id", "_size", "_tie")
     ranked = salted.withColumn("_n", F.row_number().over(within)).withColumn("_before", F.sum("_size").over(within.rowsBetween(W.unboundedPreceding, 0)) - F.col("_size"))
     placed = ranked.join(offsets, ["_key", "_salt"])
     placed = placed.withColumn("mix_block", F.expr(f"(_size_before + _before) div {int(block_size)}")).withColumn("mix_rank", F.col("_rows_before") + F.col("_n") - 1)
@@ -254,5 +261,5 @@ def mix(docs: DataFrame, *, weights: dict[str | None, float] | None = None, id_c
         turns = spark.createDataFrame([(i, b, slot) for slot, (i, b) in enumerate(edf_order(blocks, exact))], "_place long, _block long, _slot long")
     slots = turns.join(F.broadcast(names), "_place").select("_source", "_block", "_slot")
     slots = cut(slots if members is None else slots.unionByName(member_slots(turns, members)))
-    on = F.col(source_col).cast("string").eqNullSafe(F.col("_source")) & (F.col("mix_block") == F.col("_block"))
-    return join_sized(placed, slots, on, "inner").withColumn("mix_slot", F.col("_slot")).select(*docs.columns, *added)
+    on = F.col("_from").eqNullSafe(F.col("_source")) & (F.col("mix_block") == F.col("_block"))
+    return join_sized(placed, slots, on, "inner").withColumn("mix_slot", F.col("_slot")).select("_row.*", *added)

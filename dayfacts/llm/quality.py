@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import at_end, ship
+from .common import at_end, first_rows, ship
 
 ship(__name__)
 
@@ -144,8 +144,10 @@ def grow(x: np.ndarray, y: np.ndarray, monotone: list[int], *, rounds: int = 80,
 
 
 def fit(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality", max_rows: int = 8000) -> Trees:
-    """Fit on at most ``max_rows`` labelled documents, drawn by the hash of their id. Rows without
-    id or label are no labels. Without labelled documents every probability is one half."""
+    """Fit on at most ``max_rows`` labelled documents, drawn by the hash of their id; of rows that
+    repeat a drawn id the first in the order of their statistics, so that no more than
+    ``max_rows`` rows, of a few numbers each, reach the fitting task. Rows without id or label are
+    no labels. Without labelled documents every probability is one half."""
     marked = labels.select(F.col(id_col).alias("_id"), F.col(label_col).cast("int").alias("_y")).filter("_id is not null and _y is not null").dropDuplicates(["_id"])
     drawn = marked.withColumn("_h", F.xxhash64("_id", F.lit(23))).orderBy("_h", "_id").limit(max_rows)
     sample = docs.select(F.col(id_col).alias("_id"), F.col(text_col).cast("string").alias("_text")).join(F.broadcast(drawn), "_id")  # max_rows ids at most
@@ -157,11 +159,12 @@ def fit(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_col:
 
     def train(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf["t"] = pdf["c"].map(tuple)
-        pdf = pdf.sort_values(["h", "id", "t"]).head(max_rows)
+        pdf = pdf.sort_values(["h", "id", "t"])
         x = features(np.array(pdf["c"].tolist(), dtype=np.int64).reshape(len(pdf), len(COUNTS)))
         return pd.DataFrame([grow(x, pdf["y"].to_numpy(dtype=float), list(FEATURES.values()))])
 
     counted = sample.select("_h", "_id", "_y", "_text").mapInArrow(count, "h long, id long, y int, c array<long>")
+    counted = first_rows(counted, ["h", "id", "c"], None, max_rows)
     found = counted.groupBy(F.lit(0).alias("all")).applyInPandas(train, "base double, roots array<int>, feature array<int>, cut array<double>, left array<int>, right array<int>, value array<double>, depth int").collect()
     if not found:
         return Trees(0.0, [], [], [], [], [], [], 0)

@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import at_end, ship
+from .common import MODEL_BYTES, at_end, first_rows, ship
 
 ship(__name__)
 
@@ -162,8 +162,10 @@ def fit_chain(ids: list[np.ndarray], labels: np.ndarray, fold: np.ndarray, *, fo
     return weights, biases, links, thresholds
 
 
-def fit(docs: DataFrame, labels: DataFrame, categories: dict[str, Column], *, id_col: str = "doc_id", text_col: str = "text", max_rows: int = 8000, folds: int = 3, features: int = 3000, penalty: float = 0.25) -> ChainModel:
-    """Fit a chain on at most ``max_rows`` labelled documents, drawn by the hash of their id.
+def fit(docs: DataFrame, labels: DataFrame, categories: dict[str, Column], *, id_col: str = "doc_id", text_col: str = "text", max_rows: int = 8000, folds: int = 3, features: int = 3000, penalty: float = 0.25, max_bytes: int = MODEL_BYTES) -> ChainModel:
+    """Fit a chain on at most ``max_rows`` labelled documents, drawn by the hash of their id, whose
+    features take ``max_bytes`` or less together. However many rows repeat a drawn id, Spark keeps
+    the first in the order of the hash, the id and the features, and no more reach the fitting task.
 
     ``categories`` maps a name to a boolean column of ``labels``, in the chain's order; a null
     label counts as false. Without labelled documents every probability is one half.
@@ -184,13 +186,14 @@ def fit(docs: DataFrame, labels: DataFrame, categories: dict[str, Column], *, id
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1).cast(pa.int64()), batch.column(2), pa.array(found, pa.binary())], names=["h", "id", "y", "x"])
 
     def train(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(["h", "id", "x"]).head(max_rows)
+        pdf = pdf.sort_values(["h", "id", "x"])
         ids = [np.frombuffer(x, dtype=np.uint32) for x in pdf["x"]]
         y = np.array(pdf["y"].tolist(), dtype=np.int64).reshape(len(pdf), -1)
         weights, biases, links, thresholds = fit_chain(ids, y, np.arange(len(pdf)) % folds, folds=folds, features=features, penalty=penalty)
         return pd.DataFrame({"category": range(len(names)), "feature": [list(w) for w in weights], "weight": [list(w.values()) for w in weights], "bias": biases, "threshold": thresholds, "links": links})
 
     rows = sample.mapInArrow(at_end(featurise), "h long, id long, y array<int>, x binary")
+    rows = first_rows(rows, ["h", "id", "x"], "x", max_rows, max_bytes)
     models = rows.groupBy(F.lit(0).alias("all")).applyInPandas(train, "category int, feature array<int>, weight array<double>, bias double, threshold double, links array<double>").collect()
     models.sort(key=lambda m: m["category"])
     if not models:
