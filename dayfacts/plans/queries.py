@@ -296,23 +296,29 @@ def duplicate_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     return revisions.duplicate_keys(views.revisions(spark, sf_dir), LINE_KEYS)
 
 
+_NULLED = "SELECT l_orderkey, l_linenumber, nullif(l_returnflag, 'N') AS flag, l_linestatus FROM lineitem"
 #: Some flags are null and some empty: as keys, one value.
-_NULLED = "SELECT l_orderkey, l_linenumber, CASE WHEN l_returnflag = 'N' AND l_linestatus = 'O' THEN NULL WHEN l_returnflag = 'N' THEN '' ELSE l_returnflag END AS flag, l_linestatus FROM lineitem"
+_KEYED = "SELECT l_orderkey, l_linenumber, CASE WHEN l_returnflag = 'N' AND l_linestatus = 'O' THEN NULL WHEN l_returnflag = 'N' THEN '' ELSE l_returnflag END AS flag, l_linestatus FROM lineitem"
 
 
 def _nulled(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return views.revisions(spark, sf_dir).select("l_orderkey", "l_linenumber", F.when(F.col("l_returnflag") != "N", F.col("l_returnflag")).when(F.col("l_linestatus") != "O", "").alias("flag"), "l_linestatus")
+    return views.revisions(spark, sf_dir).select("l_orderkey", "l_linenumber", F.nullif(F.col("l_returnflag"), F.lit("N")).alias("flag"), "l_linestatus")
 
 
-@query(f"WITH s AS ({_NULLED}) SELECT * FROM s WHERE NOT EXISTS (SELECT 1 FROM s l WHERE l.l_linestatus = 'O' AND l.l_orderkey = s.l_orderkey AND l.l_linenumber = s.l_linenumber AND coalesce(l.flag, '') = coalesce(s.flag, ''))")
+def _keyed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    flag = F.when(F.col("l_returnflag") != "N", F.col("l_returnflag")).when(F.col("l_linestatus") != "O", "")
+    return views.revisions(spark, sf_dir).select("l_orderkey", "l_linenumber", flag.alias("flag"), "l_linestatus")
+
+
+@query(f"WITH s AS ({_KEYED}) SELECT * FROM s WHERE NOT EXISTS (SELECT 1 FROM s l WHERE l.l_linestatus = 'O' AND l.l_orderkey = s.l_orderkey AND l.l_linenumber = s.l_linenumber AND coalesce(l.flag, '') = coalesce(s.flag, ''))")
 def null_safe_missing_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
-    staged = _nulled(spark, sf_dir)
+    staged = _keyed(spark, sf_dir)
     return revisions.missing_keys(staged, staged.filter("l_linestatus = 'O'").alias("loaded").select("*"), ["l_orderkey", "l_linenumber", "flag"])
 
 
-@query(f"WITH s AS ({_NULLED}), l AS (SELECT DISTINCT l_orderkey, flag FROM s WHERE l_linestatus = 'O') SELECT l_linestatus, count(*) AS staged_rows, count(*) FILTER (NOT EXISTS (SELECT 1 FROM l WHERE l.l_orderkey = s.l_orderkey AND coalesce(l.flag, '') = coalesce(s.flag, ''))) AS missing_rows FROM s GROUP BY l_linestatus")
+@query(f"WITH s AS ({_KEYED}), l AS (SELECT DISTINCT l_orderkey, flag FROM s WHERE l_linestatus = 'O') SELECT l_linestatus, count(*) AS staged_rows, count(*) FILTER (NOT EXISTS (SELECT 1 FROM l WHERE l.l_orderkey = s.l_orderkey AND coalesce(l.flag, '') = coalesce(s.flag, ''))) AS missing_rows FROM s GROUP BY l_linestatus")
 def missing_by_source(spark: SparkSession, sf_dir: str) -> DataFrame:
-    staged = _nulled(spark, sf_dir)
+    staged = _keyed(spark, sf_dir)
     return revisions.missing_by_source(staged, staged.filter("l_linestatus = 'O'"), ["l_orderkey", "flag"], "l_linestatus")
 
 
@@ -711,7 +717,7 @@ def quarantine_reasons(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(
-    f"""WITH s AS ({_NULLED}), l AS (SELECT DISTINCT l_orderkey, coalesce(flag, '') AS flag FROM s WHERE l_linestatus = 'O'),
+    f"""WITH s AS ({_KEYED}), l AS (SELECT DISTINCT l_orderkey, coalesce(flag, '') AS flag FROM s WHERE l_linestatus = 'O'),
     m AS (SELECT s.*, l.l_orderkey IS NULL AS missing FROM s LEFT JOIN l ON l.l_orderkey = s.l_orderkey AND l.flag = coalesce(s.flag, '')),
     k AS (SELECT * FROM (SELECT DISTINCT l_linestatus, l_orderkey, flag FROM m WHERE missing) QUALIFY row_number() OVER (PARTITION BY l_linestatus ORDER BY l_orderkey, flag NULLS FIRST) <= 5)
     SELECT l_linestatus, CASE WHEN missing_rows > 0 THEN 'missing_rows' ELSE 'verified' END AS status, staged_rows, missing_rows, sample_keys
@@ -720,7 +726,7 @@ def quarantine_reasons(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def verified_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Lines against the loaded ones: a verdict for each source, with the first missing keys."""
-    staged = _nulled(spark, sf_dir)
+    staged = _keyed(spark, sf_dir)
     found = revisions.verify_loaded(staged, staged.filter("l_linestatus = 'O'"), ["l_orderkey", "flag"], "l_linestatus")
     shown = F.transform("sample_keys", lambda k: F.concat_ws(":", k["l_orderkey"].cast("string"), F.coalesce(k["flag"], F.lit("-"))))
     return found.withColumn("sample_keys", F.array_join(shown, ","))
