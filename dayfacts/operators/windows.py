@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -41,3 +41,20 @@ def date_key_range(df: DataFrame, start: dt.date, end: dt.date, *, column: str =
 def trim_to_days(df: DataFrame, column: str, start: dt.date, end: dt.date) -> DataFrame:
     """Points within the requested UTC days."""
     return df.filter(F.to_date(column).between(F.lit(start), F.lit(end)))
+
+
+def last_complete_month(day: Column) -> Column:
+    """The first day of the month before that of a day."""
+    return F.trunc(F.add_months(day, -1), "month").cast("date")
+
+
+def month_chunks(months: DataFrame, month_col: str, *, buffer_days: int, chunk_days: int) -> DataFrame:
+    """The rows with chunk_start and chunk_end: the month, padded by some days on either side, cut into
+    windows of at most ``chunk_days`` days, one row each. A null month has no row."""
+    if buffer_days < 0 or chunk_days < 1:
+        raise ValueError("a buffer of 0 or more days and chunks of at least one are needed")
+    first = F.date_sub(F.trunc(month_col, "month").cast("date"), buffer_days)
+    last = F.date_add(F.last_day(month_col), buffer_days)
+    starts = F.explode(F.sequence(first, last, F.expr(f"interval {int(chunk_days)} day"))).alias("chunk_start")
+    cut = months.select("*", last.alias("_last"), starts)
+    return cut.select(*months.columns, "chunk_start", F.least(F.date_add("chunk_start", chunk_days - 1), "_last").alias("chunk_end"))

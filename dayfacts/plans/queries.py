@@ -523,6 +523,21 @@ def every_month(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.withColumn("status", completeness.coverage_status(F.col("covered_days"), F.col("expected_days"), no_data))
 
 
+@query(
+    """WITH l AS (SELECT CAST(date_trunc('month', max(o_orderdate)) AS DATE) - INTERVAL 1 MONTH AS latest FROM orders),
+    m AS (SELECT DISTINCT CAST(date_trunc('month', o_orderdate) AS DATE) AS month_start FROM orders, l WHERE date_trunc('month', o_orderdate) <= latest),
+    c AS (SELECT month_start, CAST(unnest(generate_series(month_start - INTERVAL 2 DAYS, last_day(month_start) + INTERVAL 2 DAYS, INTERVAL 10 DAYS)) AS DATE) AS chunk_start FROM m)
+    SELECT month_start, chunk_start, CAST(least(chunk_start + 9, last_day(month_start) + 2) AS DATE) AS chunk_end FROM c"""
+)
+def month_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Windows of at most ten days to ask for each month with orders up to the last complete one,
+    padded by two days."""
+    orders = views.table(spark, sf_dir, "orders").select(F.to_date("o_orderdate").alias("day"))
+    latest = orders.agg(windows.last_complete_month(F.max("day")).alias("latest"))
+    months = orders.select(F.trunc("day", "month").cast("date").alias("month_start")).distinct().join(F.broadcast(latest), F.col("month_start") <= F.col("latest")).drop("latest")
+    return windows.month_chunks(months, "month_start", buffer_days=2, chunk_days=10)
+
+
 _ATTEMPTS = "SELECT user_id AS combo, event_id AS seq, CASE event_type WHEN 'error' THEN 'failed' WHEN 'signup' THEN 'reset' WHEN 'purchase' THEN 'unavailable' WHEN 'view' THEN 'failed' ELSE 'success' END AS status FROM events"
 _FOLD = f"""
 WITH RECURSIVE log AS (SELECT combo, status, row_number() OVER (PARTITION BY combo ORDER BY seq) AS k FROM ({_ATTEMPTS})),

@@ -75,3 +75,13 @@ def test_gaps_of_local_days(spark):
     ]
     assert gaps(spark, [], days[:1]) == [("a", "2024-03-30", "03-29 23:00", "03-30 23:00", 24.0)]
     assert gaps(spark, rows, []) == []
+
+
+def test_month_chunks(spark):
+    from dayfacts.operators import windows as X
+
+    df = spark.createDataFrame([(D(2024, 2, 9), 1), (None, 2)], "m date, chunk int")
+    got = [tuple(r) for r in X.month_chunks(df, "m", buffer_days=1, chunk_days=20).select("chunk_start", "chunk_end").collect()]
+    assert got == [(D(2024, 1, 31), D(2024, 2, 19)), (D(2024, 2, 20), D(2024, 3, 1))]
+    assert [str(r[0]) for r in df.select(X.last_complete_month(F.col("m"))).collect()] == ["2024-01-01", "None"]
+    assert str(spark.sql("select date'2024-01-31' d").select(X.last_complete_month(F.col("d"))).first()[0]) == "2023-12-01"
