@@ -7,12 +7,13 @@ clipping readings that overlap.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions.scalar import duration_hours, energy_mwh, local_date, local_day_hours
 from .lookups import with_production_type, with_zone
+from .observed import Watch
 from .revisions import latest_per_key
 
 #: A day counts as complete within a minute of its length.
@@ -50,34 +51,59 @@ def with_completeness(df: DataFrame, zones: DataFrame, *, covered_col: str = "co
     return known.withColumn("completeness_status", F.when(F.col(covered_col) >= full, "complete").otherwise("partial")).drop("timezone")
 
 
-def current_readings(obs: DataFrame, zones: DataFrame, series: list[str], order_col: str, keep: Column) -> DataFrame:
+def current_readings(obs: DataFrame, zones: DataFrame, series: list[str], order_col: str, keep: Column, watch: Watch | None = None) -> DataFrame:
     """The latest revision of each reading of a series that meets ``keep``, with local_date,
     interval_hours and covered_hours: the hours of it that no earlier reading of the series, in
     the same resolution, has covered. Readings that have none left are dropped, so no moment
     counts twice.
 
     A reading that runs into the next local day is also seen there, as it may cover the beginning
-    of that day's first. Rows are shuffled once, by country, resolution and day.
+    of that day's first. Rows are shuffled once, by country, resolution and day. A ``watch`` counts
+    on the way what ``rollup_metrics`` tells.
     """
+    point = watch.at if watch else lambda df, _, **counts: df
     hours = F.col("interval_hours")
+    own, usable = F.col("_day") == F.col("local_date"), F.coalesce(keep & (hours > 0), F.lit(False))
     ends = F.unix_micros("slot") + (hours * 3_600_000_000).cast("long")
+    obs = point(obs, "received", received=F.count(F.lit(1)))
     timed = with_local_date(obs, zones).withColumn("interval_hours", duration_hours(F.col("source_resolution")))
+    timed = point(timed, "placed", placed=F.count("local_date"))
     last = local_date(F.timestamp_micros(ends - 1), F.col("timezone"))
     seen = timed.withColumn("_day", F.explode(F.sequence("local_date", F.coalesce(last, "local_date")))).repartition("country_code", "source_resolution", "_day")
-    current = latest_per_key(seen, ["country_code", "slot", "source_resolution", *series, "_day"], order_col).filter(keep)
+    current = latest_per_key(seen, ["country_code", "slot", "source_resolution", *series, "_day"], order_col)
+    current = point(current, "current", current=F.count_if(own), usable=F.count_if(own & usable)).filter(keep)
     earlier = W.partitionBy("country_code", "source_resolution", *series, "_day").orderBy("slot").rowsBetween(W.unboundedPreceding, -1)
     begins = F.greatest(F.unix_micros("slot"), F.coalesce("_ended", F.unix_micros("slot")))
     left = current.withColumn("_ended", F.max(ends).over(earlier)).withColumn("covered_hours", F.greatest(F.lit(0.0), F.least(hours, (ends - begins) / 3_600_000_000)))
+    left = point(left, "clipped", overlapping=F.count_if(own & usable & (F.col("covered_hours") < hours)))
     return left.filter("_day = local_date and covered_hours > 0").drop("_day", "_ended")
 
 
-def _daily(obs: DataFrame, zones: DataFrame, order_col: str, keep: Column, *aggregates: Column) -> DataFrame:
-    sums = current_readings(obs, zones, [], order_col, keep).groupBy("country_code", "local_date", "interval_hours").agg(
+def _daily(obs: DataFrame, zones: DataFrame, order_col: str, keep: Column, *aggregates: Column, watch: Watch | None = None) -> DataFrame:
+    sums = current_readings(obs, zones, [], order_col, keep, watch).groupBy("country_code", "local_date", "interval_hours").agg(
         *aggregates,
         F.count(F.lit(1)).alias("source_interval_count"),
         F.sum("covered_hours").alias("covered_duration_hours"),
     )
-    return with_completeness(_choose_resolution(sums, ["country_code", "local_date"]), zones)
+    days = with_completeness(_choose_resolution(sums, ["country_code", "local_date"]), zones)
+    if watch is None:
+        return days
+    partial = F.count_if(F.col("completeness_status") == "partial")
+    return watch.at(days, "days", days=F.count(F.lit(1)), partial_days=partial, used=F.sum("source_interval_count"), first_date=F.min("local_date"), last_date=F.max("local_date"))
+
+
+#: What ``rollup_metrics`` tells, in this order.
+METRICS = "rows_received long, rows_unplaced long, duplicates_removed long, rows_rejected long, overlaps_detected long, rows_used long, days_written long, partial_days long, first_date date, last_date date"
+
+
+def rollup_metrics(spark: SparkSession, watch: Watch) -> DataFrame:
+    """One row on a watched daily rollup that has been written: readings received; without a zone or
+    time; older revisions; not valid, or without a length; partly or wholly covered by earlier
+    ones; used in the chosen resolutions; days, partial days, and the first and last date."""
+    n = watch.read()
+    n |= {name: value or 0 for name, value in n.items() if not name.endswith("_date")}
+    row = (n["received"], n["received"] - n["placed"], n["placed"] - n["current"], n["current"] - n["usable"], n["overlapping"], n["used"], n["days"], n["partial_days"], n["first_date"], n["last_date"])
+    return spark.createDataFrame([row], METRICS)
 
 
 def local_day_gaps(readings: DataFrame, days: DataFrame, keys: list[str], start_col: str, hours_col: str) -> DataFrame:
@@ -105,7 +131,7 @@ def local_day_gaps(readings: DataFrame, days: DataFrame, keys: list[str], start_
     return found.select(*keys, "local_date", F.timestamp_micros("_f").alias("gap_start"), F.timestamp_micros("_t").alias("gap_end"), ((F.col("_t") - F.col("_f")) / 3_600_000_000).alias("gap_hours"))
 
 
-def daily_demand(obs: DataFrame, zones: DataFrame, *, order_col: str = "event_id") -> DataFrame:
+def daily_demand(obs: DataFrame, zones: DataFrame, *, order_col: str = "event_id", watch: Watch | None = None) -> DataFrame:
     """Daily energy of a load series: country_code, local_date, daily_demand_mwh, interval count,
     covered hours, completeness_status.
 
@@ -114,14 +140,14 @@ def daily_demand(obs: DataFrame, zones: DataFrame, *, order_col: str = "event_id
     readings has no row; a partial day keeps its diagnostic value.
     """
     energy = F.sum(energy_mwh(F.col("value"), F.col("covered_hours"))).alias("daily_demand_mwh")
-    return _daily(obs, zones, order_col, F.col("value") >= 0, energy)
+    return _daily(obs, zones, order_col, F.col("value") >= 0, energy, watch=watch)
 
 
-def daily_price(obs: DataFrame, zones: DataFrame, *, order_col: str = "event_id") -> DataFrame:
+def daily_price(obs: DataFrame, zones: DataFrame, *, order_col: str = "event_id", watch: Watch | None = None) -> DataFrame:
     """Daily price statistics, the mean weighted by duration. Negative prices are valid."""
     v, h = F.col("value"), F.col("covered_hours")
     mean = (F.sum(v * h) / F.nullif(F.sum(h), F.lit(0.0))).alias("avg_day_ahead_price_eur_mwh")
-    return _daily(obs, zones, order_col, v.isNotNull(), mean, F.min("value").alias("min_day_ahead_price_eur_mwh"), F.max("value").alias("max_day_ahead_price_eur_mwh"))
+    return _daily(obs, zones, order_col, v.isNotNull(), mean, F.min("value").alias("min_day_ahead_price_eur_mwh"), F.max("value").alias("max_day_ahead_price_eur_mwh"), watch=watch)
 
 
 def generation_series(obs: DataFrame, zones: DataFrame, *, order_col: str = "event_id") -> DataFrame:

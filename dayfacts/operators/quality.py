@@ -105,6 +105,44 @@ def freshness(df: DataFrame, date_col: str, status_col: str) -> DataFrame:
     return df.agg(latest, whole).withColumn("days_behind", F.datediff("latest_date", "latest_complete_date"))
 
 
+#: What a watermark can tell of: a run of a workflow, an arrival, data of a date, a date complete
+#: enough for analysis, and a publication.
+EVENTS = ("executed", "ingested", "data", "complete", "published")
+
+
+def watermarks(df: DataFrame, source: Column, layer: str, run: int, **events: Column) -> DataFrame:
+    """source, layer, run, event, at: the latest time of each event of a source in a layer's table,
+    in one aggregate. An event without a time has no row."""
+    unknown = sorted(set(events) - set(EVENTS))
+    if unknown:
+        raise ValueError(f"not among {EVENTS}: {unknown}")
+    latest = df.groupBy(source.alias("source")).agg(*[F.max(at.cast("timestamp")).alias(e) for e, at in events.items()])
+    each = F.explode(F.array(*[F.struct(F.lit(e).alias("event"), F.col(e).alias("at")) for e in events]))
+    return latest.select("source", F.lit(layer).alias("layer"), F.lit(run).cast("long").alias("run"), each.alias("_e")).select("source", "layer", "run", "_e.event", "_e.at").filter("at is not null")
+
+
+def freshness_of_layers(marks: DataFrame, run: int, by: list[str]) -> DataFrame:
+    """The table of all ``watermarks`` folded in one aggregate, as of a run: ``by`` (source, layer or
+    both); the latest time of each event (executed_at and so on); usable_before, the latest
+    usable date of earlier runs; days_behind, from the usable date to the execution; status.
+
+    A group's usable date is its latest complete one, or that of its data where no layer of it
+    tells of complete ones. Status: not_executed (no execution in this run), empty (no usable date),
+    stale (executed, and the usable date is not later than before), advanced. Null source: a
+    source of its own. Later runs do not count.
+    """
+    at, now = F.col("at"), F.col("run") == run
+    upto = [F.max(F.when(F.col("event") == e, at)).alias(f"{e}_at") for e in EVENTS]
+    before = {e: F.max(F.when(~now & (F.col("event") == e), at)) for e in ("data", "complete")}
+    executed = F.count_if(now & (F.col("event") == "executed")) > 0
+    folded = marks.filter(F.col("run") <= run).groupBy(*by).agg(*upto, before["data"].alias("_data"), before["complete"].alias("_complete"), executed.alias("_executed"))
+    tells = F.col("complete_at").isNotNull()
+    usable = F.coalesce("complete_at", "data_at")
+    out = folded.withColumn("usable_before", F.when(tells, F.col("_complete")).otherwise(F.col("_data")))
+    status = F.when(~F.col("_executed"), "not_executed").when(usable.isNull(), "empty").when(usable <= F.col("usable_before"), "stale").otherwise("advanced")
+    return out.withColumn("days_behind", F.datediff("executed_at", usable)).withColumn("status", status).drop("_data", "_complete", "_executed")
+
+
 def table_checks(df: DataFrame, keys: list[str], parents: dict[str, tuple[DataFrame, str]]) -> DataFrame:
     """check_name, n_failed for a published table: has rows, null keys, unique grain, no orphans."""
     rows = df.agg((F.count(F.lit(1)) == 0).cast("long").alias("n_failed")).select(F.lit("has_rows").alias("check_name"), "n_failed")

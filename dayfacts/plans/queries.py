@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.scalar import duration_hours, local_day_hours, weighted_mean
-from ..operators import completeness, intervals, lookups, measures, quality, reshape, revisions, windows
+from ..operators import completeness, intervals, lookups, measures, observed, quality, reshape, revisions, windows
 from .. import versions
 from ..sinks import merge_months, rebuild, serving_projection, write_by_month, write_by_outcome, write_merged
 from ..sources import documents, tables
@@ -633,6 +633,25 @@ def demand_of_overlaps(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(intervals.daily_demand(obs, views.zones(spark)), "daily_demand_mwh", "covered_duration_hours")
 
 
+@query(
+    f"""WITH {_OVERLAPPING}, own AS (SELECT * FROM local WHERE country_code <> 'C1'), valid AS (
+      SELECT *, coalesce(max(slot + to_minutes(minutes)) OVER (PARTITION BY country_code, source_resolution ORDER BY slot ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), slot) AS before FROM own WHERE value >= 0),
+    clipped AS (SELECT *, greatest(0, least(hours, (epoch(slot + to_minutes(minutes)) - epoch(greatest(slot, before))) / 3600.0)) AS rest FROM valid),
+    best AS (SELECT * FROM clipped WHERE rest > 0 QUALIFY hours = CASE WHEN max(CAST(hours = 1 AS INT)) OVER (PARTITION BY country_code, local_date) = 1 THEN 1 ELSE min(hours) OVER (PARTITION BY country_code, local_date) END),
+    sums AS (SELECT country_code, local_date, count(*) AS n, sum(rest) AS covered FROM best GROUP BY ALL),
+    days AS (SELECT country_code, local_date, n, {_STATUS} AS status FROM sums JOIN zones z USING (country_code)),
+    c AS (SELECT (SELECT count(*) FROM obs) AS received, (SELECT count(*) FROM obs WHERE country_code <> 'C1') AS placed, (SELECT count(*) FROM own) AS cur)
+    SELECT received AS rows_received, received - placed AS rows_unplaced, placed - cur AS duplicates_removed, cur - (SELECT count(*) FROM valid) AS rows_rejected, (SELECT count(*) FROM clipped WHERE rest < hours) AS overlaps_detected,
+      CAST(sum(n) AS BIGINT) AS rows_used, count(*) AS days_written, count(*) FILTER (status = 'partial') AS partial_days, min(local_date) AS first_date, max(local_date) AS last_date FROM days, c GROUP BY received, placed, cur"""
+)
+def observed_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What a rollup of overlapping readings counted while it was written; one country has no zone."""
+    watch = observed.Watch()
+    zones = views.zones(spark).filter("country_code != 'C1'")
+    intervals.daily_demand(views.obs_load(spark, sf_dir, slot_seconds=900), zones, watch=watch).write.parquet(_new_folder(spark))
+    return intervals.rollup_metrics(spark, watch)
+
+
 _GAP_DAYS = (dt.date(2024, 3, 12), dt.date(2024, 4, 18))
 _UTC_MIDNIGHT = "timezone('UTC', timezone(timezone, CAST({} AS TIMESTAMP)))"
 
@@ -769,6 +788,48 @@ def freshness(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.freshness(demand(spark, sf_dir), "local_date", "completeness_status")
 
 
+_RUNS = {1: "2024-01-19 00:00:00", 2: "2024-01-31 00:00:00"}
+_MARKS = f"""runs(run, moment) AS (VALUES (1, TIMESTAMP '{_RUNS[1]}'), (2, TIMESTAMP '{_RUNS[2]}')),
+    seen AS (SELECT run, moment, event_type AS source, ts, CAST(date_trunc('day', ts) AS TIMESTAMP) AS d FROM events, runs WHERE ts < moment AND (event_type <> 'signup' OR ts < TIMESTAMP '{_RUNS[1]}')),
+    daily AS (SELECT run, moment, source, d, count(DISTINCT hour(ts)) >= 6 AS whole FROM seen GROUP BY ALL),
+    marks AS (
+      SELECT source, 'raw' AS layer, run, unnest(['executed', 'ingested', 'data']) AS event, unnest([CASE WHEN run = 1 OR source <> 'error' THEN moment END, max(ts), max(d)]) AS moment FROM seen GROUP BY source, run, seen.moment
+      UNION ALL SELECT source, 'daily', run, unnest(['executed', 'complete', 'published']), unnest([CASE WHEN run = 1 OR source <> 'error' THEN moment END, max(d) FILTER (whole), CASE WHEN source <> 'click' THEN moment + INTERVAL 1 HOUR END]) FROM daily GROUP BY source, run, daily.moment)"""
+_FRESH = """WITH {marks}, folded AS (
+      SELECT {by}, {moment}, max(moment) FILTER (run < 2 AND event = 'data') AS data_before, max(moment) FILTER (run < 2 AND event = 'complete') AS complete_before, count(*) FILTER (run = 2 AND event = 'executed' AND moment IS NOT NULL) > 0 AS ran FROM marks GROUP BY {by}),
+    told AS (SELECT *, coalesce(complete_at, data_at) AS usable, CASE WHEN complete_at IS NULL THEN data_before ELSE complete_before END AS usable_before FROM folded)
+    SELECT {by}, executed_at, ingested_at, data_at, complete_at, published_at, usable_before, CAST(date_diff('day', usable, executed_at) AS INT) AS days_behind,
+      CASE WHEN NOT ran THEN 'not_executed' WHEN usable IS NULL THEN 'empty' WHEN usable <= usable_before THEN 'stale' ELSE 'advanced' END AS status FROM told"""
+_EVENTS_AT = ", ".join(f"max(moment) FILTER (event = '{e}') AS {e}_at" for e in quality.EVENTS)
+
+
+def _fresh(spark: SparkSession, sf_dir: str, by: list[str]) -> DataFrame:
+    """Two runs over the events append their watermarks to one table; then the second is judged.
+    Signups stop to arrive after the first; the second does not run for errors."""
+    path = _new_folder(spark)
+    for run, text in _RUNS.items():
+        at = F.to_timestamp(F.lit(text))
+        seen = views._events(spark, sf_dir).filter((F.col("ts") < at) & ((F.col("event_type") != "signup") | (F.col("ts") < _RUNS[1])))
+        executed = at if run == 1 else F.when(F.col("event_type") != "error", at)
+        daily = seen.groupBy("event_type", F.to_date("ts").alias("d")).agg((F.count_distinct(F.hour("ts")) >= 6).alias("whole"))
+        raw = quality.watermarks(seen, F.col("event_type"), "raw", run, executed=executed, ingested=F.col("ts"), data=F.to_date("ts"))
+        published = F.when(F.col("event_type") != "click", at + F.expr("interval 1 hour"))
+        rolled = quality.watermarks(daily, F.col("event_type"), "daily", run, executed=executed, complete=F.when(F.col("whole"), F.col("d")), published=published)
+        raw.unionByName(rolled).write.mode("append").parquet(path)
+    found = quality.freshness_of_layers(spark.read.parquet(path), 2, by)
+    return found.withColumns({c: F.col(c).cast("timestamp_ntz") for c in [*[f"{e}_at" for e in quality.EVENTS], "usable_before"]})
+
+
+@query(_FRESH.format(marks=_MARKS, moment=_EVENTS_AT, by="source"))
+def freshness_of_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _fresh(spark, sf_dir, ["source"])
+
+
+@query(_FRESH.format(marks=_MARKS, moment=_EVENTS_AT, by="source, layer"))
+def freshness_of_layers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _fresh(spark, sf_dir, ["source", "layer"])
+
+
 @query("SELECT 'has_rows' AS check_name, CAST(count(*) = 0 AS BIGINT) AS n_failed FROM lineitem UNION ALL SELECT 'keys_not_null', count(*) FILTER (l_orderkey IS NULL OR l_linenumber IS NULL) FROM lineitem UNION ALL SELECT 'grain_unique', count(*) FROM (SELECT 1 FROM lineitem GROUP BY l_orderkey, l_linenumber HAVING count(*) > 1) UNION ALL SELECT 'orphans_l_orderkey', count(*) FROM lineitem WHERE l_orderkey NOT IN (SELECT o_orderkey FROM orders WHERE o_orderstatus <> 'P')")
 def publish_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = views.table(spark, sf_dir, "orders").filter("o_orderstatus != 'P'")
