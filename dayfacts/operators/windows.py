@@ -38,6 +38,12 @@ def date_key_range(df: DataFrame, start: dt.date, end: dt.date, *, column: str =
     return df.filter(F.col(column).between(low, high))
 
 
+def of_dataset(df: DataFrame, *datasets: str, column: str = "dataset_type") -> DataFrame:
+    """The rows of some series of a raw table; of a table partitioned by them, only their folders
+    are read. A null is of no dataset."""
+    return df.filter(F.col(column).isin(*datasets))
+
+
 def trim_to_days(df: DataFrame, column: str, start: dt.date, end: dt.date) -> DataFrame:
     """Points within the requested UTC days."""
     return df.filter(F.to_date(column).between(F.lit(start), F.lit(end)))

@@ -9,8 +9,9 @@ import datetime as dt
 import uuid
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.scalar import duration_hours, local_day_hours, weighted_mean
 from ..operators import completeness, intervals, lookups, measures, observed, quality, reshape, revisions, windows
@@ -92,7 +93,8 @@ price AS (
   SELECT country_code, local_date, mean AS avg_day_ahead_price_eur_mwh, low AS min_day_ahead_price_eur_mwh, high AS max_day_ahead_price_eur_mwh, n AS source_interval_count, covered AS covered_duration_hours, {_STATUS} AS completeness_status
   FROM (SELECT country_code, local_date, sum(value * hours) / nullif(sum(hours), 0) AS mean, min(value) AS low, max(value) AS high, count(*) AS n, sum(hours) AS covered FROM pchosen GROUP BY ALL) d JOIN zones z USING (country_code))"""
 _ANNUAL = """annual AS (
-  SELECT 'C' || CAST(c_nationkey % 3 AS VARCHAR) AS country_code, year(o_orderdate) + 26 AS year, count(DISTINCT c_custkey) AS population, CAST(sum(CAST(o_totalprice AS DECIMAL(18,2))) AS DOUBLE) AS gdp_constant_2015_usd
+  SELECT 'C' || CAST(c_nationkey % 3 AS VARCHAR) AS country_code, year(o_orderdate) + 26 AS year, count(DISTINCT c_custkey) AS population, CAST(sum(CAST(o_totalprice AS DECIMAL(18,2))) AS DOUBLE) AS gdp_constant_2015_usd,
+    gdp_constant_2015_usd / population AS gdp_per_capita_constant_2015_usd, CAST(avg(CASE WHEN c_acctbal >= 0 THEN 100 ELSE 0 END) AS DOUBLE) AS urban_population_pct
   FROM orders JOIN customer ON o_custkey = c_custkey GROUP BY ALL)"""
 _TOTALS = """totals AS (
   SELECT country_code, local_date,
@@ -221,16 +223,17 @@ def dim_date(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 _FACT_COLUMNS = ["daily_demand_mwh", "avg_day_ahead_price_eur_mwh", "min_day_ahead_price_eur_mwh", "max_day_ahead_price_eur_mwh", "total_generation_mwh", "renewable_generation_mwh", "renewable_generation_pct"]
+_PER_YEAR = ["gdp_per_capita_constant_2015_usd", "urban_population_pct"]
 _ROUNDED = ", ".join(f"round({c}, 8) AS {c}" for c in _FACT_COLUMNS)
 _DIM = "country_code AS country_key, CAST(strftime(local_date, '%Y%m%d') AS INT) AS date_key"
 _IN_SPINE = "local_date BETWEEN DATE '2024-01-01' AND DATE '2024-12-31'"
 
 
-@query(f"{_ENERGY} SELECT {_DIM}, {_ROUNDED}, population, gdp_constant_2015_usd, round(daily_demand_mwh * 1000 / nullif(population, 0), 8) AS demand_kwh_per_capita FROM energy e LEFT JOIN annual a ON a.country_code = e.country_code AND a.year = year(e.local_date) WHERE {_IN_SPINE}".replace("SELECT country_code AS country_key", "SELECT e.country_code AS country_key"))
+@query(f"{_ENERGY} SELECT {_DIM}, {_ROUNDED}, population, gdp_constant_2015_usd, round(gdp_per_capita_constant_2015_usd, 6) AS gdp_per_capita_constant_2015_usd, round(urban_population_pct, 6) AS urban_population_pct, round(daily_demand_mwh * 1000 / nullif(population, 0), 8) AS demand_kwh_per_capita FROM energy e LEFT JOIN annual a ON a.country_code = e.country_code AND a.year = year(e.local_date) WHERE {_IN_SPINE}".replace("SELECT country_code AS country_key", "SELECT e.country_code AS country_key"))
 def fact_energy_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
     countries, dates = dimensions(spark)
-    fact = star.fact_energy_daily(demand(spark, sf_dir), price(spark, sf_dir), mix(spark, sf_dir), views.annual(spark, sf_dir), countries, dates)
-    return rounded(fact, *_FACT_COLUMNS, "demand_kwh_per_capita", digits=8)
+    fact = star.fact_energy_daily(demand(spark, sf_dir), price(spark, sf_dir), mix(spark, sf_dir), views.indicators(spark, sf_dir), countries, dates)
+    return rounded(rounded(fact, *_FACT_COLUMNS, "demand_kwh_per_capita", digits=8), *_PER_YEAR, digits=6)
 
 
 @query(f"WITH {_ZONES}, {_MIX}, t AS (SELECT country_code, local_date, sum(generation_mwh) AS total, bool_and(completeness_status = 'complete') AS whole FROM mix GROUP BY ALL) SELECT {_DIM}, normalized_production_type AS production_type, round(generation_mwh, 4) AS generation_mwh, renewable_flag, round(CASE WHEN whole AND total > 0 THEN generation_mwh / total * 100 END, 4) AS generation_share_pct FROM mix JOIN t USING (country_code, local_date) WHERE completeness_status = 'complete' AND {_IN_SPINE}")
@@ -238,6 +241,20 @@ def fact_mix_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(star.fact_generation_mix_daily(mix(spark, sf_dir), *dimensions(spark)), "generation_mwh", "generation_share_pct")
 
 
+@query(
+    f"""{_ENERGY}, parts AS (SELECT country_code, local_date, sum(generation_mwh) AS total, coalesce(sum(generation_mwh) FILTER (renewable_flag), 0) AS renewable FROM mix WHERE completeness_status = 'complete' AND normalized_production_type <> 'solar' GROUP BY ALL),
+    pairs AS (SELECT country_code, local_date, 'total_generation_mwh' AS measure, total_generation_mwh AS a, total AS b FROM energy JOIN parts USING (country_code, local_date) UNION ALL SELECT country_code, local_date, 'renewable_generation_mwh', renewable_generation_mwh, renewable FROM energy JOIN parts USING (country_code, local_date))
+    SELECT {_DIM}, measure, round(a, 4) AS left_value, round(b, 4) AS right_value FROM pairs WHERE abs(a - b) > 0.5 AND {_IN_SPINE}"""
+)
+def generation_off_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The energy fact against a mix fact that has lost its solar rows."""
+    countries, dates = dimensions(spark)
+    fact = star.fact_energy_daily(demand(spark, sf_dir), price(spark, sf_dir), mix(spark, sf_dir), views.indicators(spark, sf_dir), countries, dates)
+    parts = star.fact_generation_mix_daily(mix(spark, sf_dir).filter("normalized_production_type != 'solar'"), countries, dates)
+    return rounded(star.generation_off_mix(fact, parts), "left_value", "right_value")
+
+
+
 _TALL = "tall AS (SELECT * FROM (SELECT 'C' || CAST(user_id % 3 AS VARCHAR) AS country_code, CAST(ts AS DATE) AS local_date, event_type AS source_variable, value, user_id, event_id FROM events) QUALIFY row_number() OVER (PARTITION BY country_code, local_date, source_variable ORDER BY event_id DESC) = 1)"
 _WIDE = "wide AS (SELECT country_code, local_date, max(value) FILTER (source_variable = 'view') AS avg_temperature_c, max(value) FILTER (source_variable = 'click') AS avg_wind_speed_kmh, max(value) FILTER (source_variable = 'signup') AS solar_radiation_mj_m2 FROM tall GROUP BY ALL)"
 _VARIABLES = {"view": "avg_temperature_c", "click": "avg_wind_speed_kmh", "signup": "solar_radiation_mj_m2"}
@@ -602,6 +619,16 @@ def availability_status(spark: SparkSession, sf_dir: str) -> DataFrame:
     return completeness.availability(outcomes, ["view", "click", "signup"])
 
 
+@query(
+    f"""SELECT country_code, CASE WHEN bool_or(dataset = 'click' AND status = 'success') THEN 'complete' WHEN bool_or(dataset = 'click' AND status = 'failed') THEN 'failed' ELSE 'unavailable' END AS availability,
+    CASE WHEN bool_or(dataset = 'click' AND status = 'success') THEN '' ELSE 'click' END AS missing_datasets FROM ({_OUTCOMES}) GROUP BY country_code"""
+)
+def single_dataset_availability(spark: SparkSession, sf_dir: str) -> DataFrame:
+    status = F.when(F.col("value") > 280, "success").when(F.col("value") > 20, "unavailable").otherwise("failed")
+    outcomes = views.table(spark, sf_dir, "events").select(F.col("user_id").alias("country_code"), F.col("event_type").alias("dataset"), status.alias("status"))
+    return completeness.availability(outcomes, ["click"])
+
+
 @query("WITH s AS (SELECT DISTINCT user_id, time_bucket(INTERVAL 3 HOURS, ts) AS slot FROM events), b AS (SELECT *, lag(slot) OVER (PARTITION BY user_id ORDER BY slot) AS before FROM s) SELECT user_id, before + INTERVAL 3 HOURS AS gap_start, CAST((epoch(slot) - epoch(before)) / 10800 - 1 AS BIGINT) AS missing_slots FROM b WHERE epoch(slot) - epoch(before) > 10800")
 def timeline_gaps(spark: SparkSession, sf_dir: str) -> DataFrame:
     slots = views.table(spark, sf_dir, "events").select("user_id", views.floor_to(F.col("ts").cast("timestamp"), 10_800).alias("slot"))
@@ -750,6 +777,11 @@ def quarantine_reasons(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.rejections(rejected, source_system=F.lit("orders"), country=F.col("o_custkey").cast("string"), dataset=F.lit("price"), processing_date=F.to_date("o_orderdate"), record_id=F.col("o_orderkey"), ingested_at=F.col("o_orderdate"))
 
 
+def _shown_keys() -> Column:
+    shown = F.transform("sample_keys", lambda k: F.concat_ws(":", k["l_orderkey"].cast("string"), F.coalesce(k["flag"], F.lit("-"))))
+    return F.array_join(shown, ",")
+
+
 @query(
     f"""WITH s AS ({_KEYED}), l AS (SELECT DISTINCT l_orderkey, coalesce(flag, '') AS flag FROM s WHERE l_linestatus = 'O'),
     m AS (SELECT s.*, l.l_orderkey IS NULL AS missing FROM s LEFT JOIN l ON l.l_orderkey = s.l_orderkey AND l.flag = coalesce(s.flag, '')),
@@ -762,8 +794,19 @@ def verified_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Lines against the loaded ones: a verdict for each source, with the first missing keys."""
     staged = _keyed(spark, sf_dir)
     found = revisions.verify_loaded(staged, staged.filter("l_linestatus = 'O'"), ["l_orderkey", "flag"], "l_linestatus")
-    shown = F.transform("sample_keys", lambda k: F.concat_ws(":", k["l_orderkey"].cast("string"), F.coalesce(k["flag"], F.lit("-"))))
-    return found.withColumn("sample_keys", F.array_join(shown, ","))
+    return found.withColumn("sample_keys", _shown_keys())
+
+
+@query(
+    f"""WITH s AS ({_KEYED}), k AS (SELECT * FROM (SELECT DISTINCT l_linestatus, l_orderkey, flag FROM s) QUALIFY row_number() OVER (PARTITION BY l_linestatus ORDER BY l_orderkey, flag NULLS FIRST) <= 5)
+    SELECT l_linestatus, 'no_table' AS status, staged_rows, staged_rows AS missing_rows, sample_keys FROM (SELECT l_linestatus, count(*) AS staged_rows FROM s GROUP BY l_linestatus)
+    JOIN (SELECT l_linestatus, string_agg(l_orderkey || ':' || coalesce(flag, '-'), ',' ORDER BY l_orderkey, flag NULLS FIRST) AS sample_keys FROM k GROUP BY l_linestatus) USING (l_linestatus)"""
+)
+def verified_without_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines whose table was never made: told for each source, not an error."""
+    loaded = tables.read_table(spark, f"never_made_{uuid.uuid4().hex}", optional=True)
+    found = revisions.verify_loaded(_keyed(spark, sf_dir), loaded, ["l_orderkey", "flag"], "l_linestatus")
+    return found.withColumn("sample_keys", _shown_keys())
 
 
 @query("SELECT event_id, event_type FROM events WHERE event_type NOT IN ('view', 'click')")
@@ -866,23 +909,64 @@ def pair_correlation(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(measures.pair_correlation(both, ["country_code"], "total_generation_mwh", "avg_temperature_c"), "correlation", digits=6)
 
 
+@query("SELECT CASE user_id % 3 WHEN 0 THEN 'Europe/Dublin' WHEN 1 THEN 'Europe/Berlin' END AS timezone, count(*) AS n_rows, count(DISTINCT user_id) AS n_users FROM events GROUP BY 1")
+def record_zones(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events by the zone of records in memory, one of which lacks its zone and another has a field
+    that the schema does not know."""
+    schema = T.StructType([T.StructField("rest", T.LongType()), T.StructField("timezone", T.StringType())])
+    records = tables.from_records(spark, [{"timezone": "Europe/Dublin", "rest": 0}, {"rest": 1, "timezone": "Europe/Berlin", "name": "x"}, {"rest": 2}], schema)
+    events = views.table(spark, sf_dir, "events").withColumn("rest", F.col("user_id") % 3)
+    return events.join(records, "rest").groupBy("timezone").agg(F.count(F.lit(1)).alias("n_rows"), F.count_distinct("user_id").alias("n_users"))
+
+
 # --- Documents -------------------------------------------------------------------------------
 
 _HOURS = "SELECT 'C' || CAST(user_id % 3 AS VARCHAR) AS country_code, date_trunc('hour', ts) AS h, max(value) AS value FROM events GROUP BY ALL"
 
 
-@query(f"SELECT country_code, h AS source_timestamp, value, 'PT60M' AS resolution, 'MAW' AS unit, 'A04' AS business_type FROM ({_HOURS})")
-def parse_market_xml(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Hourly maxima written as a document for each country-day, and parsed again."""
+def _market_documents(spark: SparkSession, sf_dir: str, kind: Column | None = None) -> DataFrame:
+    """country_code, day, document. ``kind`` is the element of the business type, by default of A04."""
     hours = views._events(spark, sf_dir).groupBy("country_code", F.date_trunc("hour", "ts").alias("h")).agg(F.max("value").alias("value"))
     point = F.concat(F.lit("<Point><position>"), (F.hour("h") + 1).cast("string"), F.lit("</position><quantity>"), F.col("value").cast("string"), F.lit("</quantity></Point>"))
     days = hours.groupBy("country_code", F.to_date("h").alias("day")).agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("h", point.alias("p")))), lambda x: x["p"]), "").alias("points"))
     head = '<?xml version="1.0" encoding="UTF-8"?><GL_MarketDocument xmlns="urn:example:load"><mRID>'
-    text = F.concat(F.lit(head), F.col("country_code"), F.lit("</mRID><TimeSeries><businessType>A04</businessType><quantity_Measure_Unit.name>MAW</quantity_Measure_Unit.name><Period><timeInterval><start>"), F.date_format("day", "yyyy-MM-dd"), F.lit("T00:00Z</start></timeInterval><resolution>PT60M</resolution>"), F.col("points"), F.lit("</Period></TimeSeries></GL_MarketDocument>"))
-    rows = documents.parse_market_xml(days.select("country_code", text.alias("document")), "load")
+    text = F.concat(F.lit(head), F.col("country_code"), F.lit("</mRID><TimeSeries>"), F.lit("<businessType>A04</businessType>") if kind is None else kind, F.lit("<quantity_Measure_Unit.name>MAW</quantity_Measure_Unit.name><Period><timeInterval><start>"), F.date_format("day", "yyyy-MM-dd"), F.lit("T00:00Z</start></timeInterval><resolution>PT60M</resolution>"), F.col("points"), F.lit("</Period></TimeSeries></GL_MarketDocument>"))
+    return days.select("country_code", "day", text.alias("document"))
+
+
+@query(f"SELECT country_code, h AS source_timestamp, value, 'PT60M' AS resolution, 'MAW' AS unit, 'A04' AS business_type FROM ({_HOURS})")
+def parse_market_xml(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hourly maxima written as a document for each country-day, and parsed again."""
+    rows = documents.parse_market_xml(_market_documents(spark, sf_dir).drop("day"), "load")
     return rows.select("country_code", F.col("source_timestamp").cast("timestamp_ntz").alias("source_timestamp"), "value", "resolution", "unit", "business_type")
 
 
+@query(
+    f"""SELECT country_code, '10Y-' || country_code AS domain, 'load' AS dataset_type, strftime(h, '%Y-%m-%dT%H:%M:%SZ') AS source_timestamp, 'PT60M' AS source_resolution, value, 'MAW' AS unit, CAST(NULL AS VARCHAR) AS production_type_raw, 'A04' AS business_type, CAST(NULL AS VARCHAR) AS currency,
+    strftime(h, '%Y-%m-%d') AS requested_start_date, strftime(h + INTERVAL 1 DAY, '%Y-%m-%d') AS requested_end_date, country_code AS source_document_mrid, 'market' AS source_system, strftime(h + INTERVAL 1 DAY, '%Y-%m-%dT06:00:00Z') AS ingestion_timestamp FROM ({_HOURS}) WHERE country_code <> 'C1'"""
+)
+def market_raw_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents of two datasets as a raw table by dataset, of which one is read again. Those of one
+    country tell no business type and are rejected."""
+    kind = F.when(F.col("country_code") == "C1", "").otherwise("<businessType>A04</businessType>")
+    points = documents.parse_market_xml(_market_documents(spark, sf_dir, kind), "load")
+    day = {"start": F.date_format("day", "yyyy-MM-dd"), "end": F.date_format(F.date_add("day", 1), "yyyy-MM-dd"), "ingested_at": F.date_format(F.date_add("day", 1), "yyyy-MM-dd'T'06:00:00'Z'")}
+    raw = documents.raw_table(points, domain=F.concat(F.lit("10Y-"), "country_code"), dataset="load", source_system="market", strict=False, **day)
+    path = _new_folder(spark)
+    raw.unionByName(raw.withColumn("dataset_type", F.lit("generation"))).write.partitionBy("dataset_type").parquet(path)
+    return windows.of_dataset(spark.read.parquet(path), "load")
+
+
+@query("SELECT event_id, CASE event_id % 6 WHEN 0 THEN 'data' WHEN 1 THEN 'no_data' ELSE 'error' END AS class FROM events")
+def document_classes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A document for each event, classified: of data, without any, refused with the same code, of
+    another dataset, cut off, absent."""
+    reason = "<Acknowledgement_MarketDocument><mRID>a</mRID><Reason><code>999</code><text>{}</text></Reason></Acknowledgement_MarketDocument>"
+    forms = ['<?xml version="1.0"?><GL_MarketDocument xmlns="urn:example:load"><mRID>m</mRID></GL_MarketDocument>', reason.format("No matching data found"), reason.format("The token is not valid"), "<Publication_MarketDocument><mRID>m</mRID></Publication_MarketDocument>", "<GL_MarketDocument><mRID>m</mRID>"]
+    document = F.element_at(F.array(*map(F.lit, forms), F.lit(None).cast("string")), (F.col("event_id") % 6 + 1).cast("int"))
+    return views.table(spark, sf_dir, "events").select("event_id", documents.classify_market_xml(document, "load").alias("class"))
+
+
 @query("SELECT 'C' || CAST(user_id % 3 AS VARCHAR) AS country_code, strftime(ts, '%Y-%m-%d') AS observation_date, unnest(['highest', 'lowest']) AS source_variable, unnest([max(value), min(value)]) AS source_value, unnest(['MW', 'kW']) AS source_unit FROM events GROUP BY 1, 2")
 def parse_daily_json(spark: SparkSession, sf_dir: str) -> DataFrame:
     days = views._events(spark, sf_dir).groupBy("country_code", F.date_format("ts", "yyyy-MM-dd").alias("d")).agg(F.max("value").alias("hi"), F.min("value").alias("lo"))

@@ -10,6 +10,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions.scalar import kwh_per_capita, safe_pct
+from ..operators.quality import reconcile
 from ..sources.tables import date_spine
 
 DAY = ["country_code", "local_date"]
@@ -96,3 +97,17 @@ def fact_generation_mix_daily(mix: DataFrame, countries: DataFrame, dates: DataF
     rows = marked.withColumn("generation_share_pct", share).filter("completeness_status = 'complete'")
     rows = rows.select(*DAY, F.col("normalized_production_type").alias("production_type"), "generation_mwh", "renewable_flag", "generation_share_pct")
     return with_dimensions(rows, countries, dates)
+
+
+def generation_off_mix(fact: DataFrame, mix_fact: DataFrame, tolerance: float = 0.5) -> DataFrame:
+    """Days on which an energy fact's total or renewable generation is not what its mix adds up to:
+    country_key, date_key, measure, left_value (the fact's), right_value (the mix's). Days that only
+    one of the two has, or whose value the fact does not know, are not compared."""
+    keys = ["country_key", "date_key"]
+    sums = mix_fact.groupBy(*keys).agg(F.sum("generation_mwh").alias("total_generation_mwh"), F.sum(F.when(F.col("renewable_flag"), F.col("generation_mwh")).otherwise(0.0)).alias("renewable_generation_mwh"))
+
+    def tall(df: DataFrame) -> DataFrame:
+        each = F.array(*[F.struct(F.lit(c).alias("measure"), F.col(c).alias("value")) for c in ("total_generation_mwh", "renewable_generation_mwh")])
+        return df.select(*keys, F.explode(each).alias("_m")).select(*keys, "_m.measure", "_m.value")
+
+    return reconcile(tall(fact), tall(sums), [*keys, "measure"], "value", "value", tolerance)

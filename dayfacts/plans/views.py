@@ -53,12 +53,20 @@ def variables_tall(spark: SparkSession, sf_dir: str) -> DataFrame:
     return best.select("country_code", "local_date", "source_variable", F.col("b.value").alias("value"), F.col("b.user_id").alias("user_id"), "event_id")
 
 
-def annual(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Customers and order value by country and year, the years moved to those of the events."""
+def indicators(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Customers, order value, also by customer, and the share of orders of customers in credit, by
+    country and year, the years moved to those of the events."""
     orders, customers = table(spark, sf_dir, "orders"), table(spark, sf_dir, "customer")
     joined = orders.join(customers, F.col("o_custkey") == F.col("c_custkey"))
     key = F.concat(F.lit("C"), (F.col("c_nationkey") % 3).cast("string")).alias("country_code")
-    return joined.groupBy(key, (F.year("o_orderdate") + 26).alias("year")).agg(F.count_distinct("c_custkey").alias("population"), F.sum(F.col("o_totalprice").cast("decimal(18,2)")).cast("double").alias("gdp_constant_2015_usd"))
+    value, people = F.sum(F.col("o_totalprice").cast("decimal(18,2)")).cast("double"), F.count_distinct("c_custkey")
+    credit = F.avg(F.when(F.col("c_acctbal") >= 0, 100.0).otherwise(0.0))
+    sums = joined.groupBy(key, (F.year("o_orderdate") + 26).alias("year")).agg(people.alias("population"), value.alias("gdp_constant_2015_usd"), credit.alias("urban_population_pct"))
+    return sums.withColumn("gdp_per_capita_constant_2015_usd", F.col("gdp_constant_2015_usd") / F.col("population"))
+
+
+def annual(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return indicators(spark, sf_dir).select("country_code", "year", "population", "gdp_constant_2015_usd")
 
 
 def daily_orders(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.scalar import duration_hours
+from .schemas import ENERGY
 
 _POINT = "struct<position:int,quantity:double,`price.amount`:double>"
 _PERIOD = f"struct<timeInterval:struct<start:string,end:string>,resolution:string,Point:array<{_POINT}>>"
@@ -93,6 +94,14 @@ def market_rows_to_raw(points: DataFrame, *, strict: bool = True) -> DataFrame:
     return points.withColumn("source_timestamp", F.date_format("source_timestamp", "yyyy-MM-dd'T'HH:mm:ss'Z'")).withColumnRenamed("resolution", "source_resolution")
 
 
+def raw_table(points: DataFrame, *, domain: Column, dataset: str, start: Column, end: Column, source_system: str, ingested_at: Column, strict: bool = True) -> DataFrame:
+    """Points of ``parse_market_xml``, whose documents also have a country_code, as rows of the raw
+    energy table: every column of its schema, in its order."""
+    rows = market_rows_to_raw(points, strict=strict)
+    told = {"domain": domain, "dataset_type": F.lit(dataset), "requested_start_date": start, "requested_end_date": end, "source_system": F.lit(source_system), "ingestion_timestamp": ingested_at}
+    return rows.withColumns(told).select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in ENERGY])
+
+
 def parse_daily_json(docs: DataFrame, variables: list[str], *, json_col: str = "document") -> DataFrame:
     """Daily JSON with parallel arrays to tall rows: the other columns, the coordinates, zone and
     offset that came back, observation_date, source_variable, source_value, source_unit. Arrays

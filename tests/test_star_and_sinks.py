@@ -107,3 +107,11 @@ def test_jdbc_upsert_replaces_by_key(spark, tmp_path):
     for _ in range(2):
         write("facts", spark.createDataFrame([("b", 20), ("c", 3)], "k string, v int"))
     assert sorted(tuple(r) for r in spark.read.jdbc(url, "facts").collect()) == [("a", 1), ("b", 20), ("c", 3)]
+
+
+def test_facts_that_do_not_add_up_to_their_mix(spark):
+    fact = spark.createDataFrame([("A", 1, 10.0, 4.0), ("A", 2, 10.0, 4.0), ("A", 3, None, None), ("A", 4, 10.4, 0.0)], "country_key string, date_key int, total_generation_mwh double, renewable_generation_mwh double")
+    rows = [("A", 1, 6.0, False), ("A", 1, 4.0, True), ("A", 2, 6.0, False), ("A", 2, 3.0, True), ("A", 3, 1.0, True), ("A", 4, 10.0, False), ("B", 1, 5.0, True)]
+    parts = spark.createDataFrame(rows, "country_key string, date_key int, generation_mwh double, renewable_flag boolean")
+    got = {tuple(r) for r in star.generation_off_mix(fact, parts).collect()}
+    assert got == {("A", 2, "total_generation_mwh", 10.0, 9.0), ("A", 2, "renewable_generation_mwh", 4.0, 3.0)}
