@@ -4,25 +4,53 @@ from __future__ import annotations
 
 from pyspark.sql import types as T
 
-_TYPES = {"string": T.StringType(), "double": T.DoubleType(), "int": T.IntegerType(), "long": T.LongType()}
-
-
-def _fields(columns: str) -> list[T.StructField]:
-    """Fields from ``name type [not null]``, separated by commas; no session is needed."""
-    parts = [c.split() for c in columns.split(", ")]
-    return [T.StructField(p[0], _TYPES[p[1]], p[2:] != ["not", "null"]) for p in parts]
-
-
 #: The layout of the raw tables.
-ENERGY = T.StructType(_fields(
-    "country_code string not null, domain string not null, dataset_type string not null, source_timestamp string not null, source_resolution string not null, value double not null, unit string, production_type_raw string, business_type string, currency string, requested_start_date string not null, requested_end_date string not null, source_document_mrid string, source_system string not null, ingestion_timestamp string not null"
-))
-WEATHER = T.StructType(_fields(
-    "country_code string not null, country_name string not null, reference_location string not null, latitude double not null, longitude double not null, timezone string not null, returned_latitude double, returned_longitude double, returned_timezone string, utc_offset_seconds long, observation_date string not null, source_variable string not null, source_value double, source_unit string, source_endpoint string not null, source_system string not null, ingestion_timestamp string not null"
-))
-INDICATORS = T.StructType(_fields(
-    "country_code string not null, country_name string not null, indicator_code string not null, indicator_name string not null, year int not null, value double, source_system string not null, ingestion_timestamp string not null"
-))
+ENERGY = T.StructType([
+    T.StructField("country_code", T.StringType(), nullable=False),
+    T.StructField("domain", T.StringType(), nullable=False),
+    T.StructField("dataset_type", T.StringType(), nullable=False),
+    T.StructField("source_timestamp", T.StringType(), nullable=False),
+    T.StructField("source_resolution", T.StringType(), nullable=False),
+    T.StructField("value", T.DoubleType(), nullable=False),
+    T.StructField("unit", T.StringType()),
+    T.StructField("production_type_raw", T.StringType()),
+    T.StructField("business_type", T.StringType()),
+    T.StructField("currency", T.StringType()),
+    T.StructField("requested_start_date", T.StringType(), nullable=False),
+    T.StructField("requested_end_date", T.StringType(), nullable=False),
+    T.StructField("source_document_mrid", T.StringType()),
+    T.StructField("source_system", T.StringType(), nullable=False),
+    T.StructField("ingestion_timestamp", T.StringType(), nullable=False),
+])
+WEATHER = T.StructType([
+    T.StructField("country_code", T.StringType(), nullable=False),
+    T.StructField("country_name", T.StringType(), nullable=False),
+    T.StructField("reference_location", T.StringType(), nullable=False),
+    T.StructField("latitude", T.DoubleType(), nullable=False),
+    T.StructField("longitude", T.DoubleType(), nullable=False),
+    T.StructField("timezone", T.StringType(), nullable=False),
+    T.StructField("returned_latitude", T.DoubleType()),
+    T.StructField("returned_longitude", T.DoubleType()),
+    T.StructField("returned_timezone", T.StringType()),
+    T.StructField("utc_offset_seconds", T.LongType()),
+    T.StructField("observation_date", T.StringType(), nullable=False),
+    T.StructField("source_variable", T.StringType(), nullable=False),
+    T.StructField("source_value", T.DoubleType()),
+    T.StructField("source_unit", T.StringType()),
+    T.StructField("source_endpoint", T.StringType(), nullable=False),
+    T.StructField("source_system", T.StringType(), nullable=False),
+    T.StructField("ingestion_timestamp", T.StringType(), nullable=False),
+])
+INDICATORS = T.StructType([
+    T.StructField("country_code", T.StringType(), nullable=False),
+    T.StructField("country_name", T.StringType(), nullable=False),
+    T.StructField("indicator_code", T.StringType(), nullable=False),
+    T.StructField("indicator_name", T.StringType(), nullable=False),
+    T.StructField("year", T.IntegerType(), nullable=False),
+    T.StructField("value", T.DoubleType()),
+    T.StructField("source_system", T.StringType(), nullable=False),
+    T.StructField("ingestion_timestamp", T.StringType(), nullable=False),
+])
 
 #: Business keys of the raw tables.
 KEYS = {

@@ -5,7 +5,9 @@ import pytest
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
+from dayfacts.operators import windows
 from dayfacts.sources import documents as D
+from dayfacts.sources import schemas
 
 HEAD = '<?xml version="1.0" encoding="UTF-8"?>\n<{root} xmlns="urn:example:{root}:3:0">\n  <mRID>doc-1</mRID>\n'
 
@@ -91,3 +93,14 @@ def test_indicator_json(spark):
     for bad in (json.dumps([{"message": [{"id": "120"}]}]), "{}", "no json", None):
         with pytest.raises(PySparkException):
             D.parse_indicator_json(spark.createDataFrame([(bad,)], cols)).collect()
+
+
+def test_raw_rows_have_every_column_of_the_table(spark):
+    points = parsed(spark, market(series([(1, 3500.5)], kind="A04"), series([(2, 1.0)], kind="A04")))
+    told = {"domain": F.lit("10Y"), "start": F.lit("2024-01-01"), "end": F.lit("2024-01-02"), "ingested_at": F.lit("2024-01-02T06:00:00Z")}
+    raw = D.raw_table(points, dataset="load", source_system="market", **told)
+    assert schemas.schema_problems(raw.schema, schemas.ENERGY) == [] and raw.columns == schemas.ENERGY.names
+    first = raw.orderBy("source_timestamp").first().asDict()
+    assert (first["source_timestamp"], first["value"], first["dataset_type"], first["requested_end_date"], first["currency"]) == ("2024-01-01T00:00:00Z", 3500.5, "load", "2024-01-02", None)
+    both = raw.unionByName(raw.withColumn("dataset_type", F.lit("price"))).unionByName(raw.withColumn("dataset_type", F.lit(None).cast("string")))
+    assert windows.of_dataset(both, "load").count() == 2 and windows.of_dataset(both, "load", "price").count() == 4
