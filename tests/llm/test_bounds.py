@@ -33,12 +33,11 @@ def test_clashing_columns_are_carried(spark):
     assert sorted((r.doc_id, r._size, r._row, r._block["a"]) for r in out.collect()) == [(i, i, "mine", i) for i in range(30)]
 
 
-@pytest.mark.parametrize("max_sources", [4096, 4])
-def test_a_source_without_a_weight_is_told(spark, max_sources):
+def test_a_source_without_a_weight_is_told(spark):
     docs = spark.range(50).selectExpr("id AS doc_id", "concat('s', id % 10) AS source")
     weights = {f"s{i}": 1.0 for i in range(9)}
     with pytest.raises(KeyError):
-        X.mix(docs, weights=weights, size_col=None, block_size=1, max_sources=max_sources).count()
+        X.mix(docs, weights=weights, size_col=None, block_size=1).count()
 
 
 def test_files_without_rate_or_with_two_channels_give_nulls(spark):

@@ -29,31 +29,25 @@ def test_deviation_from_the_exact_weights_does_not_grow(spark):
     assert slot > 25_000
 
 
-def test_periods_place_every_block_once():
-    blocks, weights = {0: 700, 1: 41, 2: 3000, 3: 0, 4: 1}, {0: 333_333, 1: 77_777, 2: 500_001, 3: 9, 4: 1}
-    placed, slots = [], []
-    for slot, first, size, names, parts, earlier, done, upto in X.periods(blocks, weights, 100):
-        at = list(done)
-        for k, i in enumerate(X.period_order(first, parts, done, upto)[:size]):
-            placed.append((names[i], earlier[i] + at[i]))
-            slots.append(slot + k)
-            at[i] += 1
-    assert slots == list(range(sum(blocks.values())))
-    assert sorted(placed) == [(s, b) for s, n in blocks.items() for b in range(n)]
-
-
-def test_no_source_is_a_block_off_within_periods():
-    """Random weights, periods down to one slot: every slot of every phase within one block."""
+def test_random_weights_and_periods():
+    """Random weights, periods down to one slot: every block once and in its window."""
     rng = random.Random(3)
     for _ in range(80):
         share = [rng.random() ** rng.choice([1, 3, 8]) + 1e-9 for _ in range(rng.randint(1, 25))]
-        weights = {i: max(1, round(X.PARTS * w / sum(share))) for i, w in enumerate(share)}
-        blocks = {i: rng.randint(1, 200) for i in weights}
-        seen = Counter()
-        for _, first, size, names, parts, _, done, upto in X.periods(blocks, weights, rng.choice([1, 2, 5, 50])):
-            at, total = list(done), sum(parts)
-            for slot, i in enumerate(X.period_order(first, parts, done, upto)[:size], first + 1):
-                at[i] += 1
-                assert all(abs(n * total - slot * w) < total for n, w in zip(at, parts))
-            seen.update({names[i]: n - m for i, (n, m) in enumerate(zip(at, done))})
-        assert seen == blocks
+        weights = [max(1, round(X.PARTS * w / sum(share))) for w in share]
+        blocks = [rng.randint(1, 200) for _ in weights]
+        fluid = X.Fluid(blocks, weights)
+        seen, slot, total, whole = Counter(), 0, sum(weights), True
+        for first, end, done, upto in X.periods(fluid, rng.choice([1, 2, 5, 50])):
+            assert first == slot and [seen[s] for s in range(len(blocks))] == done.tolist()
+            for s, k in zip(*X.period_order(fluid, first, done, upto)):
+                assert seen[s] == k
+                seen[s] += 1
+                slot += 1
+                whole = whole and all(seen[i] < n for i, n in enumerate(blocks))
+                if whole:
+                    assert all(abs(seen[i] * total - slot * w) < total for i, w in enumerate(weights))
+                due = fluid.whole(slot)
+                assert all(due[i] - 1 < seen[i] < due[i] + 2 for i in range(len(blocks)))
+            assert slot == end
+        assert [seen[s] for s in range(len(blocks))] == blocks
