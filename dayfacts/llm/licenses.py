@@ -137,7 +137,7 @@ def known_digests(spark: SparkSession, known: list[tuple[str, str, str]] | None
 
 def possible_lengths(sizes: list[int]) -> list[tuple[int, int]]:
     """Ranges of lengths from which settling the spellings can lead to one of ``sizes`` (sorted):
-    a spelling shrinks by a fifth or grows by a seventh at most."""
+    a spelling shrinks by a fifth or grows by a sixth at most."""
     ranges: list[tuple[int, int]] = []
     for n in sizes:
         low, high = n * 3 // 4, n * 4 // 3

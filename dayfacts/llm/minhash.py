@@ -6,7 +6,8 @@
    estimate the similarity by bit counts, corrected for chance agreement of the low bits.
 3. What the estimate lets pass is compared exactly, on whole sets, and linked (``linking``).
 
-The only tables shuffled are narrow ones, and the sets of nodes that have candidates.
+Narrow tables are shuffled, and the sets of nodes that have candidates; where these nodes are too
+many to be broadcast (``common.join_sized``), so are the texts, once.
 """
 
 from __future__ import annotations

@@ -1,4 +1,4 @@
-"""Registered queries of the corpus operators against their SQL in DuckDB, and op8 and op6 against
+"""Registered queries of the corpus operators against their SQL in DuckDB, and op1 and op8 against
 brute force, on the smallest tables."""
 
 import os
