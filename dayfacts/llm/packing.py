@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Callable, Iterator
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -39,6 +40,11 @@ ARROW = pa.schema(
 #: Text for which both tokenizer libraries agree on what is a letter, a number or a space.
 PLAIN = re.compile(r"[\n\r\t\x20-\x7e\xa1-\xac\xae-ȳ‐-‧€]*")
 
+#: The public split into pre-tokens but for white space, whose last character it leaves to what follows.
+WORDS = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+"
+#: After this a pre-token ends in any case; between two such ends white space needs no look-ahead.
+BEFORE_LAST_SPACE = re.compile(r"\s(?=\s\S)")
+
 
 def byte_bpe_encoder(json_path: str, ranks_path: str | None, pattern: str | None) -> Callable[[str], np.ndarray]:
     """text -> uint32 ids of a byte-level BPE tokenizer file.
@@ -47,12 +53,17 @@ def byte_bpe_encoder(json_path: str, ranks_path: str | None, pattern: str | None
     because every token of a trained BPE is what its own bytes merge to (tested over the whole
     vocabulary); the two libraries' character classes could differ only outside ``PLAIN``, and
     such texts, like those that hold the special token, go to the tokenizer file itself.
+
+    The ranks' encoder is given the special tokens, though no text that it gets holds one: with
+    none it looks for the empty string at every character. A pattern with a look-ahead takes the
+    slower of its two regex engines, so texts are cut where white space leaves its last character
+    to what follows, and the parts split without it; texts with many such places stay whole.
     """
     from tokenizers import Tokenizer
 
     slow = Tokenizer.from_file(json_path)
-    special = [t.content for t in slow.get_added_tokens_decoder().values()]
-    fast = None
+    special = {t.content: i for i, t in slow.get_added_tokens_decoder().items()}
+    fast = plain = None
     if ranks_path:
         import base64
 
@@ -60,11 +71,17 @@ def byte_bpe_encoder(json_path: str, ranks_path: str | None, pattern: str | None
 
         with open(ranks_path, "rb") as f:
             ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
-        fast = tiktoken.Encoding("ranks", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
+        fast = tiktoken.Encoding("ranks", pat_str=pattern, mergeable_ranks=ranks, special_tokens=special)
+        if pattern == WORDS + r"|\s+(?!\S)|\s+":
+            plain = tiktoken.Encoding("parts", pat_str=WORDS + r"|\s+", mergeable_ranks=ranks, special_tokens=special)
 
     def encode(text: str) -> np.ndarray:
         if fast is not None and PLAIN.fullmatch(text) and not any(s in text for s in special):
-            return fast.encode_to_numpy(text, disallowed_special=())
+            most = len(text) // 64
+            ends = [m.end() for m in islice(BEFORE_LAST_SPACE.finditer(text), most + 1)] if plain else []
+            if plain is None or len(ends) > most:
+                return fast.encode_to_numpy(text, disallowed_special=())
+            return np.concatenate([plain.encode_to_numpy(text[a:b], disallowed_special=()) for a, b in zip([0, *ends], [*ends, len(text)])])
         return np.array(slow.encode(text, add_special_tokens=False).ids, dtype=np.uint32)
 
     return encode

@@ -79,6 +79,34 @@ def test_both_encoders_agree_on_odd_texts():
         assert encode(text).tolist() == slow.encode(text, add_special_tokens=False).ids, repr(text)
 
 
+def test_white_space_is_cut_as_the_pattern_does():
+    encode = K.public_encoder()()
+    slow = Tokenizer.from_file(P.path("byte_bpe_50k.json"))
+    rng = random.Random(7)
+    texts = ["a  b", "a   \n", "  a", "\n\n\na \n b\r\n\r\n  c\t", "x" + " " * 3000 + "y", "a \n" * 500, "''t  'll 's"]
+    texts += ["".join(rng.choice("aZé1½'.!  \n\r\t\t") for _ in range(80)) for _ in range(400)]
+    texts += ["".join(rng.choice(["word ", "It's", " 12", "...", "ü", "a  b", " \n c", "\n\n"] + ["plain words here"] * 20) for _ in range(60)) for _ in range(200)]  # cut
+    for text in texts:
+        assert encode(text).tolist() == slow.encode(text, add_special_tokens=False).ids, repr(text)
+
+
+def test_encoding_needs_no_slow_search(monkeypatch):
+    """Neither a look-ahead, nor an empty set of special tokens that is looked for at every character."""
+    import tiktoken
+
+    made = []
+
+    class Seen(tiktoken.Encoding):
+        def __init__(self, *a, **b):
+            made.append(b)
+            super().__init__(*a, **b)
+
+    monkeypatch.setattr(tiktoken, "Encoding", Seen)
+    K.public_encoder()()
+    assert all(m["special_tokens"] == {"<|endoftext|>": 50256} for m in made)
+    assert any("(?" not in m["pat_str"] for m in made)
+
+
 def test_placement_minimises_the_sum_of_squares():
     rng = random.Random(5)
     packer = K.LevelPacker(16)
