@@ -113,7 +113,8 @@ def local_day_gaps(readings: DataFrame, days: DataFrame, keys: list[str], start_
     ``readings`` is keys, start (an instant), hours; ``days`` keys, local_date, timezone, one zone
     for a key. Readings of any mixture of lengths count once where they overlap; those without a
     start, or not longer than 0, are nothing. A day without readings is one gap. One sort of the
-    readings by key and day; no spine of slots is built.
+    readings by key and day; no spine of slots is built. Days that repeat leave nothing open after
+    their first and are not folded, so no table of all days is held.
     """
     midnight = lambda day: F.unix_micros(F.to_utc_timestamp(day.cast("timestamp"), F.col("timezone")))
     zone = days.select(*keys, "timezone").distinct()
@@ -121,7 +122,7 @@ def local_day_gaps(readings: DataFrame, days: DataFrame, keys: list[str], start_
     spans = readings.filter(F.col(start_col).isNotNull() & (F.col(hours_col) > 0)).select(*keys, begins.alias("_s"), (begins + (F.col(hours_col) * 3_600_000_000).cast("long")).alias("_e"))
     at = lambda micros: local_date(F.timestamp_micros(micros), F.col("timezone"))
     spread = spans.join(zone, keys).withColumn("local_date", F.explode(F.sequence(at(F.col("_s")), at(F.col("_e") - 1)))).select(*keys, "local_date", "timezone", "_s", "_e", F.lit(False).alias("_end"))
-    ends = days.select(*keys, "local_date", "timezone").distinct().withColumn("_s", midnight(F.date_add("local_date", 1))).select("*", F.col("_s").alias("_e"), F.lit(True).alias("_end"))
+    ends = days.select(*keys, "local_date", "timezone").withColumn("_s", midnight(F.date_add("local_date", 1))).select("*", F.col("_s").alias("_e"), F.lit(True).alias("_end"))
     group = W.partitionBy(*keys, "local_date")
     earlier = group.orderBy("_s", "_end", "_e").rowsBetween(W.unboundedPreceding, -1)
     marked = spread.unionByName(ends).withColumns({"_before": F.max("_e").over(earlier), "_wanted": F.max("_end").over(group)}).filter("_wanted")

@@ -696,10 +696,12 @@ _UTC_MIDNIGHT = "timezone('UTC', timezone(timezone, CAST({} AS TIMESTAMP)))"
 )
 def local_day_gaps(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What each user's readings, of three lengths and moved to the spring, leave open of the local
-    days of five weeks with a day of 23 hours."""
+    days of five weeks with a day of 23 hours. The users are few bytes, which adaptive execution would
+    put into one task, so they are dealt out by number before each becomes all its days."""
     obs = views.obs_load(spark, sf_dir, slot_seconds=900, columns=["user_id"]).join(F.broadcast(views.zones(spark)), "country_code")
     readings = obs.select("user_id", (F.col("slot") + F.expr("interval 75 days")).alias("slot"), duration_hours(F.col("source_resolution")).alias("hours"))
-    days = obs.select("user_id", "timezone").distinct().withColumn("local_date", F.explode(F.sequence(F.lit(_GAP_DAYS[0]), F.lit(_GAP_DAYS[1]))))
+    users = obs.select("user_id", "timezone").distinct().repartition(2 * spark.sparkContext.defaultParallelism)
+    days = users.withColumn("local_date", F.explode(F.sequence(F.lit(_GAP_DAYS[0]), F.lit(_GAP_DAYS[1]))))
     found = intervals.local_day_gaps(readings, days, ["user_id"], "slot", "hours")
     return rounded(found.withColumns({c: F.col(c).cast("timestamp_ntz") for c in ("gap_start", "gap_end")}), "gap_hours")
 

@@ -77,6 +77,26 @@ def test_gaps_of_local_days(spark):
     assert gaps(spark, rows, []) == []
 
 
+def test_days_of_a_gap_are_neither_folded_nor_expanded_in_one_task(spark):
+    import re
+
+    from __spark_entry__ import queries
+
+    plan = queries()["local_day_gaps"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
+    assert not re.search(r"Aggregate\(keys?=\[[^\]]*local_date", plan)
+    assert f"RoundRobinPartitioning({2 * spark.sparkContext.defaultParallelism})" in plan
+
+
+def test_expected_days_may_repeat(spark):
+    days = [("a", D(2024, 3, 31), "Europe/Berlin"), ("b", D(2024, 3, 31), "Europe/Berlin")]
+    rows = [("a", "2024-03-31 12:00", 1.0), ("a", "2024-03-31 21:30", 0.5)]  # the second up to midnight
+    assert gaps(spark, rows, days * 3) == gaps(spark, rows, days) == [
+        ("a", "2024-03-31", "03-30 23:00", "03-31 12:00", 13.0),
+        ("a", "2024-03-31", "03-31 13:00", "03-31 21:30", 8.5),
+        ("b", "2024-03-31", "03-30 23:00", "03-31 22:00", 23.0),
+    ]
+
+
 def test_month_chunks(spark):
     from dayfacts.operators import windows as X
 
