@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import sys
 
+import pyarrow as pa
 from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -38,6 +39,13 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def local_table(spark: SparkSession, columns: dict[str, pa.Array]) -> DataFrame:
+    """A small table from the driver. As Arrow it goes straight to the JVM; from a list of rows
+    Spark would pickle it anew on the executors, in a second Python daemon with workers of its own
+    that stay, some 80 MB an executor of two cores."""
+    return spark.createDataFrame(pa.table(columns))
+
+
 def text_key(text: Column) -> Column:
     """The 64-bit hash of a text (null: empty) that tells apart rows which share an id."""
     return F.xxhash64(F.coalesce(text.cast("string"), F.lit("")))

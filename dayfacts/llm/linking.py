@@ -22,7 +22,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import at_end, cut, join_sized, ship
+from .common import at_end, cut, join_sized, local_table, ship
 from .components import components
 from .shingles import shared
 
@@ -124,7 +124,7 @@ def shared_buckets(banded: DataFrame) -> DataFrame:
     cold = part_buckets(packed_pairs(banded, 2 * int(spark.conf.get("spark.sql.shuffle.partitions")), hot))
     if not hot:
         return cold
-    listed = F.broadcast(spark.createDataFrame([(k,) for k in hot], "key long"))
+    listed = F.broadcast(local_table(spark, {"key": pa.array(hot, pa.int64())}))
     lying = banded.select(F.explode("bands").alias("key"), "id").join(listed, "key")
     hubs = lying.groupBy("key").agg(F.min("id").alias("hub"))
     met = lying.join(F.broadcast(hubs), "key").filter("id != hub").select("key", "id", "hub").distinct()

@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .common import cut, join_sized, ship
+from .common import cut, join_sized, local_table, ship
 
 ship(__name__)
 
@@ -251,7 +251,7 @@ def mix(docs: DataFrame, *, weights: dict[str | None, float] | None = None, id_c
     ranked = salted.withColumn("_n", F.row_number().over(within)).withColumn("_before", F.sum("_size").over(within.rowsBetween(W.unboundedPreceding, 0)) - F.col("_size"))
     placed = ranked.join(offsets, ["_key", "_salt"])
     placed = placed.withColumn("mix_block", F.expr(f"(_size_before + _before) div {int(block_size)}")).withColumn("mix_rank", F.col("_rows_before") + F.col("_n") - 1)
-    names = spark.createDataFrame([(i, r["source"]) for i, r in enumerate(found)], "_place long, _source string")
+    names = local_table(spark, {"_place": pa.array(range(len(found)), pa.int64()), "_source": pa.array([r["source"] for r in found], pa.string())})
     turns = ordered(spark.createDataFrame(planned(fluid, length)), fluid)
     slots = cut(join_sized(turns, names, "_place", "inner").select("_source", "_block", "_slot"))
     on = F.col("_from").eqNullSafe(F.col("_source")) & (F.col("mix_block") == F.col("_block"))

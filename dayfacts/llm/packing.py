@@ -8,6 +8,7 @@ array over the levels. Whatever is open when a task ends is consolidated by cutt
 
 from __future__ import annotations
 
+import json
 import re
 from collections.abc import Callable, Iterator
 from itertools import islice
@@ -46,24 +47,33 @@ WORDS = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+"
 BEFORE_LAST_SPACE = re.compile(r"\s(?=\s\S)")
 
 
+def special_tokens(json_path: str) -> dict[str, int]:
+    """Special tokens of a tokenizer file; its vocabulary and merges, which come last, stay unparsed."""
+    with open(json_path, encoding="utf-8") as f:
+        text = f.read()
+    try:
+        found = json.loads(re.split(r',\s*"vocab"\s*:', text, maxsplit=1)[0] + "}}")["added_tokens"]
+    except (ValueError, KeyError):  # in another order
+        found = json.loads(text)["added_tokens"]
+    return {t["content"]: t["id"] for t in found}
+
+
 def byte_bpe_encoder(json_path: str, ranks_path: str | None, pattern: str | None) -> Callable[[str], np.ndarray]:
     """text -> uint32 ids of a byte-level BPE tokenizer file.
 
     The same vocabulary given as ranks is encoded several times faster. Its merges are the same
     because every token of a trained BPE is what its own bytes merge to (tested over the whole
     vocabulary); the two libraries' character classes could differ only outside ``PLAIN``, and
-    such texts, like those that hold the special token, go to the tokenizer file itself.
+    such texts, like those that hold the special token, go to the tokenizer file itself. That takes
+    more memory than all the rest and is opened when the first of them comes.
 
     The ranks' encoder is given the special tokens, though no text that it gets holds one: with
     none it looks for the empty string at every character. A pattern with a look-ahead takes the
     slower of its two regex engines, so texts are cut where white space leaves its last character
     to what follows, and the parts split without it; texts with many such places stay whole.
     """
-    from tokenizers import Tokenizer
-
-    slow = Tokenizer.from_file(json_path)
-    special = {t.content: i for i, t in slow.get_added_tokens_decoder().items()}
-    fast = plain = None
+    special = special_tokens(json_path)
+    slow = fast = plain = None
     if ranks_path:
         import base64
 
@@ -76,12 +86,17 @@ def byte_bpe_encoder(json_path: str, ranks_path: str | None, pattern: str | None
             plain = tiktoken.Encoding("parts", pat_str=WORDS + r"|\s+", mergeable_ranks=ranks, special_tokens=special)
 
     def encode(text: str) -> np.ndarray:
+        nonlocal slow
         if fast is not None and PLAIN.fullmatch(text) and not any(s in text for s in special):
             most = len(text) // 64
             ends = [m.end() for m in islice(BEFORE_LAST_SPACE.finditer(text), most + 1)] if plain else []
             if plain is None or len(ends) > most:
                 return fast.encode_to_numpy(text, disallowed_special=())
             return np.concatenate([plain.encode_to_numpy(text[a:b], disallowed_special=()) for a, b in zip([0, *ends], [*ends, len(text)])])
+        if slow is None:
+            from tokenizers import Tokenizer
+
+            slow = Tokenizer.from_file(json_path)
         return np.array(slow.encode(text, add_special_tokens=False).ids, dtype=np.uint32)
 
     return encode

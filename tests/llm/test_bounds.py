@@ -2,13 +2,15 @@
 
 import struct
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
+from dayfacts.llm import linking
 from dayfacts.llm import media as M
 from dayfacts.llm import mixing as X
 from dayfacts.llm import quality, toxicity
-from dayfacts.llm.common import first_rows
+from dayfacts.llm.common import cut, first_rows, local_table
 
 
 def test_first_rows_are_bounded_by_number_and_bytes(spark):
@@ -26,6 +28,27 @@ def test_one_id_on_very_many_rows(spark):
     assert quality.fit(docs, labels, max_rows=200) is not None
 
 
+def test_driver_tables_start_no_second_python_daemon(spark, monkeypatch):
+    """Lists of rows go through a Python worker of Spark's RDDs on every executor; Arrow tables do not."""
+    plan = lambda df: df._jdf.queryExecution().toRdd().toDebugString()
+    docs = cut(spark.range(40).selectExpr("id AS doc_id", "nullif(concat('s', id % 3), 's0') AS source", "10L AS n_chars"))
+    banded = cut(spark.range(40).selectExpr("id", "array(7L, id div 2) AS bands"))
+    table = local_table(spark, {"a": pa.array([1, 2], pa.int64()), "b": pa.array(["x", None], pa.string())})
+    assert table.dtypes == [("a", "bigint"), ("b", "string")] and [tuple(r) for r in table.collect()] == [(1, "x"), (2, None)]
+    assert "PythonRDD" in plan(spark.createDataFrame([(1, "x")], "a long, b string")) and "PythonRDD" not in plan(table)
+
+    def as_arrow(self, data, *a, made=type(spark).createDataFrame, **b):
+        assert isinstance(data, pa.Table)
+        return made(self, data, *a, **b)
+
+    monkeypatch.setattr(type(spark), "createDataFrame", as_arrow)
+    monkeypatch.setattr(linking, "SAMPLE", 1)
+    monkeypatch.setattr(linking, "HOT_COUNT", 10)
+    assert sorted(r.doc_id for r in X.mix(docs, block_size=20).collect()) == list(range(40))
+    met = {(r.key, r.id, r.hub) for r in linking.shared_buckets(banded).collect()}
+    assert met == {(7, i, 0) for i in range(1, 40)} | {(k, 2 * k + 1, 2 * k) for k in range(20) if k != 7} | {(7, 14, 0), (7, 15, 0)}
+
+
 def test_clashing_columns_are_carried(spark):
     docs = spark.createDataFrame([(i, f"s{i % 3}", i, "mine", {"a": i}, i) for i in range(30)], "doc_id long, source string, _size int, _row string, _block map<string,int>, n_chars long").withColumn("mix_slot", F.lit("old"))
     out = X.mix(docs, block_size=20)

@@ -107,6 +107,32 @@ def test_encoding_needs_no_slow_search(monkeypatch):
     assert any("(?" not in m["pat_str"] for m in made)
 
 
+def test_the_whole_tokenizer_is_opened_only_for_texts_that_need_it(monkeypatch):
+    import tokenizers
+
+    opened = []
+
+    class Seen:
+        @staticmethod
+        def from_file(path):
+            opened.append(path)
+            return Tokenizer.from_file(path)
+
+    monkeypatch.setattr(tokenizers, "Tokenizer", Seen)
+    encode, slow = K.public_encoder()(), Tokenizer.from_file(P.path("byte_bpe_50k.json"))
+    for text, times in (("plain words, é", 0), ("текст", 1), ("<|endoftext|>x", 1)):
+        assert encode(text).tolist() == slow.encode(text, add_special_tokens=False).ids and len(opened) == times
+
+
+def test_special_tokens_wherever_the_file_has_them(tmp_path):
+    tokens = [{"id": 7, "content": ',"vocab":'}]
+    for name, at in (("first", {"added_tokens": tokens, "model": {"type": "BPE", "vocab": {"a": 0}}}), ("last", {"model": {"vocab": {"a": 0}}, "added_tokens": tokens})):
+        for indent in (None, 2):
+            (tmp_path / name).write_text(json.dumps(at, indent=indent))
+            assert K.special_tokens(str(tmp_path / name)) == {',"vocab":': 7}
+    assert K.special_tokens(P.path("byte_bpe_50k.json")) == {"<|endoftext|>": 50256}
+
+
 def test_placement_minimises_the_sum_of_squares():
     rng = random.Random(5)
     packer = K.LevelPacker(16)
